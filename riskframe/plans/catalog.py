@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from riskframe.plans import evaluation_queries, row_queries, table_queries  # noqa: F401
+from riskframe.plans import (  # noqa: F401
+    evaluation_queries,
+    model_queries,
+    row_queries,
+    table_queries,
+)
 from riskframe.plans.registry import ORACLES, QUERIES, runnable
 
 

@@ -185,12 +185,12 @@ def filter_date_range_older(data):
 @query(
     "filter_incidents",
     on_clean(
-        "select id_ocorrencia, tipo_crime, arma_utilizada, turno from clean where bairro = 'BRAZIL' "
+        "select id_ocorrencia, tipo_crime, arma_utilizada, turno from clean where bairro = 'NATION_11' "
         "and arma_utilizada = 'Faca' and turno in ('Noite', 'Madrugada')"
     ),
 )
 def filter_incidents(data):
-    picked = filters.pick(data.clean, place="BRAZIL", weapon="Faca", shifts=["Noite", "Madrugada"])
+    picked = filters.pick(data.clean, place="NATION_11", weapon="Faca", shifts=["Noite", "Madrugada"])
     return picked.select(ID, "tipo_crime", "arma_utilizada", "turno")
 
 
@@ -198,13 +198,13 @@ def filter_incidents(data):
     "filter_options",
     on_clean(
         "select distinct 'bairro' as field, bairro as value from clean "
-        "union all select distinct 'tipo_crime', tipo_crime from clean where bairro = 'BRAZIL' "
+        "union all select distinct 'tipo_crime', tipo_crime from clean where bairro = 'NATION_11' "
         "union all select distinct 'arma_utilizada', arma_utilizada from clean "
-        "where bairro = 'BRAZIL' and tipo_crime = 'Roubo' and arma_utilizada is not null"
+        "where bairro = 'NATION_11' and tipo_crime = 'Roubo' and arma_utilizada is not null"
     ),
 )
 def filter_options(data):
-    return filters.cascading_options(data.clean, place="BRAZIL", crime="Roubo")
+    return filters.cascading_options(data.clean, place="NATION_11", crime="Roubo")
 
 
 @query(
