@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.schema import ID
 
@@ -14,3 +14,12 @@ def spread(df: DataFrame, key: str = ID) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def tasks(spark: SparkSession) -> int:
+    """Task count for a shuffle whose rows are few bytes but much work each.
+
+    Stated explicitly, because adaptive execution sizes shuffles by bytes alone and
+    would put such rows into one task.
+    """
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))

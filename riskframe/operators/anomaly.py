@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from riskframe.functions.layout import spread, tasks
 from riskframe.functions.numeric import hash_rank, safe_ratio
 from riskframe.functions.quantiles import exact_quantiles
+from riskframe.functions.sampling import hash_sample
 from riskframe.operators.patterns import frequent_groups
 from riskframe.schema import CRIME, ID, LABEL, PLACE
 from riskframe.session import checkpointed
@@ -34,14 +36,18 @@ def average_path(n: float) -> float:
 
 
 def tree_samples(vecs: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
-    """``sample`` rows per tree.
+    """``sample`` rows per tree, without multiplying the data by the number of trees.
 
-    A pool of trees x sample rows with the smallest seeded hashes is taken once (the
-    forest is defined on subsamples); each tree draws its rows from the pool.  So the
-    data are not multiplied by the number of trees.
+    The trees x sample rows with the smallest seeded hashes are dealt to the trees in
+    turn (the forest is defined on subsamples).  Data smaller than that are few rows,
+    from which every tree draws its own sample.
     """
-    pool = vecs.select(ID, "x").orderBy(hash_rank(F.col(ID), seed), ID).limit(trees * sample)
+    pool = hash_sample(vecs.select(ID, "x"), trees * sample, seed)
+    if pool.count() == trees * sample:
+        dealing = Window.orderBy(hash_rank(F.col(ID), seed), ID)  # trees * sample rows
+        return pool.select((F.row_number().over(dealing) % trees).alias("tree"), "x")
     dealt = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+    dealt = dealt.repartition(tasks(vecs.sparkSession), "tree")
     draw = Window.partitionBy("tree").orderBy(hash_rank(F.concat_ws(":", "tree", ID), seed), ID)
     return dealt.withColumn("place", F.row_number().over(draw)).where(F.col("place") <= sample).select("tree", "x")
 
@@ -72,7 +78,7 @@ def grow_trees(samples: DataFrame, seed: int = SEED) -> DataFrame:
             count += 2
         return pd.DataFrame(nodes, columns=["tree", "node", "feature", "cut", "left", "right", "depth"])
 
-    return samples.groupBy("tree").applyInPandas(grow, _NODE_SCHEMA)
+    return samples.repartition(tasks(samples.sparkSession), "tree").groupBy("tree").applyInPandas(grow, _NODE_SCHEMA)
 
 
 def anomaly_scores(vecs: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
@@ -95,9 +101,9 @@ def anomaly_scores(vecs: DataFrame, trees: int = TREES, sample: int = SAMPLE, se
     levels = math.ceil(math.log2(max(leaf_rows, 2)))
 
     @F.pandas_udf("double")
-    def score(x: pd.Series) -> pd.Series:
+    def score(*columns: pd.Series) -> pd.Series:
         f = shared.value
-        points = np.vstack(x.to_numpy())
+        points = np.column_stack([c.to_numpy() for c in columns])
         rows = np.arange(len(points))
         total = np.zeros(len(points))
         for root in f["roots"]:
@@ -109,7 +115,8 @@ def anomaly_scores(vecs: DataFrame, trees: int = TREES, sample: int = SAMPLE, se
             total += f["depth"][at]
         return pd.Series(np.exp2(-total / len(f["roots"]) / norm))
 
-    return vecs.withColumn("anomaly_score", score("x"))
+    width = len(vecs.select("x").first()["x"])
+    return vecs.withColumn("anomaly_score", score(*[F.col("x")[i] for i in range(width)]))
 
 
 def flag_anomalies(scored: DataFrame, contamination: float = 0.1) -> DataFrame:
@@ -121,7 +128,7 @@ def flag_anomalies(scored: DataFrame, contamination: float = 0.1) -> DataFrame:
 
 def detect_anomalies(vecs: DataFrame, contamination: float = 0.1, **forest) -> DataFrame:
     """Scores are checkpointed, so that the quantile passes do not score the rows again."""
-    scored = checkpointed(anomaly_scores(vecs, **forest).drop("features"))
+    scored = checkpointed(anomaly_scores(spread(vecs.drop("features")), **forest))
     return flag_anomalies(scored, contamination)
 
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA
@@ -99,7 +100,9 @@ def squared_distance(x: Column, center: Column) -> Column:
 
 
 def kmeans(vecs: DataFrame, k: int, seed: int = SEED):
-    return KMeans(k=k, seed=seed, maxIter=300, tol=1e-4, featuresCol="features", predictionCol="cluster").fit(vecs)
+    """Lloyd iterations until the squared moves of all centres sum to at most 1e-4."""
+    tol = math.sqrt(1e-4 / k)  # MLlib compares the move of each single centre
+    return KMeans(k=k, seed=seed, maxIter=300, tol=tol, featuresCol="features", predictionCol="cluster").fit(vecs)
 
 
 def ordered_centers(model) -> list[int]:
@@ -146,18 +149,22 @@ def silhouette(labelled: DataFrame) -> float:
     return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(labelled)
 
 
-def kmeans_sweep(vecs: DataFrame, max_clusters: int = 8, seed: int = SEED) -> DataFrame:
+def kmeans_sweep(vecs: DataFrame, max_clusters: int = 8, seed: int = SEED, parallelism: int = 4) -> DataFrame:
     """Inertia, silhouette and Davies-Bouldin index for every k that the row count allows."""
     at_least(vecs, MIN_SWEEP_ROWS, "the cluster sweep")
     cached = spread(vecs).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def measure(k):
+        model = kmeans(cached, k, seed)
+        labelled = model.transform(cached)
+        index = davies_bouldin(labelled, model.clusterCenters())
+        return k, float(model.summary.trainingCost), silhouette(labelled), index
+
     try:
         n = cached.count()
-        rows = []
-        for k in range(2, min(max_clusters + 1, max(3, n // 5))):
-            model = kmeans(cached, k, seed)
-            labelled = model.transform(cached)
-            centers = model.clusterCenters()
-            rows.append((k, float(model.summary.trainingCost), silhouette(labelled), davies_bouldin(labelled, centers)))
+        ks = range(2, min(max_clusters + 1, max(3, n // 5)))
+        with ThreadPool(parallelism) as pool:  # independent Spark jobs
+            rows = pool.map(inheritable_thread_target(vecs.sparkSession)(measure), ks)
     finally:
         cached.unpersist()
     return vecs.sparkSession.createDataFrame(

@@ -2,7 +2,8 @@
 
 Input frames carry the label in ``y`` and the score in ``score``.  Metrics that
 sort by score first collapse the rows to distinct scores, so ties and hot values
-cost one row, and take running totals range by range.
+cost one row, and take running totals range by range.  They read ``pred`` more than
+once; pass rows that are cheap to read (see ``checkpointed``).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from riskframe.functions.numeric import count_of, np_round, safe_ratio
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.functions.running import running_totals, with_slice
 from riskframe.schema import ID, PLACE
+from riskframe.session import checkpointed
 
 THRESHOLD_GRID = [0.2 + (0.8 - 0.2) / 60 * i for i in range(60)] + [0.8]
 K_GRID = [0.1 + (0.5 - 0.1) / 20 * i for i in range(20)] + [0.5]
@@ -180,7 +182,7 @@ def by_score(pred: DataFrame) -> DataFrame:
 
 def roc_auc(pred: DataFrame) -> DataFrame:
     """Share of (positive, negative) pairs in the right order, ties half; 0 for one class."""
-    totals = running_totals(by_score(pred), "score", ["neg"])
+    totals = running_totals(checkpointed(by_score(pred)), "score", ["neg"])
     wins = F.col("pos").cast("double") * (F.col("before_neg") + F.col("neg") / 2)
     sums = totals.agg(F.sum(wins).alias("wins"), F.sum("pos").alias("p"), F.sum("neg").alias("q"))
     pairs = F.col("p").cast("double") * F.col("q")
@@ -189,7 +191,7 @@ def roc_auc(pred: DataFrame) -> DataFrame:
 
 def _curve(pred: DataFrame) -> DataFrame:
     """Per distinct score: rows at or above it, split by label, with the overall totals."""
-    scores = by_score(pred)
+    scores = checkpointed(by_score(pred))
     sums = scores.agg(F.sum("pos").alias("p"), F.sum("neg").alias("q")).first()
     totals = running_totals(scores, "score", ["pos", "neg"], descending=True)
     return totals.select(
@@ -232,8 +234,8 @@ def f1_at_k_by_window(pred: DataFrame, window: list[str], k: float = 0.2) -> Dat
     that holds a third of all rows never becomes one task.
     """
     rows = pred.dropna(subset=[*window, "score"])
-    scores = rows.groupBy(*window, "score").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("long")).alias("pos")
+    scores = checkpointed(
+        rows.groupBy(*window, "score").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y").cast("long")).alias("pos"))
     )
     totals = scores.groupBy(*window).agg(F.sum("n").alias("size"), F.sum("pos").alias("positives"))
     totals = totals.withColumn("k", F.greatest(F.lit(1), F.floor(F.col("size") * F.lit(k))).cast("long"))
@@ -243,8 +245,10 @@ def f1_at_k_by_window(pred: DataFrame, window: list[str], k: float = 0.2) -> Dat
         .where((F.col("before_n") < F.col("k")) & (F.col("k") <= F.col("before_n") + F.col("n")))
         .withColumn("take", F.col("k") - F.col("before_n"))
     )
+    cut = checkpointed(cut)  # one row per window, read twice below
     mixed = cut.where((F.col("take") < F.col("n")) & (F.col("pos") > 0) & (F.col("pos") < F.col("n")))
     ties = lookup_join(rows, mixed.select(*window, "score", "take"), [*window, "score"], "inner", spread_by=ID)
+    ties = checkpointed(ties.select(*window, ID, "y", "take"))
     ties = running_totals(ties.withColumn("one", F.lit(1).cast("long")), ID, ["one"], group=window)
     tied_hits = (
         ties.where(F.col("before_one") < F.col("take"))

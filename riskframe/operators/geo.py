@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.numeric import md5_rank, np_round
+from riskframe.functions.sampling import smallest
 from riskframe.schema import CRIME, ID, LABEL, PLACE, WEAPON
 
 
@@ -17,7 +18,10 @@ def geo_points(df: DataFrame, low_risk: int = 1000, seed: int = 42) -> DataFrame
     """The sample is the ``low_risk`` smallest seeded hashes, the same on every run."""
     points = located(df)
     high = points.where(F.col(LABEL) == 1)
-    low = points.where(F.col(LABEL) == 0).orderBy(md5_rank(F.col(ID), seed), ID).limit(low_risk)
+    rank = md5_rank(F.col(ID), seed)
+    low = smallest(
+        points.where(F.col(LABEL) == 0), rank, low_risk, lambda share: rank < F.lit(f"{int(share * 16**8):08x}")
+    )
 
     def text(name):
         return F.coalesce(F.col(name), F.lit("N/A")) if name in df.columns else F.lit("N/A")

@@ -15,12 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskframe.functions.layout import spread
+from riskframe.functions.layout import spread, tasks
 from riskframe.functions.numeric import as_number, hash_rank, np_round, safe_ratio
 from riskframe.operators import evaluation
 from riskframe.operators.filters import at_least
 from riskframe.operators.splits import class_weights, part, temporal_split
 from riskframe.schema import COMPACT_CATEGORIES, ID, IGNORED, LABEL, MODEL_CATEGORIES, MODEL_NUMBERS
+from riskframe.session import checkpointed
 
 SEED = 42
 MIN_TRAINING_ROWS = 50
@@ -143,14 +144,17 @@ def train_models(
     train: DataFrame, makers: dict, numbers: list[str] = MODEL_NUMBERS, categories: list[str] = MODEL_CATEGORIES
 ) -> dict[str, RiskModel]:
     """Fit several classifiers on the same prepared rows; ``makers``: name -> fn(row count)."""
-    preprocessor = Preprocessor(list(numbers), list(categories)).fit(train)
-    ready = spread(preprocessor.transform(_weighted(train)).select(ID, FEATURES, LABEL, WEIGHT))
+    columns = [c for c in [ID, LABEL, *numbers, *categories] if c in train.columns]
+    rows = spread(train.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
+    preprocessor = Preprocessor(list(numbers), list(categories)).fit(rows)
+    ready = preprocessor.transform(_weighted(rows)).select(FEATURES, LABEL, WEIGHT)
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = ready.count()
-        return {name: RiskModel(name, preprocessor, make(rows).fit(ready)) for name, make in makers.items()}
+        count = ready.count()
+        return {name: RiskModel(name, preprocessor, make(count).fit(ready)) for name, make in makers.items()}
     finally:
         ready.unpersist()
+        rows.unpersist()
 
 
 def train_forest(df: DataFrame, trees: int = 200, depth: int = 10, min_leaf: int = 5, **features) -> tuple[RiskModel, DataFrame]:
@@ -162,18 +166,16 @@ def train_forest(df: DataFrame, trees: int = 200, depth: int = 10, min_leaf: int
 
 
 def as_predictions(model: RiskModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    return evaluation.predictions(model.predict(df), "probability", keep=keep)
+    """Narrow prediction rows, written once: evaluation passes do not score the rows again."""
+    return checkpointed(evaluation.predictions(model.predict(spread(df)), "probability", keep=keep))
 
 
 def test_metrics(model: RiskModel, train: DataFrame, test: DataFrame) -> DataFrame:
     """One row: metrics on the test part and the sizes of both parts."""
-    pred = as_predictions(model, test).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        auc = evaluation.roc_auc(pred).first()["roc_auc"]
-        row = evaluation.eval_metrics(pred, model.threshold).first()
-        sizes = (train.count(), row["support_total"])
-    finally:
-        pred.unpersist()
+    pred = as_predictions(model, test)
+    auc = evaluation.roc_auc(pred).first()["roc_auc"]
+    row = evaluation.eval_metrics(pred, model.threshold).first()
+    sizes = (train.count(), row["support_total"])
     values = (model.name, model.threshold, row["precision"], row["recall"], row["f1"], auc, *sizes)
     schema = "model string, threshold double, precision double, recall double, f1 double, roc_auc double, train_size long, test_size long"
     return df_of(train, [values], schema)
@@ -229,7 +231,7 @@ def feature_importance(model: RiskModel, like: DataFrame, top: int | None = None
 
 
 def permutation_importance(
-    model: RiskModel, df: DataFrame, repeats: int = 10, top: int | None = 20, seed: int = SEED, block_rows: int = 20_000
+    model: RiskModel, df: DataFrame, repeats: int = 10, top: int | None = 20, seed: int = SEED, block_rows: int = 2_000
 ) -> DataFrame:
     """Drop of F1 when one expanded feature is shuffled, mean over the repeats.
 
@@ -253,6 +255,7 @@ def permutation_importance(
     runs = base.withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     key = F.concat_ws(":", F.col("run"), F.col(ID))
     dealt = runs.withColumns({"block": hash_rank(key, seed) % blocks, "rank": hash_rank(key, seed + 1)})
+    dealt = dealt.repartition(tasks(df.sparkSession), "run", "block")
     ring = Window.partitionBy("run", "block").orderBy("rank", ID)
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     donor = F.coalesce(F.lead("x").over(ring), F.first("x").over(whole))
@@ -343,7 +346,7 @@ def grid_search(
     fitted = search.fit(ready)
     best = max(fitted.avgMetrics)
     rows = [
-        (p[base.numTrees], p[base.maxDepth], p[base.minInstancesPerNode], round(m, 6), int(m == best))
+        (p[base.numTrees], p[base.maxDepth], p[base.minInstancesPerNode], round(float(m), 6), int(m == best))
         for p, m in zip(grid, fitted.avgMetrics)
     ]
     return df_of(df, rows, "n_estimators int, max_depth int, min_leaf int, f1_macro double, best int")

@@ -11,14 +11,15 @@ from riskframe.operators.evaluation import predictions
 from riskframe.operators.prep import clean, fit_medians, with_flags
 from riskframe.operators.scoring import place_rates, with_risk
 from riskframe.schema import PLACE, SHIFT
+from riskframe.session import checkpointed
 from riskframe.sources.fixture import incident_view
 
 
 class IncidentData:
     """Lazy frames over one folder.
 
-    Row-level frames are plans, nothing is cached.  Only small fitted results are
-    kept for reuse: the five medians, and fitted models (see ``memo``).
+    Row-level frames are plans and are not cached.  Kept for reuse are the five
+    medians, the narrow prediction rows, and fitted models (see ``memo``).
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
@@ -53,8 +54,11 @@ class IncidentData:
 
     @cached_property
     def pred(self) -> DataFrame:
-        """The risk score as a prediction of the label (deterministic, so SQL can check it)."""
-        return predictions(self.scored, "risk_score", keep=[PLACE, "ano_mes", SHIFT, "tipo_crime"])
+        """The risk score as a prediction of the label (deterministic, so SQL can check it).
+
+        The narrow rows are written once, as evaluation takes several passes over them.
+        """
+        return checkpointed(predictions(self.scored, "risk_score", keep=[PLACE, "ano_mes", SHIFT]))
 
 
 _cache: dict[tuple[str, str], IncidentData] = {}
