@@ -1,4 +1,4 @@
-"""Join a large frame to a per-key table whose size is checked first."""
+"""Join a large frame to a table on shared keys, safe against hot keys."""
 
 from __future__ import annotations
 
@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 50_000
-SALTS = 32
+HOT_SHARE = 0.002
+SMALL_ROWS = 1_000_000
+SALTS = 64
 
 
 def lookup_join(
@@ -16,21 +18,55 @@ def lookup_join(
     how: str = "left",
     spread_by: str | None = None,
     max_rows: int = BROADCAST_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Attach ``table`` (one row per key) to ``df``.
+    """Attach ``table`` to ``df`` (inner or left join on ``keys``).
 
     Up to ``max_rows`` rows are fetched to see how large the table is.  If that is
     all of it, the fetched rows are broadcast: their size is known and bounded.  A
-    larger table is joined by shuffle with every key split over ``salts`` tasks, so
-    that one key with a third of all rows does not end up in one task.
+    larger table goes through ``spread_join``.
     """
-    spark = df.sparkSession
     head = table.limit(max_rows + 1).collect()
     if len(head) <= max_rows:
-        local = spark.createDataFrame(head, table.schema)
+        local = df.sparkSession.createDataFrame(head, table.schema)
         return df.join(F.broadcast(local), keys, how)
+    return spread_join(df, table, keys, how, spread_by)
+
+
+def spread_join(
+    df: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    how: str = "left",
+    spread_by: str | None = None,
+    hot_share: float = HOT_SHARE,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Shuffle join in which hot keys of ``df`` are split over ``salts`` tasks.
+
+    Keys with more than ``hot_share`` of the rows of ``df`` are hot; a frequent-items
+    sketch finds them in one pass.  Only their table rows are copied once per salt.
+    The sketch decides how the work is spread, never the result.  ``keys`` must have
+    the same types on both sides.
+    """
+    hot = _hot_keys(df, keys, hot_share)
+    if not hot:
+        return df.join(table, keys, how)
+    is_hot = F.xxhash64(*keys).isin(hot)
     spread = F.col(spread_by) if spread_by else F.struct(*df.columns)
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    salt = F.when(is_hot, F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = table.withColumn("_salt", F.explode(copies))
+    return df.withColumn("_salt", salt).join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def _hot_keys(df: DataFrame, keys: list[str], hot_share: float) -> list[int]:
+    """Hashes of at most 1 / hot_share keys; none if the frame is small anyway."""
+    most = int(1 / hot_share)
+    row = (
+        df.select(F.xxhash64(*keys).alias("h"))
+        .agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(h, {most}, {4 * most})").alias("top"))
+        .first()
+    )
+    if row["n"] < SMALL_ROWS:
+        return []
+    return [item["item"] for item in row["top"] if item["count"] >= hot_share * row["n"]]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.lookup import lookup_join
+from riskframe.functions.lookup import lookup_join, spread_join
 from riskframe.session import checkpointed
 
 
@@ -22,7 +22,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
     state = _fingerprint(current)
     while True:
-        current = checkpointed(_small_star(_large_star(current)))
+        current = checkpointed(_small_star(checkpointed(_large_star(current))))
         latest = _fingerprint(current)
         if latest == state:
             break
@@ -44,12 +44,12 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     larger = both.where(F.col("v") > F.col("u"))
-    linked = lookup_join(larger, lowest, ["u"], "inner", spread_by="v")
+    linked = spread_join(larger, lowest, ["u"], "inner", spread_by="v")
     return linked.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     lowest = edges.groupBy("u").agg(F.min("v").alias("m"))
-    linked = lookup_join(edges, lowest, ["u"], "inner", spread_by="v")
+    linked = spread_join(edges, lowest, ["u"], "inner", spread_by="v")
     others = linked.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return others.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct()
