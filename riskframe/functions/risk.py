@@ -65,7 +65,8 @@ def suspect_risk(suspects: Column, age: Column | None = None, round_counts: bool
 
 def location_risk(place_rate: Column) -> Column:
     """Twice the place's share of high-risk incidents, at most 1; unknown place 0.5."""
-    return F.coalesce(F.least(place_rate * 2, F.lit(1.0)), F.lit(UNKNOWN_PLACE_RISK))
+    known = F.least(place_rate * 2, F.lit(1.0))  # least() alone would skip a null rate
+    return F.when(place_rate.isNull(), UNKNOWN_PLACE_RISK).otherwise(known)
 
 
 def temporal_risk(hour: Column | None, weekday: Column | None, shift: Column | None) -> Column:

@@ -99,7 +99,7 @@ SCORED = f"""
 rates as (select bairro, avg(risco_alto) as place_rate from clean group by bairro),
 parts as (select clean.*, {map_sql('arma_utilizada', WEAPON_RISK, '3e-1')} as weapon_risk,
   {map_sql('tipo_crime', CRIME_RISK, '3e-1')} as crime_risk, {SUSPECT} as suspect_risk,
-  coalesce(least(place_rate * 2, 1e0), 5e-1) as location_risk, {TEMPORAL} as temporal_risk
+  case when place_rate is null then 5e-1 else least(place_rate * 2, 1e0) end as location_risk, {TEMPORAL} as temporal_risk
   from clean left join rates using (bairro)),
 scored0 as (select *, least(greatest({_TOTAL}, 0e0), 1e0) as risk_score from parts),
 scored as (select *, case when risk_score <= 3e-1 then 'Baixo' when risk_score <= 7e-1 then 'Médio'
