@@ -21,7 +21,7 @@ from riskframe.operators import evaluation
 from riskframe.operators.filters import at_least
 from riskframe.operators.splits import class_weights, part, temporal_split
 from riskframe.schema import COMPACT_CATEGORIES, ID, IGNORED, LABEL, MODEL_CATEGORIES, MODEL_NUMBERS
-from riskframe.session import checkpointed
+from riskframe.session import checkpointed, use_checkpoint_dir
 
 SEED = 42
 MIN_TRAINING_ROWS = 50
@@ -123,7 +123,9 @@ def forest(trees: int = 200, depth: int = 10, min_leaf: int = 5) -> RandomForest
         maxDepth=depth,
         minInstancesPerNode=min_leaf,
         featureSubsetStrategy="sqrt",
-        maxMemoryInMB=1024,
+        maxMemoryInMB=512,
+        cacheNodeIds=True,  # rows remember their node, so deep trees are not sent again per level
+        checkpointInterval=10,
         seed=SEED,
     )
 
@@ -135,6 +137,7 @@ def logistic(rows: int) -> LogisticRegression:
         labelCol=LABEL,
         weightCol=WEIGHT,
         maxIter=1000,
+        tol=1e-5,
         regParam=1.0 / max(rows, 1),
         standardization=False,
     )
@@ -144,6 +147,7 @@ def train_models(
     train: DataFrame, makers: dict, numbers: list[str] = MODEL_NUMBERS, categories: list[str] = MODEL_CATEGORIES
 ) -> dict[str, RiskModel]:
     """Fit several classifiers on the same prepared rows; ``makers``: name -> fn(row count)."""
+    use_checkpoint_dir(train.sparkSession)  # the forest checkpoints its cached node ids
     columns = [c for c in [ID, LABEL, *numbers, *categories] if c in train.columns]
     rows = spread(train.select(*columns)).persist(StorageLevel.MEMORY_AND_DISK)
     preprocessor = Preprocessor(list(numbers), list(categories)).fit(rows)
