@@ -17,14 +17,15 @@ def lookup_join(
     keys: list[str],
     how: str = "left",
     spread_by: str | None = None,
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Attach ``table`` to ``df`` (inner or left join on ``keys``).
 
-    Up to ``max_rows`` rows are fetched to see how large the table is.  If that is
+    Up to ``max_rows`` (``BROADCAST_ROWS``) rows are fetched to see how large the table is.  If that is
     all of it, the fetched rows are broadcast: their size is known and bounded.  A
     larger table goes through ``spread_join``.
     """
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
     head = table.limit(max_rows + 1).collect()
     if len(head) <= max_rows:
         local = df.sparkSession.createDataFrame(head, table.schema)

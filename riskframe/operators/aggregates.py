@@ -16,6 +16,7 @@ from riskframe.functions.quantiles import exact_quantiles
 from riskframe.functions.risk import band
 from riskframe.functions.timeparts import day_order
 from riskframe.schema import CRIME, DAY_NAMES, LABEL, LETHAL_WEAPONS, PLACE, SHIFT, TIME, WEAPON
+from riskframe.session import checkpointed
 
 # --- fixed values: alert thresholds in percent and wording ------------------------
 CITY_ALERT = (15, 10, ("ALERTA MÁXIMO", "ATENÇÃO", "SITUAÇÃO NORMAL"))
@@ -114,6 +115,23 @@ def top_rates(df: DataFrame, key: str, top: int, above: float | None = None) ->
     return out if above is None else out.where(F.col(RATE) > above)
 
 
+def risk_cells(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts per combination of ``keys`` with the time range, computed once.
+
+    The few cells serve every table over one of the keys without another scan.
+    """
+    times = [F.min(TIME).alias("inicio"), F.max(TIME).alias("fim"), F.count(TIME).alias("com_data")] if TIME in df.columns else []
+    sums = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(LABEL).cast("long")).alias("pos"), *times)
+    return checkpointed(sums)
+
+
+def top_rates_of_cells(cells: DataFrame, key: str, top: int, above: float | None = None) -> DataFrame:
+    """``top_rates`` from ``risk_cells``."""
+    sums = cells.where(F.col(key).isNotNull()).groupBy(key).agg((F.sum("pos") / F.sum("n")).alias(RATE))
+    out = ranked(sums, RATE, [key], top)
+    return out if above is None else out.where(F.col(RATE) > above)
+
+
 def risk_statistics(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("total_ocorrencias"),
@@ -304,8 +322,9 @@ def monthly_rate(df: DataFrame) -> DataFrame:
 
 
 def top_places_and_crimes(df: DataFrame, places: int = 10, crimes: int = 12) -> DataFrame:
+    cells = risk_cells(df, [PLACE, CRIME])
     parts = [
-        top_rates(df, key, n).select(
+        top_rates_of_cells(cells, key, n).select(
             F.lit(key).alias("grupo"), F.col(key).alias("chave"), np_round(F.col(RATE) * 100, 1).alias("risco_pct")
         )
         for key, n in ((PLACE, places), (CRIME, crimes))
@@ -371,7 +390,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30, group: str | None = No
         f"{group or '_all'} {dict(df.dtypes)[group] if group else 'int'}, faixa int",
     )
     frame = frame.drop("_all")
-    out = F.broadcast(frame).join(counts, [*keys, "faixa"], "left").select(
+    out = frame.join(counts, [*keys, "faixa"], "left").select(
         *keys,
         "faixa",
         np_round(low + width * F.col("faixa"), 6).alias("inicio"),

@@ -149,7 +149,7 @@ def silhouette(labelled: DataFrame) -> float:
     return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(labelled)
 
 
-def kmeans_sweep(vecs: DataFrame, max_clusters: int = 8, seed: int = SEED, parallelism: int = 4) -> DataFrame:
+def kmeans_sweep(vecs: DataFrame, max_clusters: int = 8, seed: int = SEED, parallelism: int = 8) -> DataFrame:
     """Inertia, silhouette and Davies-Bouldin index for every k that the row count allows."""
     at_least(vecs, MIN_SWEEP_ROWS, "the cluster sweep")
     cached = spread(vecs).persist(StorageLevel.MEMORY_AND_DISK)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskframe.functions.numeric import hash_rank
+from riskframe.functions.numeric import count_of, hash_rank
 from riskframe.functions.quantiles import exact_order_statistics, exact_quantiles
 from riskframe.functions.timeparts import event_micros
 from riskframe.schema import ID, LABEL, TIME
@@ -100,16 +100,13 @@ def split_summary(split: DataFrame) -> DataFrame:
 
 
 def split_overlap(split: DataFrame) -> DataFrame:
-    """Number of ids that two parts share (0 for a sound split)."""
+    """Number of ids that two parts share (0 for a sound split), from one grouping by id."""
     names = ["train", "valid", "test"]
-    counts = []
-    for i, a in enumerate(names):
-        for b in names[i + 1 :]:
-            shared = part(split, a).select(ID).join(part(split, b).select(ID), ID, "left_semi")
-            counts.append(
-                shared.agg(F.count(F.lit(1)).alias("comuns")).select(F.lit(a).alias("a"), F.lit(b).alias("b"), "comuns")
-            )
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    present = split.groupBy(ID).agg(*[F.bool_or(F.col(SPLIT) == n).alias(n) for n in names])
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+    sums = present.agg(*[count_of(F.col(a) & F.col(b)).alias(f"{a}_{b}") for a, b in pairs])
+    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"{a}_{b}").alias("comuns")) for a, b in pairs]
+    return sums.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:

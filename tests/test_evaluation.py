@@ -44,6 +44,15 @@ def test_f1_at_k_by_window(pred, rows):
         assert got[key] == pytest.approx(want[key], abs=1e-6)
 
 
+def test_f1_at_k_with_shuffled_joins(pred, rows, monkeypatch):
+    from riskframe.functions import lookup
+
+    want = sorted(map(tuple, ev.f1_at_k_by_window(pred, ["bairro", "ano_mes"]).collect()))
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(lookup, "SMALL_ROWS", 0)
+    assert sorted(map(tuple, ev.f1_at_k_by_window(pred, ["bairro", "ano_mes"]).collect())) == want
+
+
 def test_roc_auc_with_ties(pred, rows):
     pos, neg = [r[4] for r in rows if r[3]], [r[4] for r in rows if not r[3]]
     wins = sum((p > n) + (p == n) / 2 for p in pos for n in neg)

@@ -47,6 +47,17 @@ def test_dbscan_equals_brute_force(spark, case):
     check_dbscan(spark, rng.permutation(len(x)), x, eps, 5)
 
 
+def test_dbscan_with_shuffled_joins(spark, monkeypatch):
+    """No broadcast, and every key counts as hot."""
+    from riskframe.functions import lookup
+
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 2)
+    monkeypatch.setattr(lookup, "SMALL_ROWS", 0)
+    rng = np.random.default_rng(2)
+    x = np.vstack([rng.normal(0, 0.4, (80, 2)), rng.normal(3, 0.4, (80, 2)), rng.uniform(-2, 5, (30, 2))])
+    check_dbscan(spark, rng.permutation(len(x)), x, 0.5, 5)
+
+
 def test_dbscan_on_incidents(spark, data):
     rows = mq.vectors(data).select("id_ocorrencia", "x").collect()
     ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
