@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from riskframe.schema import DAY_NAMES, NOT_INFORMED
 
 
+def instant(moment: dt.datetime) -> Column:
+    """Literal time without zone; going through text keeps driver and session zones out of it."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def shift_of_hour(hour: Column, missing: str = NOT_INFORMED) -> Column:
     """Shift name of an hour 0..23: six hours each, from midnight on."""
     return (

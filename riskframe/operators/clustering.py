@@ -143,12 +143,24 @@ def davies_bouldin(labelled: DataFrame, centers: list) -> float:
 
 
 def silhouette(labelled: DataFrame) -> float:
-    """Mean silhouette on squared Euclidean distances (computed from cluster sums, linear cost)."""
-    if labelled.select("cluster").distinct().limit(2).count() < 2:
+    """Mean silhouette on squared Euclidean distances (computed from cluster sums, linear cost).
+
+    0 if there is only one cluster, or noise.
+    """
+    ends = labelled.agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).first()
+    if ends["low"] == ends["high"] or ends["low"] == NOISE:
         return 0.0
     return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(labelled)
 
 
+def clustering_summary(labelled: DataFrame, pca: Components, method: str) -> DataFrame:
+    """One row: number of clusters, silhouette, variance kept by two components."""
+    clusters = labelled.where(F.col("cluster") != NOISE).agg(F.count_distinct("cluster").alias("n")).first()["n"]
+    row = (method, clusters, float(silhouette(labelled)), float(sum(pca.ratios[:2])))
+    schema = "method string, n_clusters long, silhouette_sq_euclidean double, pca_variance_explained double"
+    return labelled.sparkSession.createDataFrame([row], schema)
+
+
 def kmeans_sweep(vecs: DataFrame, max_clusters: int = 8, seed: int = SEED, parallelism: int = 8) -> DataFrame:
     """Inertia, silhouette and Davies-Bouldin index for every k that the row count allows."""
     at_least(vecs, MIN_SWEEP_ROWS, "the cluster sweep")

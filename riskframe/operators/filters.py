@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.functions.timeparts import instant
 from riskframe.schema import ALL_PLACES, ALL_WEAPONS, CRIME, ID, PLACE, SHIFT, TIME, WEAPON
 
 
@@ -29,8 +30,7 @@ def in_dates(df: DataFrame, start: dt.date, end: dt.date, end_inclusive_midnight
     """
     first = dt.datetime.combine(start, dt.time())
     after = dt.datetime.combine(end, dt.time()) + dt.timedelta(days=1)
-    low = F.lit(first).cast("timestamp_ntz")
-    high = F.lit(after).cast("timestamp_ntz")
+    low, high = instant(first), instant(after)
     upper = F.col(TIME) <= high if end_inclusive_midnight else F.col(TIME) < high
     return df.where((F.col(TIME) >= low) & upper)
 
@@ -89,5 +89,4 @@ def last_hours(df: DataFrame, hours: int = 24) -> DataFrame:
     latest = df.agg(F.max(TIME).alias("t")).first()["t"]
     if latest is None:
         return df.where(F.lit(False))
-    cut = F.lit(latest - dt.timedelta(hours=hours)).cast("timestamp_ntz")
-    return df.where(F.col(TIME) > cut)
+    return df.where(F.col(TIME) > instant(latest - dt.timedelta(hours=hours)))

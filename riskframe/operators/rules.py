@@ -14,15 +14,13 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.numeric import np_round
 from riskframe.schema import CRIME, LABEL, PLACE, SHIFT, WEAPON
+from riskframe.session import checkpointed
 
 # fixed values: item prefixes, in item order
 ITEM_PREFIXES = {PLACE: "Bairro_", CRIME: "Crime_", WEAPON: "Arma_", SHIFT: "Turno_", "dia_semana": "Dia_"}
 MIN_TRANSACTIONS = 10
 CRITICAL_LIFT = 2.0
 
-RULE_SCHEMA = (
-    "antecedents array<string>, consequents array<string>, support double, confidence double, lift double"
-)
 ITEMSET_SCHEMA = "items array<string>, n long, support double"
 
 
@@ -42,10 +40,10 @@ def frequent_itemsets(df: DataFrame, min_support: float = 0.05) -> DataFrame:
     """All itemsets of at least ``min_support``; at most 31 / min_support rows."""
     baskets = transactions(df)
     columns = [c for c in ITEM_PREFIXES if c in df.columns]
-    total = baskets.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    combos = checkpointed(baskets.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")))  # the only pass over the rows
+    total = combos.agg(F.sum("n").alias("n")).first()["n"] or 0
     if total < MIN_TRANSACTIONS:
         return df.sparkSession.createDataFrame([], ITEMSET_SCHEMA)
-    combos = baskets.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
     cells = combos.cube(*columns).agg(F.sum("n").alias("n"), *[F.grouping(c).alias(f"_g_{c}") for c in columns])
     used = [(F.col(f"_g_{c}") == 0, c) for c in columns]
     no_null_item = reduce(lambda a, b: a & b, [~u | F.col(c).isNotNull() for u, c in used])
@@ -66,6 +64,7 @@ def rules_from_itemsets(itemsets: DataFrame, min_confidence: float = 0.5) -> Dat
     The itemset table is bounded by 31 / min_support rows and each itemset has at
     most 30 splits, so the two lookups of side supports are small joins.
     """
+    itemsets = checkpointed(itemsets)
     size = F.size("items")
     splits = itemsets.where(size >= 2).select(
         "items", "support", F.explode(F.sequence(F.lit(1), (F.pow(F.lit(2), size) - 2).cast("int"))).alias("mask"),

@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from riskframe.functions.numeric import count_of, hash_rank
 from riskframe.functions.quantiles import exact_order_statistics, exact_quantiles
-from riskframe.functions.timeparts import event_micros
+from riskframe.functions.timeparts import event_micros, instant
 from riskframe.schema import ID, LABEL, TIME
 
 SPLIT = "parte"
@@ -76,8 +76,8 @@ def temporal_split_3way(
 
 def fixed_date_split(df: DataFrame, last_train: dt.date, last_valid: dt.date) -> DataFrame:
     """By two instants (midnight of the given days); rows without a time are left out."""
-    first = F.lit(dt.datetime.combine(last_train, dt.time())).cast("timestamp_ntz")
-    second = F.lit(dt.datetime.combine(last_valid, dt.time())).cast("timestamp_ntz")
+    first = instant(dt.datetime.combine(last_train, dt.time()))
+    second = instant(dt.datetime.combine(last_valid, dt.time()))
     time = F.col(TIME)
     part = F.when(time <= first, "train").when(time <= second, "valid").otherwise("test")
     return df.where(time.isNotNull()).withColumn(SPLIT, part)

@@ -17,8 +17,8 @@ from riskframe.schema import (
     CLUSTER_NUMBERS,
     MODEL_CATEGORIES,
     MODEL_NUMBERS,
-    RAW_SCHEMA,
 )
+from riskframe.session import checkpointed
 
 ID = "id_ocorrencia"
 
@@ -243,9 +243,22 @@ def _shown_profile(profile):
     return six(profile, "percentage", "avg_risk_score", "high_risk_rate", "avg_suspects", "weapon_rate")
 
 
+def dbscan_assigned(data):
+    return data.memo("dbscan", lambda: checkpointed(dbscan(vectors(data).drop("features"))))
+
+
 @query("dbscan_clusters")
 def dbscan_clusters(data):
-    return dbscan(vectors(data)).select(ID, "cluster")
+    return dbscan_assigned(data).select(ID, "cluster")
+
+
+@query("clustering_summary")
+def clustering_summary(data):
+    rows = [
+        clustering.clustering_summary(labelled, pca(data), method)
+        for labelled, method in ((kmeans_assigned(data), "K-Means"), (dbscan_assigned(data), "DBSCAN"))
+    ]
+    return six(rows[0].unionByName(rows[1]), "silhouette_sq_euclidean", "pca_variance_explained")
 
 
 @query("pca_coordinates")

@@ -36,3 +36,16 @@ def test_results_do_not_depend_on_partitioning(spark, data):
         ]
 
     assert run(2) == run(13)
+
+
+ZONED = ["filter_date_range", "last_24h", "fixed_date_split", "temporal_split", "time_parts", "daily_evolution", "detect_time_column"]
+
+
+@pytest.mark.parametrize("name", ZONED)
+def test_results_do_not_depend_on_the_session_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
