@@ -241,7 +241,7 @@ def f1_at_k_by_window(pred: DataFrame, window: list[str], k: float = 0.2) -> Dat
     totals = totals.withColumn("k", F.greatest(F.lit(1), F.floor(F.col("size") * F.lit(k))).cast("long"))
     ordered = running_totals(scores, "score", ["n", "pos"], group=window, descending=True)
     cut = (
-        ordered.join(totals, window)
+        lookup_join(ordered, totals, window, "inner", spread_by="score")
         .where((F.col("before_n") < F.col("k")) & (F.col("k") <= F.col("before_n") + F.col("n")))
         .withColumn("take", F.col("k") - F.col("before_n"))
     )
