@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import packing, preference, sharding, stream_dedup
+from riskframe.llm import decontam, packing, preference, sharding, simhash_gph, stream_dedup
 from riskframe.llm.common import table
 
 
+def op4_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_gph.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.digest(preference.preference_pairs(table(spark, sf_dir, "conversations")))
 
 
+def op7_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -27,7 +35,9 @@ def op10_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    op4_simhash_pigeonhole,
     op6_preference_format,
+    op7_bm25_decontamination,
     op8_jump_sharding,
     op9_best_fit_packing,
     op10_stream_exact_dedup,

@@ -21,13 +21,12 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.lookup import spread_join
 from riskframe.llm.common import ascii_lower, shared_folder, texts, written
+from riskframe.llm.membership import mark_likely
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Files of arrivals that one micro-batch takes.
 FILES_PER_BATCH = 10_000
-#: Bits of the map of repeated digests that is sent to the scan; 64 to a row, so 2**17 rows at most.
-MAP_BITS = 1 << 23
 
 
 def sha256(text: Column) -> Column:
@@ -91,34 +90,6 @@ def streamed_state(rows: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> D
 _STATE = "digest string, keep_id long, keep_arrival long, place struct<file:string,bytes:int>, n long"
 
 
-def _bit(digest: Column, bits: int = MAP_BITS) -> Column:
-    return F.pmod(F.xxhash64(digest), F.lit(bits))
-
-
-def _maybe_repeated(rows: DataFrame, repeated: DataFrame, bits: int = MAP_BITS) -> DataFrame:
-    """Rows whose digest may be in ``repeated``: all that are, and few others.
-
-    A map of ``bits`` bits is broadcast, however many digests there are.
-    """
-    at = _bit(F.col("digest"), bits)
-    marks = repeated.select(
-        F.floor(at / 64).alias("_word"),
-        F.expr("shiftleft(1L, cast(pmod(xxhash64(digest), 64) as int))").alias("_mark"),
-    )
-    words = marks.groupBy("_word").agg(F.bit_or("_mark").alias("_marks"))
-    return (
-        rows.withColumn("_word", F.floor(at / 64))
-        .join(F.broadcast(words), "_word", "left")
-        .withColumn(
-            "_repeated",
-            F.coalesce(
-                F.expr("_marks & shiftleft(1L, cast(pmod(xxhash64(digest), 64) as int))") != 0, F.lit(False)
-            ),
-        )
-        .drop("_word", "_marks")
-    )
-
-
 def exact_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = sha256) -> DataFrame:
     """One row per document, dropped ones too: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = arrivals(docs, digest)
@@ -142,7 +113,7 @@ def exact_duplicates(docs: DataFrame, digest: Callable[[Column], Column] = sha25
 
 def _collisions(docs: DataFrame, repeated: DataFrame, digest) -> DataFrame | None:
     """Digests that stand for more than one text, after a look at every byte of the hits."""
-    hits = _maybe_repeated(_digested(docs, digest), repeated).where("_repeated")
+    hits = mark_likely(_digested(docs, digest), F.col("digest"), repeated).where("_likely")
     spans = hits.groupBy("digest").agg(F.min("norm").alias("first"), F.max("norm").alias("last"))
     collided = written(spans.where(F.col("first") != F.col("last")).select("digest"), "collided")
     return None if collided.isEmpty() else collided
@@ -168,22 +139,22 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns as they were.
 
     Texts that occur once pass by without a shuffle; only rows that may be repeated are
-    grouped, on (digest, text), so no two texts are taken for one.
+    grouped, on (digest, text), so no two texts are taken for one.  The id is part of the
+    join key, so copies of one text do not meet in one task.
     """
     rows = arrivals(docs)
     state = written(streamed_state(rows), "state")
     repeated = state.where(F.col("n") > 1)
     norm = normal(F.coalesce(F.col("text"), F.lit("")))
-    marked = _maybe_repeated(docs.withColumn("_norm", norm).withColumn("digest", sha256(F.col("_norm"))), repeated.select("digest"))
-    once = marked.where(~F.col("_repeated")).select(*docs.columns)
-    again = marked.where("_repeated")
-    last = again.groupBy("digest", "_norm").agg(F.max(F.struct("doc_id")).alias("_last"))
+    digested = docs.withColumn("_norm", norm).withColumn("_digest", sha256(F.col("_norm")))
+    marked = mark_likely(digested, F.col("_digest"), repeated.select("digest"))
+    once = marked.where(~F.col("_likely")).select(*docs.columns)
+    again = marked.where("_likely")
+    last = again.groupBy("_digest", "_norm").agg(F.max("doc_id").alias("_keep"))
     kept = (
-        again.join(
-            last.select("digest", "_norm", F.col("_last.doc_id").alias("_keep")), ["digest", "_norm"]
-        )
-        .where(F.col("doc_id").eqNullSafe(F.col("_keep")))
-        .dropDuplicates(["digest", "_norm"])
+        last.join(again, (again["_norm"] == last["_norm"]) & again["doc_id"].eqNullSafe(last["_keep"]))
+        .select(last["_digest"], last["_norm"], *[again[c] for c in docs.columns])
+        .dropDuplicates(["_digest", "_norm"])
     )
     return once.unionByName(kept.select(*docs.columns))
 
