@@ -23,8 +23,11 @@ from riskframe.functions.lookup import spread_join
 from riskframe.llm.common import ascii_lower, shared_folder, texts, written
 from riskframe.llm.membership import mark_likely
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
-ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk.  Without reserving space ahead, a partition takes the room of its rows alone.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: Files of arrivals that one micro-batch takes.
 FILES_PER_BATCH = 10_000
 
@@ -59,8 +62,9 @@ def streamed_state(rows: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> D
     (source,) = {f.rsplit("/", 1)[0] for f in rows.inputFiles()} or {None}
     if source is None:
         return spark.createDataFrame([], _STATE)
-    saved = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKS)
+    saved = {key: spark.conf.get(key, None) for key in STATE_SETTINGS}
+    for key, value in STATE_SETTINGS.items():
+        spark.conf.set(key, value)
     log = shared_folder(spark, "dedup-state")
     try:
         stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
@@ -75,7 +79,8 @@ def streamed_state(rows: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> D
         if run.exception():
             raise run.exception()
     finally:
-        spark.conf.set(STATE_STORE, saved) if saved else spark.conf.unset(STATE_STORE)
+        for key, value in saved.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
     state = spark.read.format("statestore").load(log)
     kept, n = state.schema["value"].dataType.names
     return state.select(
