@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import decontam, packing, preference, sharding, simhash_gph, stream_dedup
+from riskframe.llm import decontam, packing, preference, sharding, simhash_gph, stream_dedup, toxicity_gru
 from riskframe.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op4_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_gph.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_gru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_gru.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference.digest(preference.preference_pairs(table(spark, sf_dir, "conversations")))
 
@@ -36,6 +40,7 @@ def op10_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op4_simhash_pigeonhole,
+    op5_gru_toxicity,
     op6_preference_format,
     op7_bm25_decontamination,
     op8_jump_sharding,
