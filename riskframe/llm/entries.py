@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import decontam, packing, preference, sharding, simhash_gph, stream_dedup, toxicity_gru
+from riskframe.llm import decontam, packing, preference, quality_gbt, sharding, simhash_gph, stream_dedup, toxicity_gru
 from riskframe.llm.common import table
 
 
+def op3_gbt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gbt.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_simhash_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_gph.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op10_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    op3_gbt_quality,
     op4_simhash_pigeonhole,
     op5_gru_toxicity,
     op6_preference_format,
