@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import decontam, packing, preference, quality_gbt, sharding, simhash_gph, stream_dedup, toxicity_gru
+from riskframe.llm import decontam, packing, preference, quality_gbt, sharding, simhash_gph, stream_dedup, tagpaths, toxicity_gru
 from riskframe.llm.common import table
 
 
+def op2_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tagpaths.extracted(table(spark, sf_dir, "pages"))
+
+
 def op3_gbt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gbt.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +47,7 @@ def op10_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    op2_tag_path_extraction,
     op3_gbt_quality,
     op4_simhash_pigeonhole,
     op5_gru_toxicity,
