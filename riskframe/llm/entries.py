@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import decontam, packing, preference, quality_gbt, sharding, simhash_gph, stream_dedup, tagpaths, toxicity_gru
+from riskframe.llm import ctw, decontam, packing, preference, quality_gbt, sharding, simhash_gph, stream_dedup, tagpaths, toxicity_gru
 from riskframe.llm.common import table
 
 
+def op1_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.scores(table(spark, sf_dir, "documents"))
+
+
 def op2_tag_path_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagpaths.extracted(table(spark, sf_dir, "pages"))
 
@@ -47,6 +51,7 @@ def op10_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    op1_context_tree_weighting,
     op2_tag_path_extraction,
     op3_gbt_quality,
     op4_simhash_pigeonhole,
