@@ -39,8 +39,8 @@ def _mark(hashed: Column) -> Column:
 def without(rows: DataFrame, key: Column, keys: DataFrame, bits: int = MAP_BITS) -> DataFrame:
     """``rows`` whose ``key`` is not in ``keys``; only likely members take part in the join."""
     (name,) = keys.columns
-    marked = mark_likely(rows, key, keys, bits)
-    sure = marked.where(~F.col("_likely")).select(*rows.columns)
-    rest = marked.where("_likely").withColumn("_key", key)
-    left = rest.join(keys.select(F.col(name).alias("_key")), "_key", "left_anti")
-    return sure.unionByName(left.select(*rows.columns))
+    packed = rows.select(F.struct("*").alias("row"), key.alias("key"))
+    marked = mark_likely(packed, F.col("key"), keys, bits)
+    sure = marked.where(~F.col("_likely")).select("row.*")
+    left = marked.where("_likely").join(keys.select(F.col(name).alias("key")), "key", "left_anti")
+    return sure.unionByName(left.select("row.*"))

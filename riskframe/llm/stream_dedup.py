@@ -151,17 +151,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     state = written(streamed_state(rows), "state")
     repeated = state.where(F.col("n") > 1)
     norm = normal(F.coalesce(F.col("text"), F.lit("")))
-    digested = docs.withColumn("_norm", norm).withColumn("_digest", sha256(F.col("_norm")))
-    marked = mark_likely(digested, F.col("_digest"), repeated.select("digest"))
-    once = marked.where(~F.col("_likely")).select(*docs.columns)
+    packed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), norm.alias("norm"))
+    packed = packed.withColumn("digest", sha256(F.col("norm")))
+    marked = mark_likely(packed, F.col("digest"), repeated.select("digest"))
+    once = marked.where(~F.col("_likely")).select("doc.*")
     again = marked.where("_likely")
-    last = again.groupBy("_digest", "_norm").agg(F.max("doc_id").alias("_keep"))
-    kept = (
-        last.join(again, (again["_norm"] == last["_norm"]) & again["doc_id"].eqNullSafe(last["_keep"]))
-        .select(last["_digest"], last["_norm"], *[again[c] for c in docs.columns])
-        .dropDuplicates(["_digest", "_norm"])
-    )
-    return once.unionByName(kept.select(*docs.columns))
+    last = again.groupBy("digest", "norm").agg(F.max("id").alias("keep"))
+    last = last.select(F.col("digest").alias("its_digest"), F.col("norm").alias("its_norm"), "keep")
+    same = (F.col("digest") == F.col("its_digest")) & (F.col("norm") == F.col("its_norm"))
+    kept = again.join(last, same & F.col("id").eqNullSafe(F.col("keep"))).dropDuplicates(["digest", "norm"])
+    return once.unionByName(kept.select("doc.*"))
 
 
 ORACLE_SQL = """
