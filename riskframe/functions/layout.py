@@ -7,13 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from riskframe.schema import ID
 
 
-def spread(df: DataFrame, key: str = ID) -> DataFrame:
-    """Hash-partition a frame that has fewer partitions than the cluster has cores.
+def spread(df: DataFrame, key: str = ID, parts: int | None = None) -> DataFrame:
+    """Hash-partition narrow rows that are few bytes but much work each.
 
-    A large scan has plenty of partitions and is left alone.
+    The number of parts is stated, not asked from the data: asking a shuffled frame for its
+    partitions would run all shuffles above it once more.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(parts or tasks(df.sparkSession), key)
 
 
 def tasks(spark: SparkSession) -> int:

@@ -4,7 +4,8 @@ Spark's ``percentile`` keeps every distinct value of a column in one
 aggregation buffer, which fails once a column (a timestamp, a probability) has
 about as many values as rows.  Here each pass counts rows in a bounded number of
 equal-width buckets and keeps only the buckets that hold a wanted rank, so no
-task and no driver ever sees more than a few thousand rows.
+task and no driver ever sees more than a few thousand rows.  The first pass also sketches
+where the ranks lie, so the buckets of the second pass are fine there and mostly decide.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 BUCKETS = 4096
+#: Error of the sketch as a share of all rows, and the margin taken around it.
+SKETCH_ERROR = 1e-4
+MARGIN = 3e-4
 DIRECT_ROWS = 20_000
 
 
@@ -30,7 +34,7 @@ def exact_quantiles(
     """Linear-interpolation quantiles, nulls left out; ``None`` for empty columns."""
     exprs = columns if isinstance(columns, dict) else {c: F.col(c) for c in columns}
     exprs = {name: expr.cast("double") for name, expr in exprs.items()}
-    counts, stats = _bounds(df, exprs)
+    counts, stats = _bounds(df, exprs, probs)
     wanted = {
         i: {r for p in probs for r in _neighbours(p, n)} for i, n in enumerate(counts) if n
     }
@@ -64,24 +68,31 @@ def _interpolate(found: dict, column: int, p: float, n: int) -> float:
     return low + (high - low) * (p * (n - 1) - low_rank)
 
 
-def _bounds(df: DataFrame, exprs: dict[str, Column]):
+def _bounds(df: DataFrame, exprs: dict[str, Column], probs: list[float] = ()):
+    """Counts, and (min, max, sketched range of the wanted values) of each column."""
+    near = sorted({min(max(p + d, 0.0), 1.0) for p in probs for d in (-MARGIN, MARGIN)}) or [0.0, 1.0]
+    sketch = lambda e: F.percentile_approx(e, near, int(1 / SKETCH_ERROR))
     aggs = list(
-        chain.from_iterable((F.count(e), F.min(e), F.max(e)) for e in exprs.values())
+        chain.from_iterable((F.count(e), F.min(e), F.max(e), sketch(e)) for e in exprs.values())
     )
     row = tuple(df.agg(*[a.alias(f"a{i}") for i, a in enumerate(aggs)]).first())
-    counts = [row[3 * i] for i in range(len(exprs))]
-    return counts, [row[3 * i + 1 : 3 * i + 3] for i in range(len(exprs))]
+    counts = [row[4 * i] for i in range(len(exprs))]
+    stats = []
+    for i in range(len(exprs)):
+        low, high, found = row[4 * i + 1 : 4 * i + 4]
+        stats.append((low, high, (found[0], found[-1]) if found else None))
+    return counts, stats
 
 
 def _select(df, exprs, stats, wanted, buckets, direct_rows) -> dict[tuple[int, int], float]:
     found: dict[tuple[int, int], float] = {}
     brackets = []
     for i, ranks in wanted.items():
-        low, high = stats[i]
+        low, high, inner = stats[i]
         if low == high:
             found.update({(i, r): low for r in ranks})
         elif ranks:
-            brackets.append(dict(col=i, low=low, high=high, below=0, rows=None, ranks=ranks))
+            brackets.append(dict(col=i, low=low, high=high, below=0, rows=None, ranks=ranks, inner=inner))
     while brackets:
         brackets = _narrow(df, exprs, brackets, found, buckets, direct_rows)
     return found
@@ -137,18 +148,33 @@ def _longs(values) -> Column:
 
 
 def _bucket(brackets, buckets: int) -> Column:
-    """Equal-width bucket of ``v`` in its bracket; two halves where a width overflows."""
-    scales, middles = [], []
+    """Equal-width bucket of ``v`` in its bracket; two halves where a width overflows.
+
+    A bracket with a sketched inner range has its buckets there, and one more on each side.
+    """
+    scales, middles, lows, highs = [], [], [], []
     for b in brackets:
-        width = b["high"] - b["low"]
+        low, high = b.get("inner") or (b["low"], b["high"])
+        lows.append(low)
+        highs.append(high)
+        if low == high:
+            scales.append(0.0)
+            middles.append(low)
+            continue
+        width = high - low
         scale = buckets / width if width else math.inf
         scales.append(scale if math.isfinite(scale) and math.isfinite(width) else math.nan)
-        middle = b["low"] / 2 + b["high"] / 2
-        middles.append(middle if middle < b["high"] else b["low"])
+        middle = low / 2 + high / 2
+        middles.append(middle if middle < high else low)
 
     def of(values):
         return F.element_at(F.array(*[F.lit(float(x)) for x in values]), F.col("k") + 1)
 
-    scale = of(scales)
-    even = F.least(F.floor((F.col("v") - of([b["low"] for b in brackets])) * scale), F.lit(buckets - 1))
-    return F.when(F.isnan(scale), (F.col("v") > of(middles)).cast("long")).otherwise(even)
+    scale, value = of(scales), F.col("v")
+    even = F.least(F.floor((value - of(lows)) * scale), F.lit(buckets - 1))
+    return (
+        F.when(value < of(lows), F.lit(-1).cast("long"))
+        .when(value > of(highs), F.lit(buckets).cast("long"))
+        .when(F.isnan(scale), (value > of(middles)).cast("long"))
+        .otherwise(even)
+    )

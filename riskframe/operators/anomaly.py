@@ -13,10 +13,9 @@ from pyspark.sql.window import Window
 from riskframe.functions.layout import spread, tasks
 from riskframe.functions.numeric import hash_rank, safe_ratio
 from riskframe.functions.quantiles import exact_quantiles
-from riskframe.functions.sampling import hash_sample
 from riskframe.operators.patterns import frequent_groups
 from riskframe.schema import CRIME, ID, LABEL, PLACE
-from riskframe.session import checkpointed
+from riskframe.session import checkpointed, ship_package
 
 TREES = 100
 SAMPLE = 256
@@ -36,20 +35,27 @@ def average_path(n: float) -> float:
 
 
 def tree_samples(vecs: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
-    """``sample`` rows per tree, without multiplying the data by the number of trees.
+    """``sample`` rows per tree (all rows if there are fewer), by one rule at every size.
 
-    The trees x sample rows with the smallest seeded hashes are dealt to the trees in
-    turn (the forest is defined on subsamples).  Data smaller than that are few rows,
-    from which every tree draws its own sample.
+    Each tree ranks all rows by its own seeded hash and takes the smallest.  A row is kept only
+    for the trees in which its hash lies below a share that holds a few rows more than
+    the sample, so about trees x sample rows are ranked.  If a tree got too few, the share grows.
     """
-    pool = hash_sample(vecs.select(ID, "x"), trees * sample, seed)
-    if pool.count() == trees * sample:
-        dealing = Window.orderBy(hash_rank(F.col(ID), seed), ID)  # trees * sample rows
-        return pool.select((F.row_number().over(dealing) % trees).alias("tree"), "x")
-    dealt = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    dealt = dealt.repartition(tasks(vecs.sparkSession), "tree")
-    draw = Window.partitionBy("tree").orderBy(hash_rank(F.concat_ws(":", "tree", ID), seed), ID)
-    return dealt.withColumn("place", F.row_number().over(draw)).where(F.col("place") <= sample).select("tree", "x")
+    n = vecs.count()
+    need = min(sample, n)
+    share = min(1.0, (sample + 6 * sample**0.5 + 20) / max(n, 1))
+    while True:
+        limit = F.lit(int(share * 2**52))
+        rank = lambda tree: hash_rank(F.concat_ws(":", tree, F.col(ID)), seed)
+        kept = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: rank(tree) < limit)
+        dealt = vecs.select(ID, "x", F.explode(kept).alias("tree")).repartition(tasks(vecs.sparkSession), "tree")
+        draw = Window.partitionBy("tree").orderBy(rank(F.col("tree")), ID)
+        placed = dealt.withColumn("place", F.row_number().over(draw)).where(F.col("place") <= sample)
+        chosen = checkpointed(placed.select("tree", "x"))  # trees * sample rows at most
+        full = chosen.groupBy("tree").count().where(F.col("count") >= need).count()
+        if full == trees or share >= 1.0:
+            return chosen
+        share = min(1.0, share * 2)
 
 
 def grow_trees(samples: DataFrame, seed: int = SEED) -> DataFrame:
@@ -83,6 +89,7 @@ def grow_trees(samples: DataFrame, seed: int = SEED) -> DataFrame:
 
 def anomaly_scores(vecs: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
     """Add ``anomaly_score`` in 0..1, larger for rows that are easier to isolate."""
+    ship_package(vecs.sparkSession)
     grown = grow_trees(tree_samples(vecs, trees, sample, seed), seed).toPandas()  # <= trees * (2 * sample - 1) nodes
     grown = grown.sort_values(["tree", "node"])
     offsets = grown.groupby("tree")["node"].size().cumsum().shift(1, fill_value=0)

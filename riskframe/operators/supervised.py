@@ -25,6 +25,8 @@ from riskframe.session import checkpointed, use_checkpoint_dir
 
 SEED = 42
 MIN_TRAINING_ROWS = 50
+#: Candidate cuts of a number: every distinct value of ages, hours and counts is one.
+MAX_BINS = 256
 FEATURES = "features"
 WEIGHT = "peso"
 
@@ -123,6 +125,7 @@ def forest(trees: int = 200, depth: int = 10, min_leaf: int = 5) -> RandomForest
         maxDepth=depth,
         minInstancesPerNode=min_leaf,
         featureSubsetStrategy="sqrt",
+        maxBins=MAX_BINS,
         maxMemoryInMB=512,
         cacheNodeIds=True,  # rows remember their node, so deep trees are not sent again per level
         checkpointInterval=10,
@@ -210,7 +213,7 @@ def choose_model(
     train: DataFrame,
     valid: DataFrame,
     trees: int = 300,
-    depth: int = 20,
+    depth: int = 30,
     numbers: list[str] = MODEL_NUMBERS,
     categories: list[str] = COMPACT_CATEGORIES,
 ) -> ModelChoice:
@@ -243,9 +246,10 @@ def permutation_importance(
     row takes the feature of the next row in a random order.  That is a random
     permutation without a global sort, and no block grows with the data.  Only rows
     whose value really changes are scored again; the others keep their prediction.
+    A feature whose value never changes has importance 0.  Vectors are shuffled sparse.
     """
     base = model.score_features(model.preprocessor.transform(df)).select(
-        ID, F.col(LABEL).alias("y"), F.col("prediction").alias("old"), vector_to_array(FEATURES).alias("x")
+        ID, F.col(LABEL).alias("y"), F.col("prediction").alias("old"), F.col(FEATURES).alias("x")
     )
     base = spread(base).persist(StorageLevel.MEMORY_AND_DISK)
     sums = base.agg(
@@ -263,7 +267,7 @@ def permutation_importance(
     ring = Window.partitionBy("run", "block").orderBy("rank", ID)
     whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     donor = F.coalesce(F.lead("x").over(ring), F.first("x").over(whole))
-    paired = dealt.withColumn("d", donor)
+    paired = dealt.withColumn("d", vector_to_array(donor)).withColumn("x", vector_to_array("x"))
     changed = F.filter(F.sequence(F.lit(0), F.size("x") - 1), lambda j: F.col("x")[j] != F.col("d")[j])
     single = paired.withColumn("j", F.explode(changed)).select(
         "run",
@@ -283,10 +287,11 @@ def permutation_importance(
     after = safe_ratio((tp + F.col("d_tp")) * 2, chosen + F.col("d_chosen") + positives)
     # runs in which no value changed have no row and no drop
     means = effects.groupBy("j").agg((F.sum(before - after) / repeats).alias("importance"))
-    names = F.array(*[F.lit(n) for n in model.preprocessor.names])
-    ranked = means.select(
-        F.element_at(names, F.col("j") + 1).alias("feature"), np_round(F.col("importance"), 6).alias("importance")
-    ).orderBy(F.col("importance").desc(), "feature")
+    every = df_of(df, list(enumerate(model.preprocessor.names)), "j int, feature string")
+    importance = np_round(F.coalesce("importance", F.lit(0.0)), 6).alias("importance")
+    ranked = every.join(F.broadcast(checkpointed(means)), "j", "left").select("feature", importance)  # a row per feature
+    base.unpersist()
+    ranked = ranked.orderBy(F.col("importance").desc(), "feature")
     return ranked if top is None else ranked.limit(top)
 
 
@@ -344,10 +349,14 @@ def grid_search(
         .addGrid(base.minInstancesPerNode, list(min_leaf))
         .build()
     )
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)  # every forest of the grid reads it
     search = CrossValidator(
         estimator=base, estimatorParamMaps=grid, evaluator=MacroF1(), numFolds=folds, foldCol="fold", parallelism=parallelism
     )
-    fitted = search.fit(ready)
+    try:
+        fitted = search.fit(ready)
+    finally:
+        ready.unpersist()
     best = max(fitted.avgMetrics)
     rows = [
         (p[base.numTrees], p[base.maxDepth], p[base.minInstancesPerNode], round(float(m), 6), int(m == best))

@@ -44,6 +44,11 @@ class IncidentData:
     def clean(self) -> DataFrame:
         return clean(self.raw, self.medians)
 
+    @cached_property
+    def plain(self) -> DataFrame:
+        """Cleaned rows whose missing numbers stay null, for queries that use none: no median is fitted."""
+        return clean(self.raw, {})
+
     @cached_property
     def scored(self) -> DataFrame:
         return with_risk(self.clean, rates=place_rates(self.clean))

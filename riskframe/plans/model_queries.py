@@ -94,9 +94,9 @@ def train_forest(data):
 
 @query("train_logreg")
 def train_logreg(data):
-    train, valid, test = three_parts(data)
+    train, _, test = three_parts(data)
     model = sv.train_models(train, {"LogisticRegression": sv.logistic})["LogisticRegression"]
-    return sv.test_metrics(model, train, valid)
+    return sv.test_metrics(model, train, test)
 
 
 @query("predict_risk")
@@ -157,8 +157,7 @@ def score_new_calls(data):
 
 @query("grid_search")
 def grid_search(data):
-    """All twelve kinds of forest, with fewer trees than the library default (100 and 200)."""
-    return sv.grid_search(three_parts(data)[0], trees=(10, 20), depths=(5, 10, 15), parallelism=8)
+    return sv.grid_search(three_parts(data)[0], parallelism=8)
 
 
 @query("report_lines_with_metrics")
@@ -219,7 +218,7 @@ def elbow_choice(data):
 
 def kmeans_assigned(data):
     keep = ["risk_score", "risco_alto", "quantidade_suspeitos", "arma_utilizada", "tipo_crime", "bairro", "turno"]
-    return clustering.kmeans_labels(vectors(data, keep), 4)
+    return data.memo("kmeans", lambda: clustering.kmeans_labels(vectors(data, keep), 4))
 
 
 @query("kmeans_clusters")

@@ -118,7 +118,7 @@ def shift_of_day(data):
     ),
 )
 def high_risk_flag(data):
-    return data.clean.select(ID, "risco_alto")
+    return data.plain.select(ID, "risco_alto")
 
 
 @query(
@@ -141,7 +141,7 @@ def impute_median(data):
 
 @query("feature_flags", on_flags("select id_ocorrencia, arma_letal, crime_violento, periodo_noturno from flags"))
 def feature_flags(data):
-    return prep.with_flags(data.clean).select(ID, "arma_letal", "crime_violento", "periodo_noturno")
+    return prep.with_flags(data.plain).select(ID, "arma_letal", "crime_violento", "periodo_noturno")
 
 
 @query(
@@ -153,7 +153,7 @@ def feature_flags(data):
     ),
 )
 def rule_items(data):
-    return transactions(data.clean).select(ID, F.array_join("items", "|").alias("itens"))
+    return transactions(data.plain).select(ID, F.array_join("items", "|").alias("itens"))
 
 
 # --- filters ------------------------------------------------------------------------
@@ -167,7 +167,7 @@ def rule_items(data):
     ),
 )
 def filter_date_range(data):
-    return filters.in_dates(data.clean, START, END).select(ID, "bairro", "risco_alto")
+    return filters.in_dates(data.plain, START, END).select(ID, "bairro", "risco_alto")
 
 
 @query(
@@ -179,7 +179,7 @@ def filter_date_range(data):
     ),
 )
 def filter_date_range_older(data):
-    return filters.in_dates(data.clean, START, END, end_inclusive_midnight=True).select(ID, "bairro", "risco_alto")
+    return filters.in_dates(data.plain, START, END, end_inclusive_midnight=True).select(ID, "bairro", "risco_alto")
 
 
 @query(
@@ -190,7 +190,7 @@ def filter_date_range_older(data):
     ),
 )
 def filter_incidents(data):
-    picked = filters.pick(data.clean, place="NATION_11", weapon="Faca", shifts=["Noite", "Madrugada"])
+    picked = filters.pick(data.plain, place="NATION_11", weapon="Faca", shifts=["Noite", "Madrugada"])
     return picked.select(ID, "tipo_crime", "arma_utilizada", "turno")
 
 
@@ -204,7 +204,7 @@ def filter_incidents(data):
     ),
 )
 def filter_options(data):
-    return filters.cascading_options(data.clean, place="NATION_11", crime="Roubo")
+    return filters.cascading_options(data.plain, place="NATION_11", crime="Roubo")
 
 
 @query(
@@ -215,7 +215,7 @@ def filter_options(data):
     ),
 )
 def date_bounds(data):
-    return filters.date_bounds(data.clean).select(
+    return filters.date_bounds(data.plain).select(
         F.date_format("min_date", "yyyy-MM-dd").alias("min_date"),
         F.date_format("max_date", "yyyy-MM-dd").alias("max_date"),
     )
@@ -229,7 +229,7 @@ def date_bounds(data):
     ),
 )
 def recent_rows(data):
-    return filters.newest(data.clean).select(ID, time_text("data_ocorrencia").alias("momento"), "bairro")
+    return filters.newest(data.plain).select(ID, time_text("data_ocorrencia").alias("momento"), "bairro")
 
 
 @query(
@@ -240,7 +240,7 @@ def recent_rows(data):
     ),
 )
 def last_24h(data):
-    return filters.last_hours(data.clean, 24).select(ID, time_text("data_ocorrencia").alias("momento"), "bairro")
+    return filters.last_hours(data.plain, 24).select(ID, time_text("data_ocorrencia").alias("momento"), "bairro")
 
 
 # --- scoring ------------------------------------------------------------------------
@@ -248,12 +248,12 @@ def last_24h(data):
 
 @query("weapon_risk", on_scored("select id_ocorrencia, arma_utilizada, weapon_risk from scored"))
 def weapon_risk(data):
-    return data.clean.select(ID, "arma_utilizada", risk.weapon_risk(F.col("arma_utilizada")).alias("weapon_risk"))
+    return data.plain.select(ID, "arma_utilizada", risk.weapon_risk(F.col("arma_utilizada")).alias("weapon_risk"))
 
 
 @query("crime_risk", on_scored("select id_ocorrencia, tipo_crime, crime_risk from scored"))
 def crime_risk(data):
-    return data.clean.select(ID, "tipo_crime", risk.crime_risk(F.col("tipo_crime")).alias("crime_risk"))
+    return data.plain.select(ID, "tipo_crime", risk.crime_risk(F.col("tipo_crime")).alias("crime_risk"))
 
 
 @query("suspect_risk", on_scored(f"select id_ocorrencia, {r('suspect_risk', 9)} as suspect_risk from scored"))
@@ -270,7 +270,7 @@ def location_risk(data):
 @query("temporal_risk", on_scored(f"select id_ocorrencia, {r('temporal_risk', 9)} as temporal_risk from scored"))
 def temporal_risk(data):
     value = risk.temporal_risk(F.col("hora"), F.col("dia_semana_idx"), F.col("turno"))
-    return data.clean.select(ID, np_round(value, 9).alias("temporal_risk"))
+    return data.plain.select(ID, np_round(value, 9).alias("temporal_risk"))
 
 
 @query("risk_score", on_scored(f"select id_ocorrencia, {r('risk_score', 9)} as risk_score from scored"))
@@ -388,7 +388,7 @@ _CUT = """, cut as (select quantile_cont(epoch_us(data_ocorrencia), [6e-1, 7e-1,
     ),
 )
 def temporal_split(data):
-    return splits.temporal_split(data.clean).select(ID, "parte")
+    return splits.temporal_split(data.plain).select(ID, "parte")
 
 
 _THREE = (
@@ -400,7 +400,7 @@ _THREE = (
 
 
 def three_way(data):
-    return splits.temporal_split_3way(data.clean)
+    return splits.temporal_split_3way(data.plain)
 
 
 @query("temporal_split_3way", on_clean(_THREE + "\nselect id_ocorrencia, parte from split"))
@@ -420,7 +420,7 @@ from clean where data_ocorrencia is not null"""
     ),
 )
 def fixed_date_split(data):
-    return splits.fixed_date_split(data.clean, FIRST_CUT, SECOND_CUT).select(ID, "parte")
+    return splits.fixed_date_split(data.plain, FIRST_CUT, SECOND_CUT).select(ID, "parte")
 
 
 @query(
@@ -457,7 +457,7 @@ from clean group by risco_alto"""
     ),
 )
 def class_weights(data):
-    return splits.class_weights(data.clean).withColumn("peso", np_round(F.col("peso"), 6))
+    return splits.class_weights(data.plain).withColumn("peso", np_round(F.col("peso"), 6))
 
 
 @query(

@@ -31,7 +31,7 @@ def _round_rate(df, places=6, *more):
     ),
 )
 def overall_kpis(data):
-    return agg.overall_kpis(data.clean)
+    return agg.overall_kpis(data.plain)
 
 
 def _recent_sql(key, tail=""):
@@ -68,7 +68,7 @@ def alert_level(data):
 
     pct = F.col("taxa_risco") * 100
     levels = {"grupo": agg.GROUP_ALERT, "cidade": agg.CITY_ALERT, "crime": agg.CRIME_ALERT}
-    return agg.risk_by(data.clean, ["bairro"]).select(
+    return agg.risk_by(data.plain, ["bairro"]).select(
         "bairro", *[band(pct, high, mid, names).alias(k) for k, (high, mid, names) in levels.items()]
     )
 
@@ -81,7 +81,7 @@ from clean group by bairro order by avg(risco_alto) desc, bairro limit 5"""
     ),
 )
 def patrol_priority(data):
-    return agg.patrol_priority(data.clean)
+    return agg.patrol_priority(data.plain)
 
 
 @query(
@@ -93,7 +93,7 @@ from clean where arma_utilizada is not null group by bairro"""
     ),
 )
 def weapon_pivot(data):
-    return agg.weapon_pivot(data.clean).withColumnsRenamed(
+    return agg.weapon_pivot(data.plain).withColumnsRenamed(
         {"Arma de Fogo": "arma_de_fogo", "Explosivos": "explosivos"}
     )
 
@@ -106,7 +106,7 @@ from clean where dia_semana is not null group by dia_semana"""
     ),
 )
 def risk_by_weekday(data):
-    return _round_rate(agg.risk_by_weekday(data.clean), 6, "taxa_risco_pct")
+    return _round_rate(agg.risk_by_weekday(data.plain), 6, "taxa_risco_pct")
 
 
 @query(
@@ -117,7 +117,7 @@ def risk_by_weekday(data):
     ),
 )
 def risk_by_shift(data):
-    return _round_rate(agg.risk_by_shift(data.clean), 6, "taxa_risco_pct")
+    return _round_rate(agg.risk_by_shift(data.plain), 6, "taxa_risco_pct")
 
 
 @query(
@@ -156,17 +156,17 @@ def _top_sql(key, above=None):
 
 @query("top_bairros", _top_sql("bairro"))
 def top_bairros(data):
-    return _round_rate(agg.top_rates(data.clean, "bairro", 3))
+    return _round_rate(agg.top_rates(data.plain, "bairro", 3))
 
 
 @query("top_hours", _top_sql("hora"))
 def top_hours(data):
-    return _round_rate(agg.top_rates(data.clean, "hora", 3))
+    return _round_rate(agg.top_rates(data.plain, "hora", 3))
 
 
 @query("top_crimes", _top_sql("tipo_crime", "3e-1"))
 def top_crimes(data):
-    return _round_rate(agg.top_rates(data.clean, "tipo_crime", 3, above=0.3))
+    return _round_rate(agg.top_rates(data.plain, "tipo_crime", 3, above=0.3))
 
 
 @query(
@@ -178,7 +178,7 @@ def top_crimes(data):
     ),
 )
 def risk_statistics(data):
-    out = agg.risk_statistics(data.clean)
+    out = agg.risk_statistics(data.plain)
     return out.withColumns({c: time_text(c) for c in ("inicio", "fim")})
 
 
@@ -204,7 +204,7 @@ def bairro_summary(data):
     ),
 )
 def temporal_patterns(data):
-    return agg.temporal_patterns(data.clean)
+    return agg.temporal_patterns(data.plain)
 
 
 _RAW_TYPES = {
@@ -297,7 +297,7 @@ where dia_semana is not null and hora is not null group by dia_semana, hora"""
     ),
 )
 def risk_heatmap(data):
-    return agg.heatmap(data.clean).withColumn("media", np_round(F.col("media"), 6))
+    return agg.heatmap(data.plain).withColumn("media", np_round(F.col("media"), 6))
 
 
 _HOURS = ", ".join(f"{r(f'avg(risco_alto) filter (where hora = {h})')} as h{h:02d}" for h in range(24))
@@ -305,7 +305,7 @@ _HOURS = ", ".join(f"{r(f'avg(risco_alto) filter (where hora = {h})')} as h{h:02
 
 @query("risk_heatmap_pivot", on_clean(f"select dia_semana, {_HOURS} from clean where dia_semana is not null group by dia_semana"))
 def risk_heatmap_pivot(data):
-    return agg.heatmap_by_hour(data.clean)
+    return agg.heatmap_by_hour(data.plain)
 
 
 @query(
@@ -317,12 +317,12 @@ select 'dia_semana', dia_semana, {r('avg(risco_alto) * 100')} from clean where d
     ),
 )
 def risk_by_hour(data):
-    return agg.risk_by_hour_and_day(data.clean)
+    return agg.risk_by_hour_and_day(data.plain)
 
 
 @query("shift_counts", on_clean("select turno, count(*) as n from clean group by turno"))
 def shift_counts(data):
-    return agg.shift_counts(data.clean)
+    return agg.shift_counts(data.plain)
 
 
 @query(
@@ -334,7 +334,7 @@ group by d order by d desc limit 30"""
     ),
 )
 def daily_evolution(data):
-    return agg.daily_evolution(data.clean).withColumn("dia", F.date_format("dia", "yyyy-MM-dd"))
+    return agg.daily_evolution(data.plain).withColumn("dia", F.date_format("dia", "yyyy-MM-dd"))
 
 
 @query(
@@ -342,7 +342,7 @@ def daily_evolution(data):
     on_clean(f"select ano_mes, {r('avg(risco_alto)')} as taxa_risco from clean where ano_mes is not null group by ano_mes"),
 )
 def monthly_rate(data):
-    return agg.monthly_rate(data.clean)
+    return agg.monthly_rate(data.plain)
 
 
 @query(
@@ -356,7 +356,7 @@ def monthly_rate(data):
     ),
 )
 def top_rates(data):
-    return agg.top_places_and_crimes(data.clean)
+    return agg.top_places_and_crimes(data.plain)
 
 
 @query(
@@ -367,7 +367,7 @@ from clean where arma_utilizada is not null group by arma_utilizada order by n d
     ),
 )
 def weapon_counts(data):
-    return agg.weapon_counts(data.clean)
+    return agg.weapon_counts(data.plain)
 
 
 _CORR = ["risco_alto", "quantidade_suspeitos", "quantidade_vitimas", "hora", "dia_semana_idx"]
@@ -424,17 +424,17 @@ _KINDS = (patterns.PLACE_SHIFT, patterns.CRIME_WEAPON_PLACE, patterns.TIME_CRIME
 
 @query("pattern_place_shift", on_clean(f"select bairro, turno, total, alto_risco, {r('t')} as taxa_risco from ({_G1})"))
 def pattern_place_shift(data):
-    return patterns.place_shift(data.clean)
+    return patterns.place_shift(data.plain)
 
 
 @query("pattern_crime_weapon_place", on_clean(_G2.format(n=15)))
 def pattern_crime_weapon_place(data):
-    return patterns.crime_weapon_place(data.clean)
+    return patterns.crime_weapon_place(data.plain)
 
 
 @query("pattern_time_crime", on_clean(f"select dia_semana, hora, tipo_crime, total, {r('t')} as taxa_risco from ({_G3})"))
 def pattern_time_crime(data):
-    return patterns.time_crime(data.clean)
+    return patterns.time_crime(data.plain)
 
 
 @query(
@@ -446,7 +446,7 @@ select padrao, count(*) as linhas, (select count(distinct padrao) from p) as tot
     ),
 )
 def pattern_summary(data):
-    return patterns.pattern_summary(data.clean)
+    return patterns.pattern_summary(data.plain)
 
 
 @query(
@@ -457,7 +457,7 @@ union all select '{_KINDS[1]}', tipo_crime || ' + ' || arma_utilizada, cast(qtd
     ),
 )
 def pattern_labels(data):
-    return patterns.pattern_labels(data.clean)
+    return patterns.pattern_labels(data.plain)
 
 
 @query(
@@ -520,14 +520,14 @@ where s.support / a.support >= 3e-1)
 
 @query("frequent_itemsets", on_clean(_itemset_cte() + f"select itens, n, {r('support')} as support from sets"))
 def frequent_itemsets(data):
-    return rules.frequent_itemsets(data.clean, MIN_SUPPORT).select(
+    return rules.frequent_itemsets(data.plain, MIN_SUPPORT).select(
         F.array_join("items", "|").alias("itens"), "n", np_round(F.col("support"), 6).alias("support")
     )
 
 
 @query("association_rules", on_clean(_RULES + "select * from rules"))
 def association_rules(data):
-    return rules.association_rules(data.clean, MIN_SUPPORT, MIN_CONFIDENCE).withColumns(
+    return rules.association_rules(data.plain, MIN_SUPPORT, MIN_CONFIDENCE).withColumns(
         {side: F.array_join(side, "|") for side in ("antecedents", "consequents")}
     )
 
@@ -542,7 +542,7 @@ select *, cast(lift > 2 as integer) as critica from text order by lift desc, con
     ),
 )
 def top_rules(data):
-    return rules.top_rules(rules.association_rules(data.clean, MIN_SUPPORT, MIN_CONFIDENCE), 20)
+    return rules.top_rules(rules.association_rules(data.plain, MIN_SUPPORT, MIN_CONFIDENCE), 20)
 
 
 # --- report lines ---------------------------------------------------------------------
@@ -570,7 +570,7 @@ union all select 5, 'Tipos com maior risco: ' || string_agg(k || ' (' || {pct_te
     ),
 )
 def summary_lines(data):
-    return report.summary_lines(data.clean)
+    return report.summary_lines(data.plain)
 
 
 REPORT_TIME = "2025-01-01 00:00:00"
@@ -593,7 +593,7 @@ union all select cast(100 + i as integer), ' - ' || k || ': ' || {pct_text('t')}
     ),
 )
 def report_lines(data):
-    return report.report_lines(data.clean, REPORT_TIME)
+    return report.report_lines(data.plain, REPORT_TIME)
 
 
 @query(
@@ -608,4 +608,4 @@ union all select cast(29 + i as integer), 'Protocolos Especiais',
     ),
 )
 def recommendation_lines(data):
-    return report.recommendation_lines(data.clean)
+    return report.recommendation_lines(data.plain)
