@@ -8,7 +8,8 @@ reached does not take part.
 
 Work is done once per distinct gram (context and byte), not per position: the grams and words
 of a chunk of documents meet the model in joins on 64-bit keys, and come back as the chunk's own
-dictionary.  Words are keyed by 63 bits of XXH64.
+dictionary.  Values of a bounded number of frequent keys are broadcast, and only the rare
+keys of a chunk take part in the join.  Words are keyed by 62 bits of XXH64.
 
 Cases: null and empty texts have the end mark alone; without training texts every byte costs
 eight bits; repeated rows have equal scores; an empty table gives an empty result; other columns
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import fold_of, texts, workers_ready, written
 
-DEPTH = 4
+DEPTH = 5
 FOLDS, HELD_OUT_FOLD = 7, 2
 #: Bytes of text that share one dictionary, about.
 CHUNK_BYTES = 16 << 20
@@ -35,6 +36,8 @@ CHUNK_BYTES = 16 << 20
 BLOCK_BYTES = 2 << 20
 #: Distinct keys that a task gathers before it sends them on.
 KEYS_AT_ONCE = 1 << 20
+#: Keys whose values are broadcast, at most: the most frequent ones, which no dictionary then has to ask for.
+FREQUENT = 1 << 20
 #: Largest table of an n-gram numbering step; beyond it the step sorts.
 TABLE = 1 << 25
 
@@ -333,7 +336,8 @@ def scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     tokens, distinct = int(tokens or 0), int(distinct or 0)
     grams = counts.where(~is_word)
     words = counts.where(is_word).select("key", F.log10(F.col("n") + 1.0).alias("value"))
-    model = gram_values(grams, fit_root(grams)).unionByName(words)
+    model = written(gram_values(grams, fit_root(grams)).unionByName(words), "model")
+    frequent = rows.sparkSession.sparkContext.broadcast(frequent_values(counts, model))
 
     chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk")
     dealt = workers_ready(rows.select("doc_id", "text", "held_out", chunk))
@@ -341,13 +345,15 @@ def scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     def dictionary(rows: pd.DataFrame) -> pd.DataFrame:
         data = [t.encode() for t in rows["text"]]
         keys, _ = key_counts(data, [False] * len(data))
-        return pd.DataFrame({"chunk": rows["chunk"].iloc[0], "key": keys})
+        rare = keys[~_among(keys, frequent.value[0])]
+        return pd.DataFrame({"chunk": rows["chunk"].iloc[0], "key": rare})
 
     def scored(rows: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
         order = np.argsort(values["key"].to_numpy())
         keys, value = values["key"].to_numpy()[order], values["value"].to_numpy()[order]
         data = [t.encode() for t in rows["text"]]
-        out = [_scored(data[a:b], keys, value, tokens, distinct) for a, b in _blocks(data)]
+        lookups = [frequent.value, (keys, value)]
+        out = [_scored(data[a:b], lookups, tokens, distinct) for a, b in _blocks(data)]
         columns = [np.concatenate(c) for c in zip(*out)] if out else [[]] * 5
         names = ["n_tokens", "n_known", "base_score", "score", "bits_per_byte"]
         found = pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "held_out": rows["held_out"]})
@@ -362,9 +368,41 @@ def scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     )
 
 
-def _scored(data: list[bytes], keys: np.ndarray, value: np.ndarray, tokens: int, distinct: int) -> tuple[np.ndarray, ...]:
+def frequent_values(counts: DataFrame, model: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and values of the most frequent keys, ``most`` at most.
+
+    A count from which on they are few enough is read from the number of keys by (quarter
+    octave of the) count, a table of some hundred rows.
+    """
+    level = F.floor(4 * F.log2(F.col("n").cast("double"))).cast("int")
+    sizes = counts.where("n > 0").groupBy(level.alias("level")).count().collect()
+    total, least = 0, None
+    for row in sorted(sizes, key=lambda r: -r["level"]):
+        total += row["count"]
+        if total > most:
+            break
+        least = row["level"]
+    if least is None:
+        return np.empty(0, dtype=np.int64), np.empty(0)
+    found = model.join(counts.where((F.col("n") > 0) & (level >= least)).select("key"), "key").toPandas()
+    order = np.argsort(found["key"].to_numpy())
+    return found["key"].to_numpy()[order], found["value"].to_numpy()[order]
+
+
+def _among(wanted: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    if not len(keys):
+        return np.zeros(len(wanted), dtype=bool)
+    return keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted
+
+
+def _scored(data: list[bytes], lookups: list[tuple[np.ndarray, np.ndarray]], tokens: int, distinct: int) -> tuple[np.ndarray, ...]:
     def of(wanted: np.ndarray) -> np.ndarray:
-        return value[np.searchsorted(keys, wanted)]
+        out = np.full(len(wanted), np.nan)
+        for keys, value in lookups:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                out = np.where(keys[at] == wanted, value[at], out)
+        return out
 
     grams = Grams(data)
     edges = np.cumsum(grams.sizes) - grams.sizes
