@@ -13,6 +13,7 @@ their own and repeated items once; empty tables give an empty result; other colu
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -32,6 +33,8 @@ OVERLAP = 0.6
 SHINGLE = 5
 #: Postings in a block of the index.
 BLOCK = 32
+#: Ranges of items in an index whose bounds are checked for many windows at once.
+RANGES = 32
 #: Words of items that one broadcast index holds, about.  More items take further passes.
 INDEX_WORDS = 2_000_000
 #: Share of an item's words that count as its answer where no question mark tells.
@@ -73,11 +76,26 @@ class Postings:
             for term, found in lists.items()
         }
         self.most = {term: max(blocks) for term, (_, _, blocks) in self.lists.items()}
+        self.edges = np.linspace(0, len(items), min(RANGES, len(items)) + 1).astype(int)
 
-    def search(self, terms: list[int], share: float) -> list[tuple[int, float]]:
-        """Items whose score reaches ``share`` for this set of words, by block-max WAND."""
+    def range_bounds(self, terms: int) -> np.ndarray:
+        """(term, range of items): the largest impact there; the row after the last term is 0."""
+        bounds = np.zeros((terms + 1, len(self.edges) - 1), dtype=np.float32)
+        for term, (ids, shares, _) in self.lists.items():
+            np.maximum.at(bounds[term], np.searchsorted(self.edges, ids, side="right") - 1, shares)
+        return bounds
+
+    def search(self, terms: list[int], share: float, part: int) -> list[tuple[int, float]]:
+        """Items of a range whose score reaches ``share`` for this set of words, by block-max WAND."""
         share -= 1e-9
-        cursors = [[self.lists[t][0][0], 0, *self.lists[t], self.most[t]] for t in terms if t in self.lists]
+        low, high = int(self.edges[part]), int(self.edges[part + 1])
+        cursors = []
+        for t in terms:
+            if t in self.lists:
+                ids = self.lists[t][0]
+                at = bisect_left(ids, low)
+                if at < len(ids) and ids[at] < high:
+                    cursors.append([ids[at], at, *self.lists[t], self.most[t]])
         found = []
         while cursors:
             cursors.sort(key=lambda c: c[0])
@@ -113,7 +131,7 @@ class Postings:
                 target, moving = item, [c for c in cursors[: pivot + 1] if c[0] < item]
             for c in moving:
                 c[1] = _seek(c, target)
-                c[0] = c[2][c[1]] if c[1] < len(c[2]) else -1
+                c[0] = c[2][c[1]] if c[1] < len(c[2]) and c[2][c[1]] < high else -1
             cursors = [c for c in cursors if c[0] >= 0]
         return found
 
@@ -131,6 +149,7 @@ class ItemIndex:
     def __init__(self, items: list[tuple[int, str]], idf: dict[str, float], mean_words: float):
         self.vocabulary: dict[str, int] = {}
         classes: dict[int, list] = {}
+        common: dict[int, float] = {}
         for item_id, text in items:
             words = words_of(text)
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words]
@@ -139,6 +158,7 @@ class ItemIndex:
             for w, i in zip(words, ids):
                 counts[i] = counts.get(i, 0) + 1
                 weights[i] = idf[w]
+                common[i] = -idf[w]
             norm = K1 * (1 - B + B * len(words) / mean_words)
             impact = {i: weights[i] * n * (K1 + 1) / (n + norm) for i, n in counts.items()}
             own = sum(impact.values())
@@ -146,29 +166,26 @@ class ItemIndex:
             classes.setdefault((len(words) - 1).bit_length(), []).append(
                 ((item_id, ids, question_words(text)), impact)
             )
-        self.classes = [
-            Postings([i for i, _ in found], [m for _, m in found], 2 << size) for size, found in sorted(classes.items())
-        ]
-        self.most = []
-        for postings in self.classes:
-            most = np.zeros(len(self.vocabulary) + 1)
-            most[list(postings.most)] = list(postings.most.values())
-            self.most.append(most)
+        self.classes = []
+        for size, found in sorted(classes.items()):
+            # items with the same commonest words stand together, which makes bounds of ranges and blocks tight
+            found.sort(key=lambda x: (sorted(x[1], key=lambda i: -common[i])[:3], x[0][0]))
+            self.classes.append(Postings([i for i, _ in found], [m for _, m in found], 2 << size))
+        self.bounds = [postings.range_bounds(len(self.vocabulary)) for postings in self.classes]
+        self.most = [bounds.max(axis=1) for bounds in self.bounds]
 
     def hits(self, text: str, share: float, overlap: float) -> list[tuple[int, float, float, float, int]]:
         """(item_id, score, question and answer overlap, first word of the window) of verified items, the best window of each."""
         words = words_of(text)
         ids = np.fromiter(map(self.vocabulary.get, words, repeat(-1)), dtype=np.int64, count=len(words))
         best: dict[int, tuple] = {}
-        for postings, most in zip(self.classes, self.most):
+        for postings, bounds, most in zip(self.classes, self.bounds, self.most):
             window, step = postings.window, postings.window // 2
             starts = np.arange(0, max(1, len(ids) - step), step)
             sums = np.concatenate([[0.0], np.cumsum(most[ids])])
             bound = sums[np.minimum(starts + window, len(ids))] - sums[starts]
-            for start in starts[bound >= share - 1e-6].tolist():
-                span = ids[start : start + window].tolist()
-                terms = sorted({i for i in span if i >= 0})
-                for item, score in postings.search(terms, share):
+            for start, part, span, terms in _promising(ids, starts[bound >= share - 1e-5], window, bounds, share):
+                for item, score in postings.search(terms, share, part):
                     item_id, own, cut = postings.items[item]
                     asked, answered = _covered(span, own, cut)
                     if asked >= overlap and answered >= overlap and (item_id not in best or score > best[item_id][1]):
@@ -176,6 +193,32 @@ class ItemIndex:
         return [best[i] for i in sorted(best)]
 
 
+def _promising(
+    ids: np.ndarray, starts: np.ndarray, window: int, bounds: np.ndarray, share: float
+) -> Iterator[tuple[int, int, list[int], list[int]]]:
+    """Windows and ranges of items for which the distinct words could reach ``share``:
+    (start, range, word ids, distinct known word ids)."""
+    if not len(starts):
+        return
+    padded = np.concatenate([ids, np.full(window, -1, dtype=np.int64)])
+    for begin in range(0, len(starts), 256):
+        part = starts[begin : begin + 256]
+        ordered = np.sort(padded[part[:, None] + np.arange(window)], axis=1)
+        first = np.ones(ordered.shape, dtype=bool)
+        first[:, 1:] = ordered[:, 1:] != ordered[:, :-1]
+        first &= ordered >= 0
+        size = first.sum(axis=1)
+        known = ordered[first]
+        edges = np.cumsum(size) - size
+        some = size > 0
+        total = np.zeros((len(part), bounds.shape[1]), dtype=np.float32)
+        if some.any():
+            total[some] = np.add.reduceat(bounds[known], edges[some], axis=0)
+        for k, r in zip(*np.nonzero(total >= share - 1e-4)):
+            start = int(part[k])
+            yield start, int(r), ids[start : start + window].tolist(), known[edges[k] : edges[k] + size[k]].tolist()
+
+
 def _covered(span: list[int], item: list[int], cut: int) -> tuple[float, float]:
     """Shares of the words before and from ``cut`` that lie in shingles which the span has too."""
     width = min(SHINGLE, len(item))
