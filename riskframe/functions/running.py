@@ -5,21 +5,34 @@ from __future__ import annotations
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, NumericType
 from pyspark.sql.window import Window
 
 
-def range_slices(df: DataFrame, order: str, slices: int) -> list[float]:
+def _is_number(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, (NumericType, BooleanType))
+
+
+def range_slices(df: DataFrame, order: str, slices: int) -> list:
     """Cut points that split ``order`` into slices of about equal row count.
 
-    They only balance the work; any cut points give the same totals.
+    They only balance the work; any cut points give the same totals.  Values that are no numbers are
+    cut at ranks of a bounded sample of them (the smallest hashes).
     """
+    if not _is_number(df, order):
+        sample = df.select(order).where(F.col(order).isNotNull()).orderBy(F.xxhash64(order)).limit(50 * slices)
+        found = sorted({r[0] for r in sample.collect()})
+        return sorted({found[len(found) * i // slices] for i in range(1, slices)}) if found else []
     probs = [i / slices for i in range(1, slices)]
     row = df.agg(F.percentile_approx(F.col(order).cast("double"), probs, 10 * slices)).first()
     return sorted(set(row[0] or []))
 
 
-def with_slice(df: DataFrame, order: str, cuts: list[float], name: str = "_slice") -> DataFrame:
+def with_slice(df: DataFrame, order: str, cuts: list, name: str = "_slice") -> DataFrame:
     """Number of cut points <= value, as a double column."""
+    if cuts and not _is_number(df, order):
+        below = F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= F.col(order))
+        return df.withColumn(name, F.size(below).cast("double"))
     splits = [float("-inf"), *cuts, float("inf")]
     if len(splits) < 3:
         return df.withColumn(name, F.lit(0.0))

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.functions.lookup import lookup_join
 from riskframe.functions.numeric import count_of, np_round, safe_ratio
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.functions.risk import band
@@ -371,29 +372,22 @@ def histogram(df: DataFrame, column: str, bins: int = 30, group: str | None = No
     """
     keys = [group] if group else []
     values = df.where(F.col(column).isNotNull())
-    limits = values.groupBy(*keys).agg(F.min(column).alias("lo"), F.max(column).alias("hi")).collect()
-    ranges = {(r[group] if group else None): (float(r["lo"]), float(r["hi"])) for r in limits if r["lo"] is not None}
-
-    def by_group(pick):
-        branches = [(k, F.lit(float(pick(lo, hi)))) for k, (lo, hi) in ranges.items()]
-        if not group:
-            return branches[0][1] if branches else F.lit(0.0)
-        return F.coalesce(*[F.when(F.col(group) == k, v) for k, v in branches], F.lit(0.0))
-
-    low = by_group(lambda lo, hi: lo)
-    width = by_group(lambda lo, hi: (hi - lo) / bins or 1.0)
-    number = F.least(F.floor((F.col(column) - low) / width), F.lit(bins - 1)).cast("int")
-    counts = values.withColumn("faixa", number).groupBy(*keys, "faixa").agg(F.count(F.lit(1)).alias("n"))
+    low, high = F.min(column).cast("double"), F.max(column).cast("double")
+    limits = values.groupBy(*keys).agg(low.alias("lo"), high.alias("hi")).where(F.col("lo").isNotNull())
+    width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / bins).otherwise(F.lit(1.0))
+    limits = checkpointed(limits.withColumn("width", width))  # one row per group
+    if not group:
+        limits, values = limits.withColumn("_all", F.lit(0)), values.withColumn("_all", F.lit(0))
+    by = keys or ["_all"]
+    placed = lookup_join(values.select(*by, column), limits, by, "inner", spread_by=column)
+    number = F.least(F.floor((F.col(column) - F.col("lo")) / F.col("width")), F.lit(bins - 1)).cast("int")
+    counts = placed.withColumn("faixa", number).groupBy(*by, "faixa").agg(F.count(F.lit(1)).alias("n"))
     # all bins, also the empty ones
-    frame = values.sparkSession.createDataFrame(
-        [(k, b) for k in ranges for b in range(bins)],
-        f"{group or '_all'} {dict(df.dtypes)[group] if group else 'int'}, faixa int",
-    )
-    frame = frame.drop("_all")
-    out = frame.join(counts, [*keys, "faixa"], "left").select(
+    frame = limits.withColumn("faixa", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    out = frame.join(counts, [*by, "faixa"], "left").select(
         *keys,
         "faixa",
-        np_round(low + width * F.col("faixa"), 6).alias("inicio"),
+        np_round(F.col("lo") + F.col("width") * F.col("faixa"), 6).alias("inicio"),
         F.coalesce("n", F.lit(0).cast("long")).alias("n"),
     )
     if level is not None:

@@ -98,10 +98,17 @@ def squared_distance(x: Column, center: Column) -> Column:
     return F.aggregate(parts, F.lit(0.0), lambda acc, v: acc + v)
 
 
-def kmeans(vecs: DataFrame, k: int, seed: int = SEED):
-    """Lloyd iterations until the squared moves of all centres sum to at most 1e-4."""
+def kmeans(vecs: DataFrame, k: int, seed: int = SEED, starts: int = 1):
+    """Lloyd iterations until the squared moves of all centres sum to at most 1e-4.
+
+    Of several ``starts`` with different seeds the one with the least inertia is taken.
+    """
     tol = math.sqrt(1e-4 / k)  # MLlib compares the move of each single centre
-    return KMeans(k=k, seed=seed, maxIter=300, tol=tol, featuresCol="features", predictionCol="cluster").fit(vecs)
+
+    def fit(seed):
+        return KMeans(k=k, seed=seed, maxIter=300, tol=tol, featuresCol="features", predictionCol="cluster").fit(vecs)
+
+    return min((fit(seed + i) for i in range(starts)), key=lambda model: model.summary.trainingCost)
 
 
 def ordered_centers(model) -> list[int]:
@@ -112,10 +119,10 @@ def ordered_centers(model) -> list[int]:
     return [rank[i] for i in range(len(centers))]
 
 
-def kmeans_labels(vecs: DataFrame, k: int = 4, seed: int = SEED) -> DataFrame:
+def kmeans_labels(vecs: DataFrame, k: int = 4, seed: int = SEED, starts: int = 1) -> DataFrame:
     cached = spread(vecs).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = kmeans(cached, k, seed)
+        model = kmeans(cached, k, seed, starts)
     finally:
         cached.unpersist()
     labels = F.array(*[F.lit(i) for i in ordered_centers(model)])

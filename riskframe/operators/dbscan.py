@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from riskframe.functions.lookup import lookup_join
+from riskframe.functions.lookup import lookup_join, spread_join
 from riskframe.functions.running import running_totals
 from riskframe.operators.clustering import NOISE, squared_distance
 from riskframe.operators.components import connected_components
@@ -56,7 +56,7 @@ def dbscan(vecs: DataFrame, eps: float = 0.5, min_points: int = 5) -> DataFrame:
     )
     open_points = checkpointed(open_points)
     maybe = pairs.where(~F.col("sure")).select("a", "b")
-    asked = open_points.join(maybe, "a").select("a", F.col("b").alias("c"), "p_open", "x_open")
+    asked = spread_join(open_points, maybe, ["a"], "inner", spread_by="p_open").select("a", F.col("b").alias("c"), "p_open", "x_open")
     asked = lookup_join(asked, open_cells.select("c", F.lit(True).alias("c_open")), ["c"], "left")
     compared = lookup_join(points, asked, ["c"], "inner", spread_by="p").where(
         squared_distance(F.col("x"), F.col("x_open")) <= limit
@@ -180,7 +180,7 @@ def _neighbour_cells(cells: DataFrame, width: int, limit: Column) -> DataFrame:
         left = left.withColumn("step", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))).withColumn(g, F.col(g) + F.col("step"))
     left = left.drop("step")
     close = F.forall(F.zip_with("cell_a", "cell_b", lambda p, q: F.abs(p - q)), lambda d: d <= reach)
-    joined = left.join(right, ["seg", *coarse]).where((F.col("c_a") != F.col("c_b")) & close)
+    joined = spread_join(left, right, ["seg", *coarse], "inner", spread_by="c_a").where((F.col("c_a") != F.col("c_b")) & close)
     nearest, farthest = _box_distances()
     return joined.where(nearest <= limit).select(
         F.col("c_a").alias("a"), F.col("c_b").alias("b"), F.col("weight_b"), (farthest <= limit).alias("sure")

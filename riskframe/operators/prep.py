@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.numeric import as_number
@@ -23,6 +23,15 @@ from riskframe.schema import (
     WEAPON,
 )
 
+#: Kinds of written times other than ISO, with their patterns.
+TIME_PATTERNS = {
+    f"{order} first": [f"{date}{time}" for date in dates for time in (" H:m:s", " H:m", "")]
+    for order, dates in {
+        "month": ("M/d/yyyy", "M-d-yyyy"),
+        "day": ("d/M/yyyy", "d-M-yyyy", "d.M.yyyy"),
+    }.items()
+}
+
 
 def fit_medians(df: DataFrame, columns: list[str] = FILLED_NUMBERS) -> dict[str, float | None]:
     """Exact medians of the columns that exist.  Fit on the whole, unfiltered data."""
@@ -32,20 +41,42 @@ def fit_medians(df: DataFrame, columns: list[str] = FILLED_NUMBERS) -> dict[str,
     return {c: values[0] for c, values in exact_quantiles(df, present, [0.5]).items()}
 
 
+def _time_reading(column: Column, pattern: str | None) -> Column:
+    if pattern is None:
+        return column.try_cast("timestamp_ntz")
+    text = column.cast("string")
+    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)).cast("timestamp_ntz") for p in TIME_PATTERNS[pattern]])
+
+
+def fit_time_format(df: DataFrame) -> str | None:
+    """The kind of time text that the file has: None for ISO, or a key of ``TIME_PATTERNS``.
+
+    The kind that reads the most values wins; on equal numbers ISO comes first, then month first.
+    One pass over the time column, and none if it is typed.
+    """
+    if dict(df.dtypes).get(TIME) != "string":
+        return None
+    kinds = [None, *TIME_PATTERNS]
+    counts = df.agg(*[F.count(_time_reading(F.col(TIME), k)).alias(f"n{i}") for i, k in enumerate(kinds)]).first()
+    return kinds[max(range(len(kinds)), key=lambda i: (counts[i], -i))]
+
+
 def clean(
     df: DataFrame,
     medians: dict[str, float | None],
     text_label: str = NOT_INFORMED,
     missing_shift: str = NOT_INFORMED,
+    time_format: str | None = None,
 ) -> DataFrame:
     """Cleaned incidents; absent optional columns are skipped.
 
     Medians enter as literals, so the whole step is one projection of the scan.
-    An empty ``medians`` leaves numeric nulls as they are.
+    An empty ``medians`` leaves numeric nulls as they are.  ``time_format`` is what
+    ``fit_time_format`` finds.
     """
     out = {}
     if TIME in df.columns:
-        time = F.col(TIME).try_cast("timestamp_ntz")
+        time = _time_reading(F.col(TIME), time_format)
         out[TIME] = time
         out.update(time_parts(time, missing_shift))
     for name in FILLED_TEXT:

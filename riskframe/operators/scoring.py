@@ -18,6 +18,7 @@ from riskframe.schema import (
     SHIFT,
     WEAPON,
 )
+from riskframe.session import checkpointed
 
 
 def place_rates(history: DataFrame) -> DataFrame:
@@ -42,7 +43,7 @@ def with_risk(
 
     if PLACE in df.columns:
         if rates is None:
-            rates = place_rates(df if history is None else history)
+            rates = checkpointed(place_rates(df if history is None else history))  # a row per place, read twice
         spread_by = ID if ID in df.columns else None
         joined = lookup_join(df, rates, [PLACE], "left", spread_by=spread_by)
         rate = F.col("place_rate")

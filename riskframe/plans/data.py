@@ -51,7 +51,7 @@ class IncidentData:
 
     @cached_property
     def scored(self) -> DataFrame:
-        return with_risk(self.clean, rates=place_rates(self.clean))
+        return with_risk(self.clean, rates=checkpointed(place_rates(self.plain)))
 
     @cached_property
     def flagged(self) -> DataFrame:

@@ -338,6 +338,83 @@ def cluster_interpretation(data):
     return clustering.cluster_interpretation(clustering.cluster_profile(weekday_assignment(data)))
 
 
+# The weekday as cluster, and the risk score grouped by weekday modulo k: fixed inputs of the measures.
+_FIXED = """, assigned as (select id_ocorrencia, dia_semana_idx as cluster, risk_score as x, hora / 24e0 as y from scored
+  where dia_semana_idx is not null)
+"""
+
+
+def fixed_points(data):
+    """Labelled 2-D points that SQL can rebuild."""
+    from pyspark.ml.functions import array_to_vector
+
+    rows = data.scored.where(F.col("dia_semana_idx").isNotNull())
+    x = F.array(F.col("risk_score"), F.col("hora") / F.lit(24.0))
+    rows = rows.select(ID, F.col("dia_semana_idx").alias("cluster"), x.alias("x"))
+    return rows.withColumn("features", array_to_vector("x"))
+
+
+@query(
+    "silhouette_fixed",
+    on_scored(
+        _FIXED
+        + f""", s as (select cluster, count(*) as n, sum(x) as sx, sum(y) as sy, sum(x * x + y * y) as q from assigned group by cluster),
+d as (select a.id_ocorrencia, a.cluster = s.cluster as own, s.n,
+    (s.n * (a.x * a.x + a.y * a.y) - 2 * (a.x * s.sx + a.y * s.sy) + s.q) as total from assigned a cross join s),
+v as (select id_ocorrencia, max(n) filter (where own) as n, max(total / greatest(n - 1, 1)) filter (where own) as inner_mean,
+    min(total / n) filter (where not own) as outer_mean from d group by id_ocorrencia)
+select {r('avg(case when n = 1 then 0e0 else (outer_mean - inner_mean) / greatest(outer_mean, inner_mean) end)')} as silhouette_sq_euclidean from v"""
+    ),
+)
+def silhouette_fixed(data):
+    value = clustering.silhouette(fixed_points(data))
+    return six(data.spark.createDataFrame([(value,)], "silhouette_sq_euclidean double"), "silhouette_sq_euclidean")
+
+
+@query(
+    "davies_bouldin_fixed",
+    on_scored(
+        _FIXED
+        + f""", c as (select cluster, avg(x) as cx, avg(y) as cy from assigned group by cluster),
+s as (select cluster, cx, cy, avg(sqrt((x - cx) * (x - cx) + (y - cy) * (y - cy))) as spread from assigned join c using (cluster) group by all),
+w as (select a.cluster, max((a.spread + b.spread) / sqrt((a.cx - b.cx) * (a.cx - b.cx) + (a.cy - b.cy) * (a.cy - b.cy))) as worst
+  from s a join s b on a.cluster <> b.cluster group by a.cluster)
+select {r('avg(worst)')} as davies_bouldin from w"""
+    ),
+)
+def davies_bouldin_fixed(data):
+    points = fixed_points(data)
+    means = points.groupBy("cluster").agg(F.avg(F.col("x")[0]).alias("x"), F.avg(F.col("x")[1]).alias("y")).orderBy("cluster")
+    value = clustering.davies_bouldin(points, [(m["x"], m["y"]) for m in means.collect()])
+    return six(data.spark.createDataFrame([(value,)], "davies_bouldin double"), "davies_bouldin")
+
+
+_SWEEP = ", sweep as (" + " union all ".join(
+    f"select {k} as k, sum(v) as inertia from (select count(*) * var_pop(risk_score) as v from scored where dia_semana_idx is not null "
+    f"group by dia_semana_idx % {k})"
+    for k in range(1, 8)
+) + ")\n"
+
+
+@query(
+    "elbow_fixed",
+    on_scored(
+        _SWEEP
+        + """, b as (select k, inertia - 2 * lag(inertia, 1) over (order by k) + lag(inertia, 2) over (order by k) as bend from sweep)
+select cast(max_by(k, bend) as integer) as optimal_k, cast(1 as integer) as best_silhouette_k from b where bend is not null"""
+    ),
+)
+def elbow_fixed(data):
+    """The bend rule on inertias of fixed groups: weekday modulo k."""
+    rows = data.scored.where(F.col("dia_semana_idx").isNotNull())
+    rows = rows.select("risk_score", F.explode(F.sequence(F.lit(1), F.lit(7))).alias("k"), "dia_semana_idx")
+    groups = rows.groupBy("k", (F.col("dia_semana_idx") % F.col("k")).alias("g")).agg(
+        (F.count(F.lit(1)) * F.var_pop("risk_score")).alias("v")
+    )
+    sweep = groups.groupBy("k").agg(F.sum("v").alias("inertia")).withColumn("silhouette_sq_euclidean", F.lit(0.0))
+    return clustering.elbow_choice(sweep)
+
+
 # --- outliers --------------------------------------------------------------------------
 
 _KEEP = ["risco_alto", "tipo_crime", "bairro", "arma_utilizada", "turno", "quantidade_suspeitos", "quantidade_vitimas"]
@@ -392,6 +469,21 @@ def anomaly_stats(data):
     return six(stats, "anomaly_percentage", "anomalies_high_risk_rate", "normal_high_risk_rate", "risk_gap_pct")
 
 
+@query(
+    "anomaly_histogram_fixed",
+    on_scored(
+        _ODD
+        + f""", l as (select is_anomaly, min(risk_score) as lo, (max(risk_score) - min(risk_score)) / 30 as width from odd group by is_anomaly),
+b as (select is_anomaly, least(cast(floor((risk_score - lo) / width) as integer), 29) as faixa, count(*) as n
+  from odd join l using (is_anomaly) group by all),
+f as (select l.*, cast(i as integer) as faixa from l cross join range(30) t(i))
+select is_anomaly, faixa, {r('lo + width * faixa')} as inicio, coalesce(n, 0) as n from f left join b using (is_anomaly, faixa)"""
+    ),
+)
+def anomaly_histogram_fixed(data):
+    return aggregates.histogram(score_outliers(data), "risk_score", 30, group="is_anomaly")
+
+
 @query(
     "anomaly_groups",
     on_scored(

@@ -308,6 +308,30 @@ def risk_heatmap_pivot(data):
     return agg.heatmap_by_hour(data.plain)
 
 
+_FILLED_HOURS = ", ".join(f"coalesce({r(f'avg(risco_alto) filter (where hora = {h})')}, 0e0) as h{h:02d}" for h in range(24))
+
+
+@query(
+    "risk_heatmap_pivot_filled",
+    on_clean(f"select dia_semana, {_FILLED_HOURS} from clean where dia_semana is not null group by dia_semana"),
+)
+def risk_heatmap_pivot_filled(data):
+    return agg.heatmap_by_hour(data.plain, fill=0.0)
+
+
+@query(
+    "suspects_heatmap",
+    on_clean(
+        f"""select turno, dia_semana, {r('avg(quantidade_suspeitos)')} as media from clean
+where turno is not null and dia_semana is not null group by turno, dia_semana"""
+    ),
+)
+def suspects_heatmap(data):
+    """Any value over any two keys."""
+    found = agg.heatmap(data.clean, "dia_semana", "turno", "quantidade_suspeitos")
+    return found.withColumn("media", np_round(F.col("media"), 6))
+
+
 @query(
     "risk_by_hour",
     on_clean(

@@ -5,21 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.schema import MISSING_TOKENS, REQUIRED, TIME
+from riskframe.schema import ID, MISSING_TOKENS, REQUIRED, TIME
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """Incident CSV with a header; every column arrives as text.
 
-    No type inference: that would cost a second pass, and the cleaning step has to
-    tolerate malformed values anyway.
+    No type inference: that would cost a second pass over all columns, and the cleaning step
+    has to tolerate malformed values anyway.
     """
     df = spark.read.option("header", True).csv(path)
-    return df.select(
-        *[F.when(~F.col(c).isin(MISSING_TOKENS), F.col(c)).alias(c) for c in df.columns]
+    return with_typed_id(
+        df.select(*[F.when(~F.col(c).isin(MISSING_TOKENS), F.col(c)).alias(c) for c in df.columns])
     )
 
 
+def with_typed_id(df: DataFrame) -> DataFrame:
+    """A text id becomes a number if every id is one, so that 9 comes before 10; else it stays text.
+
+    Takes one pass over the id column.
+    """
+    if dict(df.dtypes).get(ID) != "string":
+        return df
+    number = F.col(ID).try_cast("long")
+    odd = df.where(F.col(ID).isNotNull() & number.isNull())
+    return df.withColumn(ID, number) if odd.isEmpty() else df
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

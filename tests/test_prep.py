@@ -29,12 +29,12 @@ def cleaned(raw):
 
 def test_csv_cleaning(cleaned):
     rows = {r["id_ocorrencia"]: r for r in cleaned.collect()}
-    assert rows["2"]["data_ocorrencia"] is None and rows["2"]["turno"] == "Não Informado" and rows["2"]["hora"] is None
-    assert rows["3"]["bairro"] == "Não Informado" and rows["3"]["hora"] == 0 and rows["3"]["fim_semana"] == 1
-    assert rows["4"]["tipo_crime"] == "Não Informado" and rows["4"]["turno"] == "Noite"
-    assert rows["2"]["arma_utilizada"] is None and rows["2"]["risco_alto"] == 0
-    assert [rows[i]["risco_alto"] for i in "134"] == [0, 1, 1]
-    assert rows["2"]["quantidade_suspeitos"] == 2.0 and rows["2"]["idade_suspeito"] == 30.0
+    assert rows[2]["data_ocorrencia"] is None and rows[2]["turno"] == "Não Informado" and rows[2]["hora"] is None
+    assert rows[3]["bairro"] == "Não Informado" and rows[3]["hora"] == 0 and rows[3]["fim_semana"] == 1
+    assert rows[4]["tipo_crime"] == "Não Informado" and rows[4]["turno"] == "Noite"
+    assert rows[2]["arma_utilizada"] is None and rows[2]["risco_alto"] == 0
+    assert [rows[i]["risco_alto"] for i in (1, 3, 4)] == [0, 1, 1]
+    assert rows[2]["quantidade_suspeitos"] == 2.0 and rows[2]["idade_suspeito"] == 30.0
     assert "latitude" not in cleaned.columns
 
 
