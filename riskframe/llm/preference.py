@@ -95,7 +95,7 @@ def preference_pairs(conversations: DataFrame, turns_per_part: int = TURNS_PER_P
 
     parts = (
         turns.join(pairs, "pair_id")
-        .groupBy("pair_id", F.floor(F.col("turn") / turns_per_part).cast("int").alias("part"))
+        .groupBy("pair_id", F.floor(F.greatest(F.col("turn"), F.lit(0)) / turns_per_part).cast("int").alias("part"))
         .agg(
             section("a", shared).alias("p"),
             section("a", ~shared).alias("c"),
@@ -151,7 +151,7 @@ with turns as (
 ), pairs as (
   select pair_id, min(turn) filter (a <> b) as split, max(len(a)) as na, max(len(b)) as nb from turns group by pair_id
 ), parts as (
-  select pair_id, floor(turn / {turns_per_part}e0)::int as part,
+  select pair_id, floor(greatest(turn, 0) / {turns_per_part}e0)::int as part,
     coalesce(flatten(list(a order by turn) filter (split is null or turn < split)), []) as p,
     coalesce(flatten(list(a order by turn) filter (turn >= split)), []) as c,
     coalesce(flatten(list(b order by turn) filter (turn >= split)), []) as r,

@@ -386,14 +386,17 @@ def all_links(fps: DataFrame, radius: int = RADIUS, full: int = FULL) -> DataFra
 
 
 def labelled(rows: DataFrame, radius: int = RADIUS, full: int = FULL) -> DataFrame:
-    """fp -> component_id, the smallest doc_id of the component, for every distinct fingerprint of ``rows``."""
+    """fp, root, component_id for every distinct fingerprint of ``rows``: a fingerprint that stands for
+    the component, and the smallest doc_id in it."""
     firsts = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     edges = all_links(firsts.select("fp"), radius, full)
     nodes = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
     members = connected_components(nodes, edges).withColumnRenamed("node", "fp").join(firsts, "fp")
     lowest = members.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    linked = members.join(lowest, "component").select("fp", "component_id")
-    return firsts.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    linked = members.join(lowest, "component").select("fp", "component", "component_id")
+    return firsts.join(linked, "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("root"), F.coalesce("component_id", "first_id").alias("component_id")
+    )
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, full: int = FULL) -> DataFrame:
@@ -411,9 +414,9 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     rows = fingerprints(docs)
     labels = written(labelled(rows, radius), "components")
     placed = spread_join(rows, labels, ["fp"], "inner", spread_by="doc_id")
-    placed = written(placed.select("doc_id", "text_hash", "component_id"), "placed")
-    first = F.min(F.struct("doc_id", "text_hash")).alias("first")
-    kept = placed.groupBy("component_id").agg(first).select(F.xxhash64("first.doc_id", "first.text_hash").alias("row"))
+    placed = written(placed.select("doc_id", "text_hash", "root"), "placed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
+    kept = placed.groupBy("root").agg(first).select(F.xxhash64("first.doc_id", "first.text_hash").alias("row"))
     every = placed.select(F.xxhash64("doc_id", "text_hash").alias("row")).distinct()
     gone = written(every.join(kept, "row", "left_anti"), "dropped")
     row = F.xxhash64("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))))
