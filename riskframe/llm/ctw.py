@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,7 @@ FOLDS, HELD_OUT_FOLD = 7, 2
 #: Bytes of text that share one dictionary, about.
 CHUNK_BYTES = 16 << 20
 #: Bytes of text that are turned into arrays at once.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 #: Distinct keys that a task gathers before it sends them on.
 KEYS_AT_ONCE = 1 << 20
 #: Keys whose values are broadcast, at most: the most frequent ones, which no dictionary then has to ask for.
@@ -49,8 +50,8 @@ def word_keys(words: list[bytes]) -> np.ndarray:
     """Keys with bit 62 set, so that they differ from all grams; the end token has one of its own."""
     import xxhash
 
-    low = WORD_BIT - 1
-    return np.array([WORD_BIT | max(1, xxhash.xxh64_intdigest(w) & low) for w in words], dtype=np.int64)
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    return np.maximum(hashes & np.uint64(WORD_BIT - 1), np.uint64(1)).astype(np.int64) | WORD_BIT
 
 
 class Grams:
@@ -72,10 +73,11 @@ class Grams:
             if len(grams) * size > TABLE:
                 codes, ids = np.unique(code, return_inverse=True)
             else:
-                there = np.zeros(len(grams) * size, dtype=bool)
-                there[code] = True
-                ids = (np.cumsum(there, dtype=np.int32) - 1)[code]
-                codes = np.nonzero(there)[0]
+                number = np.zeros(len(grams) * size, dtype=np.int32)
+                number[code] = 1
+                codes = np.nonzero(number)[0]
+                number[codes] = np.arange(len(codes), dtype=np.int32)
+                ids = number[code]
             grams = (grams[codes // size] << 8) | symbols[codes % size]
         # position t of the joined texts is the last byte of gram t - depth; those of padding go
         keep = np.ones(len(ids), dtype=bool)
@@ -101,6 +103,21 @@ def _blocks(data: list[bytes]) -> Iterator[tuple[int, int]]:
         yield start, len(data)
 
 
+def _portions(batches: Iterator[pd.DataFrame], size: int = 4 * BLOCK_BYTES) -> Iterator[tuple[list[bytes], list[bool]]]:
+    """Texts and training flags of the batches, in portions of about ``size`` bytes."""
+    data, training, total = [], [], 0
+    for batch in batches:
+        for text, train in zip(batch["text"], batch["training"]):
+            data.append(text.encode())
+            training.append(bool(train))
+            total += len(data[-1])
+            if total >= size:
+                yield data, training
+                data, training, total = [], [], 0
+    if data:
+        yield data, training
+
+
 def _lowered(data: bytes) -> list[bytes]:
     return data.lower().split()
 
@@ -108,6 +125,7 @@ def _lowered(data: bytes) -> list[bytes]:
 def key_counts(data: list[bytes], training: list[bool]) -> tuple[np.ndarray, np.ndarray]:
     """All keys of the texts and how often each occurs in those of ``training``."""
     words: Counter = Counter()
+    others: set[bytes] = set()
     keys, counts = [], []
     for start, stop in _blocks(data):
         part, train = data[start:stop], np.array(training[start:stop])
@@ -116,13 +134,11 @@ def key_counts(data: list[bytes], training: list[bool]) -> tuple[np.ndarray, np.
         keys.append(grams.grams)
         counts.append(np.bincount(grams.ids, weights=weight, minlength=len(grams.grams)).astype(np.int64))
         for d, t in zip(part, train):
-            if t:
-                words.update(_lowered(d))
-            else:
-                for w in _lowered(d):
-                    words[w] += 0
-    keys += [word_keys(list(words)), np.array([END_KEY])]
-    counts += [np.fromiter(words.values(), dtype=np.int64, count=len(words)), np.array([sum(training)])]
+            (words if t else others).update(_lowered(d))
+    others.difference_update(words)
+    keys += [word_keys([*words, *others]), np.array([END_KEY])]
+    seen = np.fromiter(words.values(), dtype=np.int64, count=len(words))
+    counts += [seen, np.zeros(len(others), dtype=np.int64), np.array([sum(training)])]
     return _summed(np.concatenate(keys), np.concatenate(counts))
 
 
@@ -138,8 +154,8 @@ def corpus_counts(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         keys, counts, size = [], [], 0
-        for batch in batches:
-            k, n = key_counts([t.encode() for t in batch["text"]], batch["training"].tolist())
+        for data, training in _portions(batches):
+            k, n = key_counts(data, training)
             keys.append(k)
             counts.append(n)
             size += len(k)
@@ -384,9 +400,10 @@ def frequent_values(counts: DataFrame, model: DataFrame, most: int = FREQUENT) -
         least = row["level"]
     if least is None:
         return np.empty(0, dtype=np.int64), np.empty(0)
-    found = model.join(counts.where((F.col("n") > 0) & (level >= least)).select("key"), "key").toPandas()
-    order = np.argsort(found["key"].to_numpy())
-    return found["key"].to_numpy()[order], found["value"].to_numpy()[order]
+    found = model.join(counts.where((F.col("n") > 0) & (level >= least)).select("key"), "key").toArrow()
+    keys, values = found["key"].to_numpy(), found["value"].to_numpy()
+    order = np.argsort(keys)
+    return keys[order], values[order]
 
 
 def _among(wanted: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -408,12 +425,12 @@ def _scored(data: list[bytes], lookups: list[tuple[np.ndarray, np.ndarray]], tok
     edges = np.cumsum(grams.sizes) - grams.sizes
     score = np.add.reduceat(of(grams.grams)[grams.ids], edges)
     split = [_lowered(d) for d in data]
-    index: dict[bytes, int] = {}
-    ids = [index.setdefault(w, len(index)) for words in split for w in words]
+    flat = list(chain.from_iterable(split))
+    index = {w: k for k, w in enumerate(dict.fromkeys(flat))}
     worth = of(word_keys(list(index))) if index else np.empty(0)
     end = float(of(np.array([END_KEY]))[0])
     n = np.array([len(words) for words in split], dtype=np.int64)
-    each = np.append(worth[np.array(ids, dtype=np.int64)], 0.0)
+    each = worth[np.fromiter(map(index.__getitem__, flat), dtype=np.int64, count=len(flat))]
     before = np.concatenate([[0], np.cumsum(n)])
     total, hits = np.concatenate([[0.0], np.cumsum(each)]), np.concatenate([[0], np.cumsum(each > 0)])
     base = total[before[1:]] - total[before[:-1]] + end - (n + 1) * np.log10(tokens + distinct + 1)
