@@ -43,20 +43,25 @@ PLAN_SAMPLE = 2000
 PARTITION_COUNTS = range(2, 9)
 
 
-def fingerprint(text: str) -> int:
-    """Majority bits of the XXH64 hashes of the word shingles, as a signed 64-bit number."""
+def shingle_hashes(text: str, shingle: int) -> np.ndarray:
+    """XXH64 hashes of the word shingles in order; fewer words than ``shingle`` are one, no words none."""
     import xxhash
 
     words = text.encode().lower().split()
     if not words:
-        return 0
+        return np.empty(0, dtype="<u8")
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    width = min(SHINGLE, len(words))
+    width = min(shingle, len(words))
     spans = zip(starts[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist())
     hashed = xxhash.xxh64_intdigest
-    hashes = np.array([hashed(joined[a:b], SEED) for a, b in spans], dtype="<u8")
+    return np.array([hashed(joined[a:b], SEED) for a, b in spans], dtype="<u8")
+
+
+def fingerprint(text: str) -> int:
+    """Majority bits of the XXH64 hashes of the word shingles, as a signed 64-bit number."""
+    hashes = shingle_hashes(text, SHINGLE)
     ones = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         part = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
@@ -413,7 +418,11 @@ def keep_one(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``docs`` with one row of each component, the one with the smallest id, all columns as they were."""
     rows = fingerprints(docs)
     labels = written(labelled(rows, radius), "components")
-    placed = spread_join(rows, labels, ["fp"], "inner", spread_by="doc_id")
+    return first_of_each(docs, spread_join(rows, labels, ["fp"], "inner", spread_by="doc_id"))
+
+
+def first_of_each(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """``docs`` with the row of the smallest id for each ``root`` of ``placed(doc_id, text_hash, root)``."""
     placed = written(placed.select("doc_id", "text_hash", "root"), "placed")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")
     kept = placed.groupBy("root").agg(first).select(F.xxhash64("first.doc_id", "first.text_hash").alias("row"))
