@@ -43,7 +43,7 @@ def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed_documents(table(spark, sf_dir, "documents"))
+    return packing.packed_documents(table(spark, sf_dir, "documents"), added=True)
 
 
 def op10_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

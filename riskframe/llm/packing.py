@@ -30,6 +30,8 @@ PIECES_PER_GROUP = 8192
 #: Words whose ids a Python worker remembers at most.
 WORDS_REMEMBERED = 400_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Text that the tokenizer file lists as an added token, and its id.
+ADDED, ADDED_ID = "<|endoftext|>", 50256
 
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 _PACKED = f"{_PIECES}, sequence_id long, offset long"
@@ -40,10 +42,11 @@ class WordTokenizer:
 
     The splitting pattern of this vocabulary never crosses from a non-space to a space, so a text
     may be cut before each space or line feed that stands between two other characters.  Texts with
-    longer runs of white space go through the tokenizer whole.
+    longer runs of white space go through the tokenizer whole.  With ``added``, as the tokenizer file does by
+    default, ``ADDED`` is one id wherever it stands and the parts around it are encoded apart; without, it is text.
     """
 
-    def __init__(self, vocabulary: str = VOCABULARY, remembered: int = WORDS_REMEMBERED):
+    def __init__(self, vocabulary: str = VOCABULARY, remembered: int = WORDS_REMEMBERED, added: bool = False):
         import public_tokenizers
         import tiktoken
 
@@ -53,12 +56,20 @@ class WordTokenizer:
             vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
         self._remembered = remembered
+        self._added = added
         self._words: dict[str, bytes | None] = {}
 
     def _encode(self, text: str) -> bytes:
         return np.array(self._encoding.encode_ordinary(text), dtype="<u4").tobytes()
 
     def ids(self, text: str) -> np.ndarray:
+        if not self._added or ADDED not in text:
+            return self._plain_ids(text)
+        added = np.array([ADDED_ID], dtype="<u4")
+        found = [ids for part in text.split(ADDED) for ids in (self._plain_ids(part), added)]
+        return np.concatenate(found[:-1])
+
+    def _plain_ids(self, text: str) -> np.ndarray:
         if "\x00" in text:
             return np.frombuffer(self._encode(text), dtype="<u4")
         pieces = text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")
@@ -87,9 +98,9 @@ def cut(ids: np.ndarray, window: int = WINDOW) -> list[tuple[int, int, int]]:
     ]
 
 
-def pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, added: bool = False) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = WordTokenizer()
+        tokenizer = WordTokenizer(added=added)
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
             out = []
@@ -171,6 +182,6 @@ def pack(found: DataFrame, window: int = WINDOW, per_group: int = PIECES_PER_GRO
     return workers_ready(found.select("*", group)).groupBy("pack").applyInPandas(run, _PACKED)
 
 
-def packed_documents(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
+def packed_documents(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, added: bool = False) -> DataFrame:
     """One row per piece: its place in its document and its place in its sequence."""
-    return pack(written(pieces(docs, window, end_id), "pieces"), window)
+    return pack(written(pieces(docs, window, end_id, added), "pieces"), window)

@@ -83,6 +83,29 @@ def test_token_ids_equal_those_of_the_tokenizer(spark):
         assert mine.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_queries_give_the_added_token_one_id(spark, tmp_path):
+    import corpus_pipeline
+    import public_tokenizers
+    from riskframe.llm import entries
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    mine = packing.WordTokenizer(remembered=50, added=True)
+    end = "<|endoftext|>"
+    texts = [end, end * 3, f" {end} ", f"one document.{end}Next one", f"a \n{end}\n\n b", f"a  {end}  b {end}", f"x\x00{end}y", f"a<|{end}|>b", end[:-1]]
+    for text in texts + [text_of(r) for r in rows()]:
+        assert mine.ids(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+    assert len(mine.ids(texts[3])) == 6
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = []
+    for i, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, packing.END_ID], dtype="<u4")
+        want.append((i, 0, len(ids), zlib.crc32(ids.tobytes()), len(ids)))
+    for got in (entries.op9_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.pack(spark, docs, "")):
+        assert sorted(map(tuple, got.select("doc_id", "start", "length", "ids_crc32", "doc_tokens").collect())) == want
+
+
 def test_packing_is_whole_and_tight(spark):
     got = packing.packed_documents(documents(spark)).toPandas()
     tokenizer = packing.WordTokenizer()
