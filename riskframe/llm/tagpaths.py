@@ -49,6 +49,7 @@ BLOCKS = frozenset(
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HOLDERS = frozenset("html body main article section div center table tbody tr td ol ul dl figure details".split())
+OUTERMOST = frozenset(["#", "html", "body"])
 CLOSES = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]),
     "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"]),
@@ -192,17 +193,49 @@ def main_text(page: str | None) -> str:
         holders = [e for e, w in weight.items() if e.holder is e and w == total]
     depth = {e: e.path.count("/") for e in holders}
     holder = max(holders, key=lambda e: (depth[e], weight[e])) if holders else filled[0][0]
-    loose = holder.tag in ("#", "html", "body")
+    return _joined(nodes, holder, paths)
+
+
+def _joined(nodes: list[tuple[_Element, str, int]], holder: _Element, paths: set[str]) -> str:
+    """Text of the blocks below ``holder``.  Links go with the text of their block; blocks of links alone are left out.
+
+    In a page without an article element, blocks count that have selected text, headings, what lies between
+    the first and the last of these blocks, and what shares the outermost wrapper of one.
+    """
+    loose = holder.tag in OUTERMOST
     blocks: dict[int, list[str]] = {}
+    linking, filled, worded, selected, headed = set(), set(), set(), set(), set()
+    wrappers: dict[int, _Element] = {}
     for e, t, b in nodes:
-        above, linked = e, False
+        above, linked, outer = e, False, None
         while above is not None and above is not holder:
-            linked = linked or above.tag == "a" and above.parent is holder
+            linked = linked or above.tag == "a" and (loose or above.parent is holder)
+            outer = above if above.tag in HOLDERS and above.tag not in OUTERMOST else outer
             above = above.parent
-        if above is None or (loose and e.path not in paths and not HEADINGS.intersection(e.path.split("/"))) or linked:
+        if above is None:
             continue
         blocks.setdefault(b, []).append(t)
-    out = [" ".join("".join(parts).split()) for _, parts in sorted(blocks.items())]
+        if outer is not None:
+            wrappers[b] = outer
+        if not t.strip():
+            continue
+        if linked:
+            linking.add(b)
+        else:
+            filled.add(b)
+            if any(c.isalnum() for c in t):
+                worded.add(b)
+            if e.path in paths:
+                selected.add(b)
+        if HEADINGS.intersection(e.path.split("/")):
+            headed.add(b)
+    kept = worded | (filled - linking)
+    chosen = selected & kept
+    if loose:
+        within = {wrappers[b] for b in chosen if b in wrappers}
+        first, last = min(chosen, default=0), max(chosen, default=-1)
+        kept = headed | {b for b in kept if first <= b <= last or wrappers.get(b) in within}
+    out = [" ".join("".join(parts).split()) for b, parts in sorted(blocks.items()) if b in kept]
     return "\n\n".join(t for t in out if t)
 
 

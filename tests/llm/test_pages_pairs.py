@@ -32,6 +32,20 @@ def test_main_text(page):
     assert tagpaths.main_text(page) == PAGES[page]
 
 
+LINK_PAGES = {
+    "<body><div><p>Text of one, long enough, with <a href=1>linked words</a> inside.</p></div><div><p>Text of two, long enough, with <a href=2>more words</a> too.</p></div>": "Text of one, long enough, with linked words inside.\n\nText of two, long enough, with more words too.",
+    "<body><p>Straight in the body, <a>a link</a>, and on.</p><ul><li>short item<li>other item</ul><blockquote>Quoted</blockquote><p>And the end, after <a>all</a>, of the text.</p>": "Straight in the body, a link, and on.\n\nshort item\n\nother item\n\nQuoted\n\nAnd the end, after all, of the text.",
+    "<body><div><p>One text, long enough, to be the text.</p></div><ul><li><a>Home</a> | <a>About</a></ul><div><p>Other text, long enough, to be the text.</p><ul><li>last item</ul></div>": "One text, long enough, to be the text.\n\nOther text, long enough, to be the text.\n\nlast item",
+    "<article>Bare text, with <a>linked words</a>, and more.<br>Second line, <a>again</a>.<p>Paragraph, at the end.</p><a>Share</a> <a>Print</a></article>": "Bare text, with linked words, and more. Second line, again.\n\nParagraph, at the end.",
+    "<table><tr><td>Cell text, with <a>linked words</a>, and more.</td></tr></table>": "Cell text, with linked words, and more.",
+}
+
+
+@pytest.mark.parametrize("page", LINK_PAGES)
+def test_links_inside_sentences_stay(page):
+    assert tagpaths.main_text(page) == LINK_PAGES[page]
+
+
 def test_every_article_paragraph_of_the_pages(spark):
     import html
     import re
