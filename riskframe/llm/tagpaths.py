@@ -3,7 +3,8 @@
 Text length and punctuation are summed per root-to-leaf tag path and divided by the path's
 nodes.  Both ratios are smoothed along the page, fused, averaged per path and compared with
 a threshold.  The element that holds the selected nodes is the article; its headings and
-short paragraphs come along, subtrees that are marked as something else do not.
+short paragraphs come along, subtrees that are marked as something else do not, unless they hold
+most of the selected text.
 
 Cases: a null or empty page, or one without content, has an empty text; unclosed elements end
 with their parents; an unclosed comment, script or style runs to the end of the page; pages of
@@ -50,42 +51,64 @@ BLOCKS = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HOLDERS = frozenset("html body main article section div center table tbody tr td ol ul dl figure details".split())
 OUTERMOST = frozenset(["#", "html", "body"])
+NEVER_MARKED = frozenset("html body main article".split())
 CLOSES = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]),
     "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"]),
 }
 LIMITS = frozenset("ul ol dl table body html article main section div".split())
 INLINE = frozenset("b i em strong u s span font small big sub sup mark code q cite abbr time tt kbd var ins del".split())
-#: Words in class, id or role that mark a subtree as something other than the article.
+#: Words in class, id or role that mark a subtree as something other than the article, alone or in a compound name.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs pagination pager sidebar aside complementary footer contentinfo header masthead comment comments "
     "commentlist disqus reply replies respond cookie cookies consent gdpr notice notices alert popup modal overlay newsletter "
     "subscribe subscription signup login share sharing social related recommended widget copyright search form toolbar skip".split()
 )
+#: Words that only say what kind of box a mark is on ("ad-box"), and words that deny it ("no-sidebar").
+PLAIN = frozenset(
+    "area articles bar block body bottom box boxes btn button buttons col column container content cta field group holder icon "
+    "icons inner input item items left link links list main module outer page panel placeholder post posts right row section "
+    "site slot text top trail unit wrap wrapper zone".split()
+)
+DENIALS = frozenset("has no non not with without".split())
+#: Shares of the selected text of a page that make a marked subtree the article after all: marked by a
+#: compound name, and by a whole one (which takes ``SURE_BLOCKS`` blocks besides).
+UNSURE_SHARE, SURE_SHARE, SURE_BLOCKS = 0.5, 0.9, 2
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "skipped", "path", "holder")
+    __slots__ = ("tag", "parent", "skipped", "marked", "path", "holder")
 
-    def __init__(self, tag: str, parent: _Element | None, skipped: bool):
-        self.tag, self.parent = tag, parent
+    def __init__(self, tag: str, parent: _Element | None, skipped: bool, marked: float = 0.0):
+        self.tag, self.parent, self.marked = tag, parent, marked
         self.skipped = skipped or (parent is not None and parent.skipped)
         above = parent.path if parent is not None else ""
         self.path = above if tag in INLINE else f"{above}/{tag}"
         self.holder = self if tag in HOLDERS or parent is None else parent.holder
 
 
-def _marked(tag: str, attributes: str) -> bool:
+def _hidden(tag: str, attributes: str) -> bool:
     if tag in SKIPPED:
         return True
-    if not attributes.strip() or tag in ("html", "body", "main", "article"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    return any(
-        not MARKS.isdisjoint(_PARTS.findall((a or b or c).lower())) for a, b, c in _NAMED.findall(attributes)
-    )
+    return tag not in NEVER_MARKED and bool(attributes.strip()) and bool(_HIDDEN.search(attributes))
+
+
+def _marked(tag: str, attributes: str) -> float:
+    """Share of the selected text that a subtree needs in spite of its marks; 0 without marks."""
+    if tag in NEVER_MARKED or not attributes.strip():
+        return 0.0
+    share = 0.0
+    for a, b, c in _NAMED.findall(attributes):
+        for name in (a or b or c).lower().split():
+            parts = _PARTS.findall(name)
+            if MARKS.isdisjoint(parts):
+                continue
+            if len(parts) == 1:
+                return SURE_SHARE
+            if DENIALS.isdisjoint(parts) and (parts[-1] in MARKS or all(p in MARKS or p in PLAIN for p in parts)):
+                share = UNSURE_SHARE
+    return share
 
 
 def text_nodes(page: str) -> tuple[list[tuple[_Element, str, int]], int]:
@@ -129,7 +152,7 @@ def text_nodes(page: str) -> tuple[list[tuple[_Element, str, int]], int]:
             _close_implied(stack, tag)
         if tag in VOID or attributes.rstrip().endswith("/") and tag not in BLOCKS:
             continue
-        stack.append(_Element(tag, stack[-1], _marked(tag, attributes)))
+        stack.append(_Element(tag, stack[-1], _hidden(tag, attributes), _marked(tag, attributes)))
     return [n for n in nodes if not n[0].skipped], block
 
 
@@ -137,7 +160,7 @@ def _close_implied(stack: list[_Element], tag: str) -> None:
     """A block ends an open paragraph; list items and cells end their like; an article ends an unclosed menu."""
     if tag in ("article", "main"):
         for k in range(1, len(stack)):
-            if stack[k].skipped:
+            if stack[k].skipped or stack[k].marked:
                 del stack[k:]
                 return
     ends = CLOSES.get(tag, frozenset())
@@ -170,10 +193,40 @@ def selected_paths(nodes: list[tuple[str, str]]) -> set[str]:
     return {str(p) for p, g in zip(paths, good) if g}
 
 
+def _without_marked(nodes: list[tuple[_Element, str, int]]) -> list[tuple[_Element, str, int]]:
+    """``nodes`` without marked subtrees, but with those that hold so much of the selected text that they are the article."""
+    marks: dict[_Element, list[_Element]] = {}
+    for e, _, _ in nodes:
+        if e not in marks:
+            marks[e], above = [], e
+            while above is not None:
+                if above.marked:
+                    marks[e].append(above)
+                above = above.parent
+    if not any(marks.values()):
+        return nodes
+    filled = [(e, t, b) for e, t, b in ((e, " ".join(t.split()), b) for e, t, b in nodes) if t]
+    paths = selected_paths([(e.path, t) for e, t, _ in filled]) if filled else set()
+    total, weight, held = 0, {}, {}
+    for e, t, b in filled:
+        if e.path in paths:
+            total += len(t)
+            for m in marks[e]:
+                weight[m] = weight.get(m, 0) + len(t)
+                held.setdefault(m, set()).add(b)
+
+    def dropped(m: _Element) -> bool:
+        few = m.marked == SURE_SHARE and len(held.get(m, ())) < SURE_BLOCKS
+        return few or weight.get(m, 0) <= m.marked * total
+
+    gone = {m for m in set().union(*marks.values()) if dropped(m)}
+    return [n for n in nodes if gone.isdisjoint(marks[n[0]])]
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    nodes = [(e, t, b) for e, t, b in text_nodes(page)[0]]
+    nodes = _without_marked(text_nodes(page)[0])
     filled = [(e, " ".join(t.split()), b) for e, t, b in nodes]
     filled = [n for n in filled if n[1]]
     if not filled:

@@ -46,6 +46,29 @@ def test_links_inside_sentences_stay(page):
     assert tagpaths.main_text(page) == LINK_PAGES[page]
 
 
+TEXT = "<h1>Title</h1><p>First text, long enough, to be kept.</p><p>Second text, long enough, to be kept.</p>"
+KEPT = "Title\n\nFirst text, long enough, to be kept.\n\nSecond text, long enough, to be kept."
+
+
+@pytest.mark.parametrize(
+    "name", ["no-sidebar", "has-sidebar", "with-header", "content-form", "search-results", "content-sidebar-wrap", "widget", "page header"]
+)
+def test_marks_on_the_wrapper_of_a_page_leave_its_text(name):
+    assert tagpaths.main_text(f"<body><div class='{name}'>{TEXT}</div><footer>Imprint, 2020.</footer>") == KEPT
+
+
+@pytest.mark.parametrize("name", ["share-price", "notice-period"])
+def test_parts_of_names_are_no_marks(name):
+    assert tagpaths.main_text(f"<article>{TEXT}<section id='{name}'>Fell, by one.</section></article>") == f"{KEPT}\n\nFell, by one."
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-box", "comments", "site-footer", "share-buttons", "x sidebar", "related-posts"])
+def test_marked_parts_of_an_article_go(name):
+    other = f"<div class='{name}'><p>Other, words.</p><p>And more, words.</p></div>"
+    assert tagpaths.main_text(f"<article>{TEXT}{other}</article>") == KEPT
+    assert tagpaths.main_text(f"<body><div>{TEXT}</div>{other}") == KEPT
+
+
 def test_every_article_paragraph_of_the_pages(spark):
     import html
     import re
