@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import ctw, decontam, packing, preference, quality_gbt, sharding, simhash_gph, stream_dedup, tagpaths, toxicity_gru
+from riskframe.llm import ctw, decontam, packing, preference, quality_gbt, sharding, simhash_gph, stream_dedup, tagpaths, token_files, toxicity_gru
 from riskframe.llm.common import table
 
 
@@ -50,6 +50,10 @@ def op10_stream_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_token_bit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.stored_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_context_tree_weighting,
     op2_tag_path_extraction,
@@ -61,6 +65,7 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op8_jump_sharding,
     op9_best_fit_packing,
     op10_stream_exact_dedup,
+    op11_token_bit_files,
 ]
 
 
