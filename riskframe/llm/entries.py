@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import ctw, decontam, packing, preference, quality_gbt, sharding, simhash_gph, stream_dedup, tagpaths, token_files, toxicity_gru
+from riskframe.llm import ctw, decontam, hard_negatives, packing, preference, quality_gbt, ranked_search, sharding, simhash_gph, stream_dedup, tagpaths, token_files, toxicity_gru
 from riskframe.llm.common import table
 
 
@@ -54,6 +54,14 @@ def op11_token_bit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.stored_tokens(table(spark, sf_dir, "documents"))
 
 
+def op12_lemp_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_norm_bucket_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_context_tree_weighting,
     op2_tag_path_extraction,
@@ -66,6 +74,8 @@ QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op9_best_fit_packing,
     op10_stream_exact_dedup,
     op11_token_bit_files,
+    op12_lemp_hard_negatives,
+    op13_norm_bucket_search,
 ]
 
 
@@ -78,4 +88,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_preference_format": preference.oracle_sql(),
         "op8_jump_sharding": sharding.oracle_sql(),
         "op10_stream_exact_dedup": stream_dedup.ORACLE_SQL,
+        "op12_lemp_hard_negatives": hard_negatives.ORACLE_SQL,
+        "op13_norm_bucket_search": ranked_search.ORACLE_SQL,
     }
