@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import string
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +52,25 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of rows that go to a Python worker at once, where rows are large.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: int = BATCH_BYTES) -> Iterator[None]:
+    """Jobs started inside send rows to Python in batches of about ``size`` bytes, or one row if it is larger."""
+    before = spark.conf.get(_BATCH_SETTING, None)
+    spark.conf.set(_BATCH_SETTING, size)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_SETTING)
+        else:
+            spark.conf.set(_BATCH_SETTING, before)
+
+
 def workers_ready(df: DataFrame) -> DataFrame:
     ship_package(df.sparkSession)
     return df

@@ -21,6 +21,7 @@ two files, however long; an empty table gives no documents; other columns are ig
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -34,18 +35,18 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.layout import tasks
 from riskframe.functions.lookup import lookup_join
-from riskframe.llm.common import shared_folder, texts, workers_ready, written
+from riskframe.llm.common import shared_folder, small_batches, texts, workers_ready, written
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 #: Ids of a block, a multiple of 64.
 BLOCK = 4096
 #: Ids after which a file is closed.
-FILE_IDS = 1 << 24
+FILE_IDS = 1 << 23
 #: Bytes of text in a part, about.
 PART_BYTES = 64 << 20
-#: Words whose ids a Python worker remembers at most.
-WORDS_REMEMBERED = 400_000
+#: Words of a generation whose ids a Python worker remembers.
+WORDS_REMEMBERED = 300_000
 
 MAGIC = b"IDBITS01"
 #: Stands after every file, as the sink ends each record with it.
@@ -154,42 +155,70 @@ class TokenFile:
 class WordIds:
     """Ids of a text by the tokenizers library, remembered word by word.
 
-    The splitting pattern of this vocabulary never crosses from a non-space to a space, so a text may be
-    cut before each space or line feed that stands between two other characters.  Texts with longer runs of
-    white space go through the tokenizer whole.
+    The splitting pattern of this vocabulary never crosses from a non-space to a space, nor from a letter or
+    number to another sign.  So a text may be cut before each space or line feed that stands between two other
+    characters, and before a comma or full stop behind a letter or number.  Texts with longer runs of white space go
+    through the tokenizer whole.  Words are remembered in two generations, so those in use outlive the rare ones.
     """
 
+    #: What may stand before a comma or full stop that is cut off, other than white space: letters and numbers.
+    _SIGNS = re.compile(r"[^ \n\tA-Za-z0-9À-ÖØ-öø-ɏ][,.]")
+
     def __init__(self, path: str, remembered: int = WORDS_REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self.size = self._tokenizer.get_vocab_size()
+        # a token's text has one character for each of its bytes
+        self._bytes = np.array([len(self._tokenizer.id_to_token(i) or "") for i in range(self.size)], dtype=np.int64)
         self._remembered = remembered
         self._words: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(f.ids, dtype="<u4").tobytes() for f in found]
+    def _learn(self, pieces: list[str]) -> None:
+        """Remember the ids of new pieces.  Those that begin with a space or line feed are encoded as one text."""
+        joined = [p for p in pieces if p[0] in " \n"]
+        ids = self._encode("".join(joined))
+        ends = np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum([len(p.encode()) for p in joined]), side="left") + 1
+        data, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
+        self._words.update((p, data[a:b]) for p, a, b in zip(joined, edges, edges[1:]))
+        self._words.update((p, self._encode(p).tobytes()) for p in pieces if p[0] not in " \n")
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
         if "\x00" in text:
-            return self._encode([text])[0]
-        pieces = text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")
-        known = self._words
-        found = list(map(known.get, pieces))
-        if None in found:
-            new = list(dict.fromkeys(p for p, ids in zip(pieces, found) if ids is None))
-            if any(p != pieces[0] and (len(p) < 2 or p[1].isspace()) for p in new) or pieces[0][-1:].isspace():
-                return self._encode([text])[0]
-            if len(known) + len(new) > self._remembered:
-                known.clear()
-            known.update(zip(new, self._encode(new)))
-            found = [known[p] if ids is None else ids for p, ids in zip(pieces, found)]
-        return b"".join(found)
+            return self._encode(text).tobytes()
+        cut = text.replace(" ", "\x00 ").replace("\n", "\x00\n")
+        if not self._SIGNS.search(text):
+            cut = cut.replace(",", "\x00,").replace(".", "\x00.")
+        pieces = cut.split("\x00")
+        if not pieces[0]:
+            del pieces[0]
+        found = list(map(self._words.get, pieces))
+        if None not in found:
+            return b"".join(found)
+        new = dict.fromkeys(p for p, ids in zip(pieces, found) if ids is None)
+        if any(p != pieces[0] and (p[0] in " \n") and (len(p) < 2 or p[1].isspace()) for p in new) or self._open(pieces[0]):
+            return self._encode(text).tobytes()
+        if len(self._words) + len(new) > self._remembered:
+            self._older, self._words = self._words, {}
+            new = dict.fromkeys(pieces)
+        older = {p: ids for p in new if (ids := self._older.get(p))}
+        self._words |= older
+        if unknown := [p for p in new if p not in older]:
+            self._learn(unknown)
+        return b"".join(map(self._words.__getitem__, pieces))
+
+    @staticmethod
+    def _open(first: str) -> bool:
+        """Whether a text's first piece ends in white space, or is white space that may belong to what follows."""
+        return first[-1].isspace() or (len(first) > 1 and first[0] in " \n" and first[1].isspace())
 
 
 @lru_cache(maxsize=1)
@@ -241,7 +270,8 @@ def write_token_files(
 
     files = ranged.sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(run, "file binary")
     sink = files.select(F.col("file").cast("string").alias("value")).write
-    sink.option("maxRecordsPerFile", 1).option("lineSep", TRAILER).option("compression", "none").text(path)
+    with small_batches(docs.sparkSession):
+        sink.option("maxRecordsPerFile", 1).option("lineSep", TRAILER).option("compression", "none").text(path)
 
 
 def _row_of(data: bytes) -> pa.RecordBatch:
@@ -289,7 +319,8 @@ def _documents(found: TokenFile, chosen: range, with_ids: bool) -> pa.RecordBatc
 
 def token_digest(spark: SparkSession, path: str) -> DataFrame:
     """One row per document of the files: doc_id, start (ids of all documents before it), n_tokens, ids_crc32."""
-    found = written(file_documents(spark, path), "token-documents")
+    with small_batches(spark):
+        found = written(file_documents(spark, path), "token-documents")
     sizes = found.groupBy("part").agg(F.sum("n_tokens").alias("ids"))
     # one row per part, of which there are as many as tasks
     before = F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))

@@ -58,7 +58,7 @@ def test_word_ids_equal_the_tokenizer(tokenizer):
 
     own = token_files.WordIds(public_tokenizers.path(token_files.VOCABULARY), remembered=50)
     rng = random.Random(5)
-    parts = ["a", "word", "It's", " ", "  ", "\n", "\n\n", "\t", "\r\n", "é", "日本", "<|endoftext|>", "12", "!?", " ", " ", "\x00", "\x1c"]
+    parts = ["a", "word", "new", "lower", " of", " the", "It's", " ", "  ", "\n", "\n\n", "\t", "\r\n", "é", "日本", "<|endoftext|>", "12", "!?", " ", " ", "\x00", "\x1c"]
     for _ in range(4000):
         text = "".join(rng.choice(parts) for _ in range(rng.randrange(0, 14)))
         want = tokenizer.encode(text, add_special_tokens=False).ids
