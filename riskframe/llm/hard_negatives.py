@@ -315,9 +315,9 @@ ORACLE_SQL = f"""
 with v as (
   select distinct vec_id,
     case when vec_id % {MOVED_STEP} = 0 then (label + 1) % {LABELS} else label end as label,
-    list_transform(embedding, x -> floor({SCALE} * cast(x as double))) as vector
+    list_transform(embedding, lambda x: floor({SCALE} * cast(x as double))) as vector
   from embeddings
-  where label is not null and embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 scores as (
   select a.vec_id as anchor_id, b.vec_id as vec_id, a.label = b.label as same,
     cast(list_inner_product(a.vector, b.vector) as bigint) as score
