@@ -21,7 +21,6 @@ two files, however long; an empty table gives no documents; other columns are ig
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -29,6 +28,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,7 +46,7 @@ FILE_IDS = 1 << 23
 #: Bytes of text in a part, about.
 PART_BYTES = 64 << 20
 #: Words of a generation whose ids a Python worker remembers.
-WORDS_REMEMBERED = 300_000
+WORDS_REMEMBERED = 500_000
 
 MAGIC = b"IDBITS01"
 #: Stands after every file, as the sink ends each record with it.
@@ -161,8 +161,10 @@ class WordIds:
     through the tokenizer whole.  Words are remembered in two generations, so those in use outlive the rare ones.
     """
 
-    #: What may stand before a comma or full stop that is cut off, other than white space: letters and numbers.
-    _SIGNS = re.compile(r"[^ \n\tA-Za-z0-9À-ÖØ-öø-ɏ][,.]")
+    #: Commas and full stops behind anything but letters, numbers and white space; a text with one is cut at spaces alone.
+    _SIGNS = "[^ \n\tA-Za-z0-9À-ÖØ-öø-ɏ][,.]"
+    #: Bytes from which on a text goes through the tokenizer whole, as its pieces would not fit an array.
+    _WHOLE = 1 << 28
 
     def __init__(self, path: str, remembered: int = WORDS_REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -179,46 +181,68 @@ class WordIds:
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Remember the ids of new pieces.  Those that begin with a space or line feed are encoded as one text."""
-        joined = [p for p in pieces if p[0] in " \n"]
-        ids = self._encode("".join(joined))
-        ends = np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum([len(p.encode()) for p in joined]), side="left") + 1
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of new words.  Those that begin with a space or line feed are encoded as one text."""
+        joined = [w for w in words if w[0] in " \n"]
+        text = "".join(joined)
+        ids = self._encode(text)
+        sizes = list(map(len, joined if text.isascii() else map(str.encode, joined)))
+        ends = np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum(sizes), side="left") + 1
         data, edges = ids.tobytes(), [0, *(4 * ends).tolist()]
-        self._words.update((p, data[a:b]) for p, a, b in zip(joined, edges, edges[1:]))
-        self._words.update((p, self._encode(p).tobytes()) for p in pieces if p[0] not in " \n")
-
-    def ids(self, text: str) -> bytes:
-        """The ids as little-endian unsigned 32-bit integers."""
-        if not text:
-            return b""
-        if "\x00" in text:
-            return self._encode(text).tobytes()
-        cut = text.replace(" ", "\x00 ").replace("\n", "\x00\n")
-        if not self._SIGNS.search(text):
-            cut = cut.replace(",", "\x00,").replace(".", "\x00.")
-        pieces = cut.split("\x00")
-        if not pieces[0]:
-            del pieces[0]
-        found = list(map(self._words.get, pieces))
-        if None not in found:
-            return b"".join(found)
-        new = dict.fromkeys(p for p, ids in zip(pieces, found) if ids is None)
-        if any(p != pieces[0] and (p[0] in " \n") and (len(p) < 2 or p[1].isspace()) for p in new) or self._open(pieces[0]):
-            return self._encode(text).tobytes()
-        if len(self._words) + len(new) > self._remembered:
-            self._older, self._words = self._words, {}
-            new = dict.fromkeys(pieces)
-        older = {p: ids for p in new if (ids := self._older.get(p))}
-        self._words |= older
-        if unknown := [p for p in new if p not in older]:
-            self._learn(unknown)
-        return b"".join(map(self._words.__getitem__, pieces))
+        self._words.update((w, data[a:b]) for w, a, b in zip(joined, edges, edges[1:]))
+        self._words.update((w, self._encode(w).tobytes()) for w in words if w[0] not in " \n")
 
-    @staticmethod
-    def _open(first: str) -> bool:
-        """Whether a text's first piece ends in white space, or is white space that may belong to what follows."""
-        return first[-1].isspace() or (len(first) > 1 and first[0] in " \n" and first[1].isspace())
+    def _found(self, words: list[str]) -> list[bytes | None]:
+        """Ids of each word; None for a piece that may not stand alone."""
+        if len(self._words) > self._remembered:
+            self._older, self._words = self._words, {}
+        known, older = self._words, self._older
+        new = [w for w in words if w not in known]
+        known |= {w: ids for w in new if (ids := older.get(w))}
+        self._learn([w for w in new if w and w not in known and not (w[0] in " \n" and (len(w) < 2 or w[1].isspace()))])
+        found = list(map(known.get, words))
+        return [b"" if w == "" else ids for w, ids in zip(words, found)] if "" in words else found
+
+    def batch(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text.  Texts are cut and their distinct pieces found by Arrow, without an object per piece."""
+        if not len(texts):
+            return []
+        spaced = pc.replace_substring(pc.replace_substring(texts, " ", "\x00 "), "\n", "\x00\n")
+        signed = pc.replace_substring(pc.replace_substring(spaced, ",", "\x00,"), ".", "\x00.")
+        cut = pc.split_pattern(pc.if_else(pc.match_substring_regex(texts, self._SIGNS), spaced, signed), "\x00")
+        starts = cut.offsets.to_numpy()
+        pieces = cut.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
+        starts = (starts - starts[0]).astype(np.int64)
+        words, code = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
+        found = self._found(words)
+        open_end = np.array([f is None for f in found])
+        whole = np.logical_or.reduceat(open_end[code], starts[:-1])
+        ends_open = np.zeros(len(words), dtype=bool)
+        for k in np.unique(code[starts[:-1]]):
+            ends_open[k] = words[k][-1:].isspace()
+        whole |= ends_open[code[starts[:-1]]] | pc.match_substring(texts, "\x00").to_numpy(zero_copy_only=False)
+        ids = np.frombuffer(b"".join(f or b"" for f in found), dtype="<u4")
+        sizes = np.array([len(f or b"") // 4 for f in found], dtype=np.int64)
+        size = sizes[code]
+        end = np.cumsum(size)
+        at = np.repeat((np.cumsum(sizes) - sizes)[code] - (end - size), size) + np.arange(end[-1])
+        edges = np.append(0, end)[starts]
+        out = np.split(ids[at], edges[1:-1])
+        for k in np.flatnonzero(whole):
+            out[k] = self._encode(texts[int(k)].as_py())
+        return out
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each text, whatever its length."""
+        long = np.flatnonzero(pc.binary_length(texts).to_numpy(zero_copy_only=False) >= self._WHOLE)
+        if not len(long):
+            return self.batch(texts)
+        out, start = [], 0
+        for k in [*long.tolist(), len(texts)]:
+            out += self.batch(texts.slice(start, k - start))
+            out += [self._encode(texts[k].as_py())] if k < len(texts) else []
+            start = k + 1
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -252,14 +276,14 @@ def write_token_files(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_ids(vocabulary)
-        bits, end = bits_for(tokenizer.size), np.array([end_id], dtype="<u4").tobytes()
+        bits, end = bits_for(tokenizer.size), np.array([end_id], dtype="<u4")
         part, before = TaskContext.get().partitionId(), 0
         ids: list[np.ndarray] = []
         doc_ids: list[int | None] = []
         held = 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
-                ids.append(np.frombuffer(tokenizer.ids(text.as_py()) + end, dtype="<u4"))
+            for doc_id, own in zip(batch["doc_id"].to_pylist(), tokenizer.ids(batch["text"])):
+                ids.append(np.append(own, end))
                 doc_ids.append(doc_id)
                 held += len(ids[-1])
                 if held >= file_ids:
