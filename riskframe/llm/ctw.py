@@ -11,16 +11,22 @@ of a chunk of documents meet the model in joins on 64-bit keys, and come back as
 dictionary.  Values of a bounded number of frequent keys are broadcast, and only the rare
 keys of a chunk take part in the join.  Words are keyed by 62 bits of XXH64.
 
+Texts become arrays in blocks of bounded size.  A long text is cut inside, grams with the bytes before the
+cut and words at white space, so a worker's memory follows the distinct keys of its rows and not their lengths.
+Depths 0 to 2 of the tree are summed over all tasks; a subtree below three context bytes lies in one task and has at
+most 256**3 grams, whatever the input.
+
 Cases: null and empty texts have the end mark alone; without training texts every byte costs
-eight bits; repeated rows have equal scores; an empty table gives an empty result; other columns
-are ignored.
+eight bits; repeated rows have equal scores and are dealt over all chunks; an empty table gives an empty result; other
+columns are ignored.  The documents are read twice and must come in the same partitions both times, as a table
+does; a key without a value raises an error.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,18 +38,19 @@ from riskframe.llm.common import fold_of, texts, workers_ready, written
 DEPTH = 5
 FOLDS, HELD_OUT_FOLD = 7, 2
 #: Bytes of text that share one dictionary, about.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 #: Bytes of text that are turned into arrays at once.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Distinct keys that a task gathers before it sends them on.
 KEYS_AT_ONCE = 1 << 20
 #: Keys whose values are broadcast, at most: the most frequent ones, which no dictionary then has to ask for.
 FREQUENT = 1 << 20
-#: Largest table of an n-gram numbering step; beyond it the step sorts.
-TABLE = 1 << 25
+#: Grams whose part of the tree is computed at once, about.
+SLICE_GRAMS = 1 << 16
 
 WORD_BIT = 1 << 62
 END_KEY = WORD_BIT  # the end token among the words
+_SPACE = re.compile(rb"[\x09-\x0D\x20]")
 
 
 def word_keys(words: list[bytes]) -> np.ndarray:
@@ -54,56 +61,121 @@ def word_keys(words: list[bytes]) -> np.ndarray:
     return np.maximum(hashes & np.uint64(WORD_BIT - 1), np.uint64(1)).astype(np.int64) | WORD_BIT
 
 
-class Grams:
-    """Numbered (DEPTH + 1)-grams of some texts: ``ids`` per position, ``grams`` per id, ``sizes`` per text."""
-
-    def __init__(self, data: list[bytes], depth: int = DEPTH):
-        pad = bytes(depth)
-        joined = np.frombuffer(pad.join([b"", *(d + b"\x00" for d in data)]), dtype=np.uint8)
-        self.sizes = np.array([len(d) + 1 for d in data], dtype=np.int64)
-        present = np.zeros(256, dtype=bool)
-        present[joined] = True
-        symbols = np.nonzero(present)[0]
-        rank = (np.cumsum(present) - 1).astype(np.int32)
-        symbol = rank[joined]
-        size = len(symbols)
-        ids, grams = symbol, symbols.astype(np.int64)
-        for _ in range(depth):
-            code = ids[:-1].astype(np.int64 if len(grams) * size > TABLE else np.int32) * size + symbol[len(symbol) - len(ids) + 1 :]
-            if len(grams) * size > TABLE:
-                codes, ids = np.unique(code, return_inverse=True)
-            else:
-                number = np.zeros(len(grams) * size, dtype=np.int32)
-                number[code] = 1
-                codes = np.nonzero(number)[0]
-                number[codes] = np.arange(len(codes), dtype=np.int32)
-                ids = number[code]
-            grams = (grams[codes // size] << 8) | symbols[codes % size]
-        # position t of the joined texts is the last byte of gram t - depth; those of padding go
-        keep = np.ones(len(ids), dtype=bool)
-        begins = np.cumsum(self.sizes + depth) - self.sizes - depth
-        for k in range(depth):
-            at = begins[1:] - depth + k
-            keep[at[at >= 0]] = False
-        ids = ids[keep]
-        there = np.zeros(len(grams), dtype=bool)
-        there[ids] = True
-        self.ids = (np.cumsum(there) - 1)[ids]
-        self.grams = grams[there]
-
-
-def _blocks(data: list[bytes]) -> Iterator[tuple[int, int]]:
-    start = size = 0
+def gram_blocks(
+    data: Iterable[bytes], depth: int = DEPTH, size: int | None = None
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(keys, sizes, owners), block by block: the (depth + 1)-gram ending at each byte, in pieces of texts.
+
+    ``sizes`` are the positions of each piece and ``owners`` the numbers of their texts.
+    """
+    size = size or BLOCK_BYTES
+    pieces, owners, held = [], [], 0
     for k, d in enumerate(data):
-        size += len(d)
-        if size >= BLOCK_BYTES:
-            yield start, k + 1
-            start, size = k + 1, 0
-    if start < len(data):
-        yield start, len(data)
+        padded = b"".join([bytes(depth), d, b"\x00"])
+        for at in range(0, len(d) + 1, size):
+            pieces.append(padded[at : at + size + depth])
+            owners.append(k)
+            held += len(pieces[-1]) - depth
+            if held >= size:
+                yield _gram_keys(pieces, depth), np.array([len(p) - depth for p in pieces]), np.array(owners)
+                pieces, owners, held = [], [], 0
+    if pieces:
+        yield _gram_keys(pieces, depth), np.array([len(p) - depth for p in pieces]), np.array(owners)
+
+
+def _gram_keys(pieces: list[bytes], depth: int) -> np.ndarray:
+    joined = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+    n = len(joined) - depth
+    keys = np.zeros(n, dtype=np.int64)
+    for j in range(depth + 1):
+        keys <<= 8
+        keys |= joined[j : j + n]
+    ends = np.cumsum([len(p) for p in pieces])[:-1]
+    return np.delete(keys, (ends[:, None] - depth + np.arange(depth)).ravel())  # windows over two pieces
+
+
+def word_blocks(data: Iterable[bytes], size: int | None = None) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray]]:
+    """(words, sizes, owners), block by block: lower-cased words, how many each piece of a text has, and its text."""
+    size = size or BLOCK_BYTES
+    words, sizes, owners, held = [], [], [], 0
+    for k, d in enumerate(data):
+        start = 0
+        while start < len(d):
+            cut = _SPACE.search(d, start + size)
+            stop = cut.start() if cut else len(d)
+            found = d[start:stop].lower().split()
+            words += found
+            sizes.append(len(found))
+            owners.append(k)
+            held += stop - start
+            start = stop
+            if held >= size:
+                yield words, np.array(sizes), np.array(owners)
+                words, sizes, owners, held = [], [], [], 0
+    if sizes:
+        yield words, np.array(sizes), np.array(owners)
+
+
+class Tally:
+    """Counts of keys, merged whenever the unmerged ones outgrow the merged."""
+
+    def __init__(self):
+        self._keys, self._counts = [], []
+        self._merged = self._loose = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self._keys.append(keys)
+        self._counts.append(counts)
+        self._loose += len(keys)
+        if self._loose > max(self._merged, KEYS_AT_ONCE):
+            self.merged()
+
+    @property
+    def distinct(self) -> int:
+        """Keys of the last merge, a lower bound of the distinct ones."""
+        return self._merged
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        if not self._keys:
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        found = _summed(np.concatenate(self._keys), np.concatenate(self._counts))
+        self._keys, self._counts = [found[0]], [found[1]]
+        self._merged, self._loose = len(found[0]), 0
+        return found
+
 
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, dtype=int)
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
-def _portions(batches: Iterator[pd.DataFrame], size: int = 4 * BLOCK_BYTES) -> Iterator[tuple[list[bytes], list[bool]]]:
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and how often each occurs."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, dtype=int)
+    return keys[first], np.diff(np.append(first, len(keys)))
+
+
+def count_keys(tally: Tally, data: list[bytes], training: np.ndarray) -> None:
+    """Add all keys of the texts, with how often each occurs in those of ``training``."""
+    for keys, sizes, owners in gram_blocks(data):
+        train = np.repeat(training[owners], sizes)
+        tally.add(*_distinct(keys[train]))
+        rest = _distinct(keys[~train])[0]
+        tally.add(rest, np.zeros(len(rest), dtype=np.int64))
+    for words, sizes, owners in word_blocks(data):
+        known, others, at = Counter(), set(), 0
+        for size, owner in zip(sizes.tolist(), owners.tolist()):
+            (known if training[owner] else others).update(words[at : at + size])
+            at += size
+        others -= known.keys()
+        tally.add(word_keys([*known, *others]), np.array([*known.values(), *[0] * len(others)], dtype=np.int64))
+    tally.add(np.array([END_KEY]), np.array([int(training.sum())]))
+
+
+def _portions(batches: Iterator[pd.DataFrame], size: int = 4 << 20) -> Iterator[tuple[list[bytes], np.ndarray]]:
     """Texts and training flags of the batches, in portions of about ``size`` bytes."""
     data, training, total = [], [], 0
     for batch in batches:
@@ -112,67 +184,34 @@ def _portions(batches: Iterator[pd.DataFrame], size: int = 4 * BLOCK_BYTES) -> I
             training.append(bool(train))
             total += len(data[-1])
             if total >= size:
-                yield data, training
+                yield data, np.array(training)
                 data, training, total = [], [], 0
     if data:
-        yield data, training
-
-
-def _lowered(data: bytes) -> list[bytes]:
-    return data.lower().split()
-
-
-def key_counts(data: list[bytes], training: list[bool]) -> tuple[np.ndarray, np.ndarray]:
-    """All keys of the texts and how often each occurs in those of ``training``."""
-    words: Counter = Counter()
-    others: set[bytes] = set()
-    keys, counts = [], []
-    for start, stop in _blocks(data):
-        part, train = data[start:stop], np.array(training[start:stop])
-        grams = Grams(part)
-        weight = np.repeat(train, grams.sizes)
-        keys.append(grams.grams)
-        counts.append(np.bincount(grams.ids, weights=weight, minlength=len(grams.grams)).astype(np.int64))
-        for d, t in zip(part, train):
-            (words if t else others).update(_lowered(d))
-    others.difference_update(words)
-    keys += [word_keys([*words, *others]), np.array([END_KEY])]
-    seen = np.fromiter(words.values(), dtype=np.int64, count=len(words))
-    counts += [seen, np.zeros(len(others), dtype=np.int64), np.array([sum(training)])]
-    return _summed(np.concatenate(keys), np.concatenate(counts))
-
-
-def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.nonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))[0] if len(keys) else np.empty(0, dtype=int)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+        yield data, np.array(training)
 
 
 def corpus_counts(rows: DataFrame) -> DataFrame:
     """(key, n) of every gram and word of all rows (text, training), with its count in training."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, counts, size = [], [], 0
+        tally = Tally()
         for data, training in _portions(batches):
-            k, n = key_counts(data, training)
-            keys.append(k)
-            counts.append(n)
-            size += len(k)
-            if size > 4 * KEYS_AT_ONCE:
-                merged = _summed(np.concatenate(keys), np.concatenate(counts))
-                keys, counts, size = [merged[0]], [merged[1]], len(merged[0])
-                if size > KEYS_AT_ONCE:
-                    yield pd.DataFrame({"key": merged[0], "n": merged[1]})
-                    keys, counts, size = [], [], 0
-        if keys:
-            k, n = _summed(np.concatenate(keys), np.concatenate(counts))
-            yield pd.DataFrame({"key": k, "n": n})
+            count_keys(tally, data, training)
+            if tally.distinct > KEYS_AT_ONCE:
+                yield _frame(*tally.merged())
+                tally = Tally()
+        keys, counts = tally.merged()
+        if len(keys):
+            yield _frame(keys, counts)
 
     found = workers_ready(rows.select("text", "training")).mapInPandas(run, "key long, n long")
     return found.groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def _frame(keys: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"key": keys, "n": counts})
+
+
 # --- the tree -----------------------------------------------------------------------------
 
 
@@ -255,18 +294,36 @@ class Levels:
 
 
 class Root:
-    """Depths 0 and 1 of the tree: dense over the latest byte (256) and the node of the byte (1..255)."""
-
-    def __init__(self, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray):
-        self.zeros, self.ones = zeros, ones
-        own = log_kt(zeros, ones)
-        self.share = 1 / (1 + np.exp(np.clip(below - own, -700, 700)))
-        block = np.where(zeros + ones > 0, _mixed_block(own, below), 0.0)
-        self.zeros0, self.ones0 = zeros.sum(axis=0), ones.sum(axis=0)
-        own0 = log_kt(self.zeros0, self.ones0)
-        self.share0 = 1 / (1 + np.exp(np.clip(block.sum(axis=0) - own0, -700, 700)))
-
-    def mixed(self, latest: np.ndarray, node: np.ndarray, bit: np.ndarray, p: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Depths 0, 1 and 2 of the tree.
+
+    ``at`` numbers the nodes of depth 2 that training reached: two context bytes, the latest last, and the node
+    of the byte (1..255), 65,536 x 255 at most.  Depths 0 and 1 are dense.
+    """
+
+    def __init__(self, at: np.ndarray, zeros: np.ndarray, ones: np.ndarray, below: np.ndarray):
+        order = np.argsort(at)
+        self.at, self.zeros2, self.ones2, below = at[order], zeros[order], ones[order], below[order]
+        own = log_kt(self.zeros2, self.ones2)
+        self.share2 = _share(own, below)
+        upper = self.at & 0xFFFF
+        dense = [np.bincount(upper, x, 1 << 16).astype(float).reshape(256, 256) for x in (self.zeros2, self.ones2, _mixed_block(own, below))]
+        self.zeros, self.ones, below = dense
+        own = log_kt(self.zeros, self.ones)
+        self.share = _share(own, below)
+        block = np.where(self.zeros + self.ones > 0, _mixed_block(own, below), 0.0)
+        self.zeros0, self.ones0 = self.zeros.sum(axis=0), self.ones.sum(axis=0)
+        self.share0 = _share(log_kt(self.zeros0, self.ones0), block.sum(axis=0))
+
+    def mixed(self, context: np.ndarray, node: np.ndarray, bit: np.ndarray, p: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """``p`` of the deeper levels mixed with depths 2, 1 and 0."""
+        wanted = (context << 8) | node
+        at = np.minimum(np.searchsorted(self.at, wanted), max(len(self.at) - 1, 0))
+        if len(self.at):
+            reached = self.at[at] == wanted
+            own = (np.where(bit == 1, self.ones2[at], self.zeros2[at]) + 0.5) / (self.zeros2[at] + self.ones2[at] + 1)
+            own = np.where(seen, self.share2[at] * own + (1 - self.share2[at]) * p, own)
+            p, seen = np.where(reached, own, p), seen | reached
+        latest = context & 255
         zeros, ones = self.zeros[latest, node], self.ones[latest, node]
         own = (np.where(bit == 1, ones, zeros) + 0.5) / (zeros + ones + 1)
         share = self.share[latest, node]
@@ -279,44 +336,56 @@ class Root:
         return np.where(seen, share * own + (1 - share) * p, own)
 
 
-def _whole(batches: Iterator[pd.DataFrame]) -> tuple[np.ndarray, np.ndarray]:
+def _share(own: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """Weight of a node's own estimate against those below it."""
+    return 1 / (1 + np.exp(np.clip(below - own, -700, 700)))
+
+
+#: Context bytes by which grams are dealt: a task has whole subtrees from this depth on.
+TOP = 3
+
+
+def _subtrees(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys and counts of the batches, some whole subtrees at a time."""
     parts = [(b["key"].to_numpy(), b["n"].to_numpy()) for b in batches]
     if not parts:
-        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-    return np.concatenate([k for k, _ in parts]), np.concatenate([n for _, n in parts])
+        return
+    keys, counts = (np.concatenate(x) for x in zip(*parts))
+    context = (keys >> 8) & ((1 << 8 * TOP) - 1)
+    order = np.argsort(context, kind="stable")
+    keys, counts, context = keys[order], counts[order], context[order]
+    edges = np.append(np.flatnonzero(context[1:] != context[:-1]) + 1, len(keys))
+    start = 0
+    while start < len(keys):
+        stop = int(edges[np.searchsorted(edges, min(start + SLICE_GRAMS, len(keys)))])
+        yield keys[start:stop], counts[start:stop]
+        start = stop
 
 
 def _by_context(grams: DataFrame) -> DataFrame:
-    """Grams dealt by their two latest context bytes, so that a task has whole subtrees from depth 2 on."""
-    return workers_ready(grams).repartition(F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)))
+    return workers_ready(grams).repartition(F.shiftright("key", 8).bitwiseAND(F.lit((1 << 8 * TOP) - 1)))
 
 
 def fit_root(grams: DataFrame) -> Root:
-    """Gather depths 0 and 1 from all subtrees: 256 x 255 sums, whatever the input."""
+    """Sum the subtrees for the nodes of depth 2, of which text has some 100,000."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, counts = _whole(batches)
-        if not len(keys):
-            return
-        levels = Levels(keys, counts, 2)
-        sums = np.zeros((3, 256 * 256))
-        for k in range(8):
-            gram = levels.first[2, k]
-            at = ((keys[gram] >> 8) & 255) * 256 + ((1 << k) | ((keys[gram] & 255) >> (8 - k)))
-            reached = levels.zeros[2, k] + levels.ones[2, k] > 0
-            for row, value in enumerate((levels.zeros[2, k], levels.ones[2, k], levels.block[2, k])):
-                sums[row] += np.bincount(at[reached], value[reached], 256 * 256)
-        at = np.nonzero(sums[0] + sums[1])[0]
-        yield pd.DataFrame({"at": at, "zeros": sums[0, at], "ones": sums[1, at], "below": sums[2, at]})
+        for keys, counts in _subtrees(batches):
+            levels = Levels(keys, counts, TOP)
+            for k in range(8):
+                gram = levels.first[TOP, k]
+                zeros, ones = levels.zeros[TOP, k], levels.ones[TOP, k]
+                at = (((keys[gram] >> 8) & 0xFFFF) << 8) | (1 << k) | ((keys[gram] & 255) >> (8 - k))
+                reached = zeros + ones > 0
+                node, back = np.unique(at[reached], return_inverse=True)
+                sums = [np.bincount(back, x[reached], len(node)) for x in (zeros, ones, levels.block[TOP, k])]
+                yield pd.DataFrame({"at": node, "zeros": sums[0], "ones": sums[1], "below": sums[2]})
 
     found = (
         _by_context(grams).mapInPandas(run, "at int, zeros double, ones double, below double")
-        .groupBy("at").agg(F.sum("zeros"), F.sum("ones"), F.sum("below")).collect()
+        .groupBy("at").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below")).toArrow()
     )
-    dense = np.zeros((3, 256 * 256))
-    for row in found:
-        dense[:, row[0]] = row[1:]
-    return Root(*dense.reshape(3, 256, 256))
+    return Root(found["at"].to_numpy().astype(np.int64), *(found[c].to_numpy() for c in ("zeros", "ones", "below")))
 
 
 def gram_values(grams: DataFrame, root: Root) -> DataFrame:
@@ -324,15 +393,13 @@ def gram_values(grams: DataFrame, root: Root) -> DataFrame:
     shared = grams.sparkSession.sparkContext.broadcast(root)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, counts = _whole(batches)
-        if not len(keys):
-            return
-        levels, top = Levels(keys, counts, 2), shared.value
-        value, byte, latest = np.zeros(len(keys)), keys & 255, (keys >> 8) & 255
-        for k in range(8):
-            p, seen = levels.mixed(k)
-            value += np.log10(top.mixed(latest, (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1, p, seen))
-        yield pd.DataFrame({"key": keys, "value": value})
+        for keys, counts in _subtrees(batches):
+            levels, top = Levels(keys, counts, TOP), shared.value
+            value, byte, context = np.zeros(len(keys)), keys & 255, (keys >> 8) & 0xFFFF
+            for k in range(8):
+                p, seen = levels.mixed(k)
+                value += np.log10(top.mixed(context, (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1, p, seen))
+            yield pd.DataFrame({"key": keys, "value": value})
 
     return _by_context(grams).mapInPandas(run, "key long, value double")
 
@@ -355,25 +422,23 @@ def scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     model = written(gram_values(grams, fit_root(grams)).unionByName(words), "model")
     frequent = rows.sparkSession.sparkContext.broadcast(frequent_values(counts, model))
 
-    chunk = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int").alias("chunk")
+    salt = F.monotonically_increasing_id()  # equal rows go to different chunks
+    chunk = F.pmod(F.xxhash64("doc_id", "text", salt), F.lit(chunks)).cast("int").alias("chunk")
     dealt = workers_ready(rows.select("doc_id", "text", "held_out", chunk))
 
     def dictionary(rows: pd.DataFrame) -> pd.DataFrame:
-        data = [t.encode() for t in rows["text"]]
-        keys, _ = key_counts(data, [False] * len(data))
+        tally = Tally()
+        count_keys(tally, [t.encode() for t in rows["text"]], np.zeros(len(rows), dtype=bool))
+        keys, _ = tally.merged()
         rare = keys[~_among(keys, frequent.value[0])]
         return pd.DataFrame({"chunk": rows["chunk"].iloc[0], "key": rare})
 
     def scored(rows: pd.DataFrame, values: pd.DataFrame) -> pd.DataFrame:
         order = np.argsort(values["key"].to_numpy())
         keys, value = values["key"].to_numpy()[order], values["value"].to_numpy()[order]
-        data = [t.encode() for t in rows["text"]]
-        lookups = [frequent.value, (keys, value)]
-        out = [_scored(data[a:b], lookups, tokens, distinct) for a, b in _blocks(data)]
-        columns = [np.concatenate(c) for c in zip(*out)] if out else [[]] * 5
-        names = ["n_tokens", "n_known", "base_score", "score", "bits_per_byte"]
-        found = pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "held_out": rows["held_out"]})
-        return found.assign(**dict(zip(names, columns)), train_tokens=tokens)
+        found = _scored([t.encode() for t in rows["text"]], [frequent.value, (keys, value)], tokens, distinct)
+        out = pd.DataFrame({"doc_id": rows["doc_id"].astype("Int64"), "held_out": rows["held_out"]})
+        return out.assign(**found, train_tokens=tokens)
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, bits_per_byte double, train_tokens long"
     keys = dealt.groupBy("chunk").applyInPandas(dictionary, "chunk int, key long")
@@ -412,27 +477,43 @@ def _among(wanted: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted
 
 
-def _scored(data: list[bytes], lookups: list[tuple[np.ndarray, np.ndarray]], tokens: int, distinct: int) -> tuple[np.ndarray, ...]:
+def _scored(data: list[bytes], lookups: list[tuple[np.ndarray, np.ndarray]], tokens: int, distinct: int) -> dict[str, np.ndarray]:
     def of(wanted: np.ndarray) -> np.ndarray:
         out = np.full(len(wanted), np.nan)
         for keys, value in lookups:
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                out = np.where(keys[at] == wanted, value[at], out)
+                hit = keys[at] == wanted
+                out[hit] = value[at[hit]]
+        if np.isnan(out).any():
+            raise RuntimeError("keys without a value: the documents came in other partitions when they were read again")
         return out
 
-    grams = Grams(data)
-    edges = np.cumsum(grams.sizes) - grams.sizes
-    score = np.add.reduceat(of(grams.grams)[grams.ids], edges)
-    split = [_lowered(d) for d in data]
-    flat = list(chain.from_iterable(split))
-    index = {w: k for k, w in enumerate(dict.fromkeys(flat))}
-    worth = of(word_keys(list(index))) if index else np.empty(0)
-    end = float(of(np.array([END_KEY]))[0])
-    n = np.array([len(words) for words in split], dtype=np.int64)
-    each = worth[np.fromiter(map(index.__getitem__, flat), dtype=np.int64, count=len(flat))]
-    before = np.concatenate([[0], np.cumsum(n)])
-    total, hits = np.concatenate([[0.0], np.cumsum(each)]), np.concatenate([[0], np.cumsum(each > 0)])
-    base = total[before[1:]] - total[before[:-1]] + end - (n + 1) * np.log10(tokens + distinct + 1)
-    known = hits[before[1:]] - hits[before[:-1]] + (end > 0)
-    return n + 1, known, base, score, -score / np.log10(2) / grams.sizes
+    texts = len(data)
+    score, total = np.zeros(texts), np.zeros(texts)
+    n, known = np.zeros(texts, dtype=np.int64), np.zeros(texts, dtype=np.int64)
+    for keys, sizes, owners in gram_blocks(data):
+        order = np.argsort(keys)
+        ordered = keys[order]
+        new = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+        value = np.empty(len(keys))
+        value[order] = of(ordered[new])[np.cumsum(new) - 1]
+        np.add.at(score, owners, np.add.reduceat(value, np.cumsum(sizes) - sizes))
+    for words, sizes, owners in word_blocks(data):
+        if words:
+            index = {w: k for k, w in enumerate(dict.fromkeys(words))}
+            worth = of(word_keys(list(index)))
+            each = worth[np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))]
+            owner = np.repeat(owners, sizes)
+            total += np.bincount(owner, each, texts)
+            known += np.bincount(owner, each > 0, texts).astype(np.int64)
+            np.add.at(n, owners, sizes)
+    end = float(of(np.array([END_KEY]))[0]) if texts else 0.0
+    sizes = np.array([len(d) + 1 for d in data])
+    return {
+        "n_tokens": n + 1,
+        "n_known": known + (end > 0),
+        "base_score": total + end - (n + 1) * np.log10(tokens + distinct + 1),
+        "score": score,
+        "bits_per_byte": -score / np.log10(2) / sizes,
+    }

@@ -93,12 +93,52 @@ def test_held_out_rows_cost_few_bits(spark):
     assert row[0] < 2.6
 
 
-def test_gram_numbering_falls_back_to_sorting(monkeypatch):
-    data = [b"abracadabra", b"", b"xyz" * 50, bytes(range(256))]
-    small = ctw.Grams(data)
-    monkeypatch.setattr(ctw, "TABLE", 100)
-    large = ctw.Grams(data)
-    assert (small.grams[small.ids] == large.grams[large.ids]).all() and len(small.grams) == len(large.grams)
+def test_blocks_cut_inside_texts_lose_nothing():
+    data = [b"abracadabra  of the\tend", b"", b"xyz" * 50, bytes(range(256)), b" \n ", b"one"]
+    for size in (1, 7, 64, 1 << 20):
+        grams, at = [[] for _ in data], Counter()
+        for keys, sizes, owners in ctw.gram_blocks(data, 5, size):
+            assert len(keys) == sizes.sum() and sizes.max() <= size
+            for owner, part in zip(owners, np.split(keys, np.cumsum(sizes)[:-1])):
+                grams[owner] += part.tolist()
+        for d, found in zip(data, grams):
+            padded = bytes(5) + d + b"\0"
+            assert found == [int.from_bytes(padded[i : i + 6], "big") for i in range(len(d) + 1)]
+        words = [[] for _ in data]
+        for block, sizes, owners in ctw.word_blocks(data, size):
+            for owner, n in zip(owners, sizes):
+                words[owner] += block[:n]
+                block = block[n:]
+        assert words == [d.lower().split() for d in data]
+
+
+def test_a_text_of_50_mb_stays_within_memory():
+    """Beyond the text itself a worker holds blocks and distinct keys only."""
+    import subprocess
+    import sys
+
+    code = """
+import resource
+import numpy as np
+from riskframe.llm import ctw
+words = b" ".join(b"w%d" % (k * k % 5003) for k in range(20000))
+text = words * (50_000_000 // len(words))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+tally = ctw.Tally()
+ctw.count_keys(tally, [text], np.array([True]))
+keys, counts = tally.merged()
+found = ctw._scored([text], [(keys, np.log10(counts + 1.0))], 1, 1)
+assert found["n_tokens"][0] > 7_000_000
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before)
+"""
+    grown = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=300)
+    assert int(grown.stdout) < 400_000  # KB
+
+
+def test_equal_rows_are_dealt_over_chunks(spark):
+    docs = spark.range(600).select(F.lit(7).cast("long").alias("doc_id"), F.lit("the same row of words").alias("text"))
+    got = ctw.scores(docs, 1000).collect()
+    assert len(got) == 600 and len({(r.doc_id, r.score, r.n_tokens) for r in got}) == 1
 
 
 def test_statistics_of_awkward_texts():
