@@ -1,8 +1,9 @@
 """Main text of web pages by tag-path ratios.
 
 Text length and punctuation are summed per root-to-leaf tag path and divided by the path's
-nodes.  Both ratios are smoothed along the page, fused, averaged per path and compared with
-a threshold.  The element that holds the selected nodes is the article; its headings and
+nodes.  Both ratios are smoothed along the page, fused, averaged per path, weighted if the path runs through elements
+made for running text, and compared with a threshold.  The smallest element that holds all selected nodes is the
+article, or an article or main element that holds at least half of their text; its headings and
 short paragraphs come along, subtrees that are marked as something else do not, unless they hold
 most of the selected text.
 
@@ -24,15 +25,19 @@ from pyspark.sql import functions as F
 
 from riskframe.llm.common import workers_ready
 
-#: A path is content from this many standard deviations of the fused values on.
-THRESHOLD = 0.8
+#: A path is content from this share of the mean fused value on, the mean weighted by text.
+THRESHOLD = 0.7
+#: Weight of the value of paths through elements that are made for running text.
+TEXT_WEIGHT = 2.0
+TEXT_TAGS = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 dd figcaption".split())
 #: Weights of the nodes around a node in the smoothing.
 KERNEL = (0.25, 0.5, 0.25)
 PUNCTUATION = frozenset(".,;:!?…。，、；：！？¿¡")
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
+    # a quote opens a value only directly behind its equals sign; elsewhere it is a sign like others
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>",
     re.S,
 )
 _NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -127,7 +132,7 @@ def text_nodes(page: str) -> tuple[list[tuple[_Element, str, int]], int]:
             if not stack[-1].skipped:
                 nodes.append((stack[-1], token.group()[9:].removesuffix("]]>"), block))
             continue
-        end, tag, attributes = token.group(1, 2, 3) if token.group(2) else token.group(4, 5, 6)
+        end, tag, attributes = token.group(1, 2, 3)
         if not tag:
             continue
         tag = tag.lower()
@@ -187,9 +192,11 @@ def selected_paths(nodes: list[tuple[str, str]]) -> set[str]:
     text_ratio = (np.bincount(at, length) / count)[at]
     point_ratio = (np.bincount(at, points) / count)[at]
     fused = np.sqrt(_smoothed(text_ratio) * (1 + _smoothed(point_ratio)))
-    value = np.bincount(at, fused) / count
+    weight = np.array([1.0 if TEXT_TAGS.isdisjoint(p.split("/")) else TEXT_WEIGHT for p in paths])
+    value = np.bincount(at, fused) / count * weight
     linked = np.array([p.endswith("/a") or "/a/" in p for p in paths])
-    good = (value >= min(THRESHOLD * fused.std(), value.max())) & ~linked
+    threshold = THRESHOLD * (value[at] * length).sum() / max(length.sum(), 1.0)
+    good = (value >= min(threshold, value[~linked].max(initial=0.0))) & ~linked
     return {str(p) for p, g in zip(paths, good) if g}
 
 

@@ -1,5 +1,7 @@
 """Main text of pages, preference pairs, registration and the pipeline."""
 
+import re
+
 import __spark_entry__
 import corpus_pipeline
 import pytest
@@ -71,7 +73,6 @@ def test_marked_parts_of_an_article_go(name):
 
 def test_every_article_paragraph_of_the_pages(spark):
     import html
-    import re
 
     pages = table(spark, SF, "pages")
     got = {r.page_id: r for r in tagpaths.extracted(pages).collect()}
@@ -82,6 +83,42 @@ def test_every_article_paragraph_of_the_pages(spark):
         assert (got[r.page_id].text, got[r.page_id].n_chars, got[r.page_id].url) == (want, len(want), r.url)
 
 
+QUOTES = {
+    "<article><p class=o'neil>First text, here.</p><p>It's second, text.</p></article>": "First text, here.\n\nIt's second, text.",
+    "<article><p title=it's>One, text.</p><p>Two, it's.</p><p>Three, text.</p></article>": "One, text.\n\nTwo, it's.\n\nThree, text.",
+    "<article><p title=\"a > b\" data-x = 'c > d'>One, text.</p><p a=b\"c>Two, \"quoted\".</p></article>": 'One, text.\n\nTwo, "quoted".',
+    "<article><p title=\"never closed>One, text.</p><p>Two, text.</p></article>": "One, text.\n\nTwo, text.",
+    "<article><p " + "a=\"1\" " * 3000 + ">Text, here.</p></article>": "Text, here.",
+}
+
+
+@pytest.mark.parametrize("page", QUOTES)
+def test_quotes_in_tags_swallow_no_text(page):
+    assert tagpaths.main_text(page) == QUOTES[page]
+
+
+def test_an_unclosed_tag_with_many_values_ends():
+    assert "Text" in tagpaths.main_text("<article><p>Text, here.</p><p " + "a=\"1\" " * 3000)
+
+
+def without_names(page):
+    """The page without semantic elements, classes, ids and roles."""
+    page = re.sub(r"<(/?)(article|nav|header|footer|aside|main)\b", r"<\1div", page)
+    return re.sub(r"\s(?:class|id|role)\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", page)
+
+
+def test_ratios_find_the_article_without_semantic_elements(monkeypatch):
+    pages = [r[0] for r in duck(SF.replace("0.001", "0.01")).execute("select html from pages order by page_id").fetchall()]
+    want = [tagpaths.main_text(page) for page in pages]
+
+    def right():
+        return sum(tagpaths.main_text(without_names(page)) == text for page, text in zip(pages, want)) / len(pages)
+
+    assert right() >= 0.95
+    monkeypatch.setattr(tagpaths, "selected_paths", lambda nodes: {p for p, _ in nodes})
+    assert right() < 0.2  # the selection decides
+
+
 def test_awkward_pages(spark):
     df = spark.createDataFrame([(1, "u", None, 1), (1, "u", None, 1), (None, None, "<p>x, y.</p>" * 5000, 2)], "page_id long, url string, html string, text int")
     got = tagpaths.extracted(df).collect()
