@@ -53,7 +53,7 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 
 #: Bytes of rows that go to a Python worker at once, where rows are large.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

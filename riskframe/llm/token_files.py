@@ -46,7 +46,7 @@ FILE_IDS = 1 << 23
 #: Bytes of text in a part, about.
 PART_BYTES = 64 << 20
 #: Words of a generation whose ids a Python worker remembers.
-WORDS_REMEMBERED = 500_000
+WORDS_REMEMBERED = 250_000
 
 MAGIC = b"IDBITS01"
 #: Stands after every file, as the sink ends each record with it.
