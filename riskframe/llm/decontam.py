@@ -19,10 +19,10 @@ from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import workers_ready
+from riskframe.llm.common import shared_folder, workers_ready, written
 
 K1 = 1.2
 B = 0.75
@@ -238,8 +238,8 @@ def item_indexes(items: DataFrame, index_words: int = INDEX_WORDS) -> Iterator[I
         items.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
         .dropDuplicates(["item_id", "text"])
     )
-    python_words = F.udf(words_of, "array<string>")
-    rows = workers_ready(rows).withColumn("words", python_words("text")).where(F.size("words") > 0)
+    rows = workers_ready(rows).withColumn("words", _words_column(F.col("text"))).where(F.size("words") > 0)
+    rows = written(rows, "items")
     n, total = rows.agg(F.count(F.lit(1)), F.sum(F.size("words"))).first()
     if not n:
         return
@@ -256,13 +256,25 @@ def item_indexes(items: DataFrame, index_words: int = INDEX_WORDS) -> Iterator[I
             yield ItemIndex([tuple(r) for r in found], {r["term"]: r["idf"] for r in weights}, total / n)
 
 
-def hits_column(docs: DataFrame, items: DataFrame, share: float = SHARE, overlap: float = OVERLAP, index_words: int = INDEX_WORDS):
-    """One column expression for each index: the array of verified hits of ``text``."""
+def _words_column(text: Column) -> Column:
+    def words(text: pd.Series) -> pd.Series:
+        return text.map(words_of)
+
+    words.__annotations__ = {"text": pd.Series, "return": pd.Series}
+    return F.pandas_udf(words, "array<string>")(text)
+
+
+def hits_columns(docs: DataFrame, items: DataFrame, share: float = SHARE, overlap: float = OVERLAP, index_words: int = INDEX_WORDS) -> Iterator[Column]:
+    """One column expression for each index: the array of verified hits of ``text``.
+
+    An index is given up when the next one is asked for, so no worker ever holds two.
+    """
     spark = docs.sparkSession
     workers_ready(docs)
     for index in item_indexes(items, index_words):
         shared = spark.sparkContext.broadcast(index)
         yield _searcher(shared, share, overlap)(F.coalesce(F.col("text"), F.lit("")))
+        shared.unpersist()
 
 
 def _searcher(shared, share: float, overlap: float):
@@ -279,21 +291,22 @@ def _searcher(shared, share: float, overlap: float):
 def contaminations(docs: DataFrame, items: DataFrame, share: float = SHARE, overlap: float = OVERLAP, index_words: int = INDEX_WORDS) -> DataFrame:
     """One row per (document, item) found: doc_id, item_id, score, question_overlap, answer_overlap, at.
 
-    ``at`` is the first word of the best window.  Each index takes one pass over the
-    documents; there is no shuffle, as a document is searched where it is read.
+    ``at`` is the first word of the best window.  Each index takes one pass over the documents, which writes what
+    it found; there is no shuffle, as a document is searched where it is read.
     """
-    out = None
-    for column in hits_column(docs, items, share, overlap, index_words):
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, {HIT}"
+    path = shared_folder(docs.sparkSession, "hits")
+    docs.sparkSession.createDataFrame([], schema).write.parquet(path)
+    for column in hits_columns(docs, items, share, overlap, index_words):
         found = docs.select("doc_id", F.explode(column).alias("hit")).select("doc_id", "hit.*")
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return docs.sparkSession.createDataFrame([], f"doc_id long, {HIT}")
-    return out
+        found.write.mode("append").parquet(path)
+    return docs.sparkSession.read.schema(schema).parquet(path)
 
 
 def clean(docs: DataFrame, items: DataFrame, share: float = SHARE, overlap: float = OVERLAP, index_words: int = INDEX_WORDS) -> DataFrame:
     """``docs`` without the rows in which an item was found, all columns as they were."""
-    columns = docs.columns
-    for column in hits_column(docs, items, share, overlap, index_words):
-        docs = docs.where(F.size(column) == 0)
-    return docs.select(*columns)
+    columns, before = docs.columns, None
+    for column in hits_columns(docs, items, share, overlap, index_words):
+        docs = docs if before is None else written(before, "uncontaminated")
+        before = docs.where(F.size(column) == 0).select(*columns)
+    return docs if before is None else before
