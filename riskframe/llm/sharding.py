@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 SHARDS = 24
 #: Parts of a shard that are numbered apart, so that no shard is one task's work.
 SLOT_PARTS = 256
+#: A prime and a factor that mix ids into slot parts.
+MIX_PRIME, MIX_FACTOR = 1_000_003, 2_654_435_761
 
 # Multiplier of the generator of jump consistent hashing, as two 32-bit halves.
 MULTIPLIER_HIGH = 2862933555777941757 >> 32
@@ -72,10 +74,16 @@ def jump_shards(key: Column, shards: int = SHARDS) -> Column:
     )
 
 
+def _slot_part(key: Column, slot_parts: int) -> Column:
+    """Multiplicative hash of the key's remainder by a prime; the products fit 64 bits."""
+    mixed = F.pmod(F.pmod(key, F.lit(MIX_PRIME)) * F.lit(MIX_FACTOR), F.lit(1 << 32))
+    return F.floor(mixed * F.lit(slot_parts) / F.lit(float(1 << 32))).cast("long")
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS, slot_parts: int = SLOT_PARTS) -> DataFrame:
     """One row per document: size, checksum, shard, slot in the shard, and shard after one is added.
 
-    Slots follow (id modulo ``slot_parts``, id, checksum).  The counts of all parts are a table of
+    Slots follow (part, id, checksum); the part mixes the bits of the id, so that ids in regular steps fill all parts.  The counts of all parts are a table of
     ``shards * slot_parts`` rows at most, which is small enough to broadcast; each part is numbered alone.
     """
     text = F.col("text")
@@ -84,7 +92,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, slot_parts: int = SLO
         (F.coalesce(F.octet_length(text), F.lit(0)) + F.lit(8)).cast("long").alias("size"),
         F.coalesce(F.crc32(text.cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
     )
-    part = F.pmod(F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")), F.lit(slot_parts))
+    part = _slot_part(F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")), slot_parts)
 
     def placed(df: DataFrame) -> DataFrame:
         found = df.withColumn("_jump", jump_shards(F.col("doc_id"), shards)).withColumn("_part", part)
@@ -142,7 +150,8 @@ crc_table as (
 )
 select doc_id, size::bigint as size, crc::bigint as text_crc32, 'key' as law, shard::int as shard,
   row_number() over (partition by shard
-    order by coalesce(doc_id, 0) % {slot_parts}, doc_id, crc, size) - 1 as slot,
+    order by floor((((coalesce(doc_id, 0) % {MIX_PRIME} + {MIX_PRIME}) % {MIX_PRIME}) * {MIX_FACTOR} % 4294967296) * {slot_parts} / 4294967296e0),
+      doc_id, crc, size) - 1 as slot,
   grown::int as grown_shard
 from sized join ends using (rid)
 """
