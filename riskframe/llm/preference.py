@@ -4,6 +4,9 @@ Conversations ``2k`` and ``2k + 1`` are the chosen and the rejected side of pair
 Turns with equal number, role and text from the first one on are the prompt; everything
 from the first difference on is the completion of its side.  Column expressions only.
 
+The given conversations carry no sides and, on sf0.1, none of the 500 pairs shares its first turn; prefixes are tested on
+planted pairs, against the SQL twin too.
+
 Cases: rows without a conversation id belong to no pair and are left out; a null turn
 counts as turn -1, a null role or text as empty; repeated rows count once; several
 different rows of one turn stand in order of role and text; a pair with one side only
@@ -95,7 +98,7 @@ def preference_pairs(conversations: DataFrame, turns_per_part: int = TURNS_PER_P
 
     parts = (
         turns.join(pairs, "pair_id")
-        .groupBy("pair_id", F.floor(F.greatest(F.col("turn"), F.lit(0)) / turns_per_part).cast("int").alias("part"))
+        .groupBy("pair_id", F.floor((F.col("turn") + 1) / turns_per_part).cast("int").alias("part"))
         .agg(
             section("a", shared).alias("p"),
             section("a", ~shared).alias("c"),
@@ -144,14 +147,14 @@ def oracle_sql(turns_per_part: int = TURNS_PER_PART) -> str:
 
     return f"""
 with turns as (
-  select conv_id // 2 as pair_id, coalesce(turn, -1) as turn,
-    list_sort(coalesce(list(distinct {{'role': coalesce(role, ''), 'text': coalesce(text, '')}}) filter (conv_id % 2 = 0), [])) as a,
-    list_sort(coalesce(list(distinct {{'role': coalesce(role, ''), 'text': coalesce(text, '')}}) filter (conv_id % 2 = 1), [])) as b
+  select (conv_id - (conv_id % 2 + 2) % 2) // 2 as pair_id, coalesce(turn, -1) as turn,
+    list_sort(coalesce(list(distinct {{'role': coalesce(role, ''), 'text': coalesce(text, '')}}) filter ((conv_id % 2 + 2) % 2 = 0), [])) as a,
+    list_sort(coalesce(list(distinct {{'role': coalesce(role, ''), 'text': coalesce(text, '')}}) filter ((conv_id % 2 + 2) % 2 = 1), [])) as b
   from conversations where conv_id is not null group by all
 ), pairs as (
   select pair_id, min(turn) filter (a <> b) as split, max(len(a)) as na, max(len(b)) as nb from turns group by pair_id
 ), parts as (
-  select pair_id, floor(greatest(turn, 0) / {turns_per_part}e0)::int as part,
+  select pair_id, floor((turn + 1) / {turns_per_part}e0)::int as part,
     coalesce(flatten(list(a order by turn) filter (split is null or turn < split)), []) as p,
     coalesce(flatten(list(a order by turn) filter (turn >= split)), []) as c,
     coalesce(flatten(list(b order by turn) filter (turn >= split)), []) as r,

@@ -1,5 +1,6 @@
 """Main text of pages, preference pairs, registration and the pipeline."""
 
+import random
 import re
 
 import __spark_entry__
@@ -151,6 +152,37 @@ def test_preference_pairs(spark):
     assert preference.preference_pairs(df.limit(0)).count() == 0
 
 
+def planted_pairs():
+    """(conv_id, turn, role, text) of pairs with common prefixes of every kind, and how many turns each shares."""
+    rng = random.Random(8)
+    out, shared = [], {}
+    for pair in range(-6, 40):
+        turns = [("system", "Be brief.")] * (pair % 3 == 0)
+        turns += [("user" if k % 2 == 0 else "assistant", f"t{rng.randrange(99)} é\n{k}") for k in range(rng.randint(1, 9))]
+        common = rng.choice([0, 1, len(turns) // 2, len(turns) - 1, len(turns)])
+        other = [t if k < common else (t[0], t[1] + " differs") for k, t in enumerate(turns)]
+        other += [("user", "one more")] * (common < len(turns) and pair % 4 == 0)
+        shared[pair] = common
+        for side, own in ((0, turns), (1, other)):
+            out += [(2 * pair + side, k, role, text) for k, (role, text) in enumerate(own)]
+    return out, shared
+
+
+def test_planted_prefixes_against_the_twin(spark):
+    rows, shared = planted_pairs()
+    rows += [(-100, -5, "user", "early"), (-100, -1, "user", "late"), (-99, -5, "user", "early"), (-99, -1, "user", "other")]
+    df = spark.createDataFrame(rows, CONVERSATION).repartition(3)
+    got = preference.preference_pairs(df, 4)
+    by_pair = {}
+    for r in got.collect():
+        by_pair[r.pair_id] = by_pair.get(r.pair_id, 0) + r.prompt_turns
+    assert {p: by_pair[p] for p in shared} == shared and by_pair[-50] == 1
+    assert sum(n > 0 for n in shared.values()) > 20
+    con = duck("/nowhere")
+    con.register("conversations", df.toPandas())
+    assert compare(preference.digest(got), con, preference.oracle_sql(4)) is None
+
+
 def test_long_pairs_continue_in_parts(spark):
     turns = [(c, t, "user" if t % 2 == 0 else "assistant", f"t{t}" if t < 150 or c == 0 else f"r{t}") for c in (0, 1) for t in range(300)]
     df = spark.createDataFrame(turns, CONVERSATION)
@@ -169,7 +201,7 @@ def test_twin(spark, name):
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names
 
