@@ -22,7 +22,7 @@ SAMPLE = 256
 SEED = 42
 EULER_GAMMA = 0.5772156649015329
 
-_NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, depth double"
+NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int, depth double"
 
 
 def average_path(n: float) -> float:
@@ -84,28 +84,38 @@ def grow_trees(samples: DataFrame, seed: int = SEED) -> DataFrame:
             count += 2
         return pd.DataFrame(nodes, columns=["tree", "node", "feature", "cut", "left", "right", "depth"])
 
-    return samples.repartition(tasks(samples.sparkSession), "tree").groupBy("tree").applyInPandas(grow, _NODE_SCHEMA)
+    return samples.repartition(tasks(samples.sparkSession), "tree").groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
 
 
 def anomaly_scores(vecs: DataFrame, trees: int = TREES, sample: int = SAMPLE, seed: int = SEED) -> DataFrame:
     """Add ``anomaly_score`` in 0..1, larger for rows that are easier to isolate."""
     ship_package(vecs.sparkSession)
-    grown = grow_trees(tree_samples(vecs, trees, sample, seed), seed).toPandas()  # <= trees * (2 * sample - 1) nodes
-    grown = grown.sort_values(["tree", "node"])
-    offsets = grown.groupby("tree")["node"].size().cumsum().shift(1, fill_value=0)
+    grown = grow_trees(tree_samples(vecs, trees, sample, seed), seed)  # <= trees * (2 * sample - 1) nodes
+    leaf_rows = min(sample, vecs.limit(sample).count())
+    return score_with(vecs, grown, average_path(leaf_rows) or 1.0)
+
+
+def score_with(vecs: DataFrame, nodes: DataFrame, norm: float) -> DataFrame:
+    """Add the score of every row under the trees of a node table; ``norm`` is the path length that scores 0.5.
+
+    ``nodes(tree, node, feature, cut, left, right, depth)``: a row goes left where its feature is at most the cut; a
+    leaf has feature -1 and its depth counts the rows it stands for.  Node 0 is the root of every tree.
+    """
+    ship_package(vecs.sparkSession)
+    grown = nodes.toPandas().sort_values(["tree", "node"])
+    sizes = grown.groupby("tree")["node"].size()
+    offsets = sizes.cumsum().shift(1, fill_value=0)
     base = grown["tree"].map(offsets).to_numpy()
+    leaf = grown["feature"].to_numpy() < 0
     forest = {
         "roots": offsets.to_numpy().astype(np.int64),
         "feature": grown["feature"].to_numpy(),
         "cut": grown["cut"].to_numpy(),
-        "left": grown["left"].to_numpy() + base,
-        "right": grown["right"].to_numpy() + base,
+        "left": np.where(leaf, grown["node"], grown["left"]).astype(np.int64) + base,
+        "right": np.where(leaf, grown["node"], grown["right"]).astype(np.int64) + base,
         "depth": grown["depth"].to_numpy(),
     }
-    leaf_rows = min(sample, vecs.limit(sample).count())
-    norm = average_path(leaf_rows) or 1.0
     shared = vecs.sparkSession.sparkContext.broadcast(forest)
-    levels = math.ceil(math.log2(max(leaf_rows, 2)))
 
     @F.pandas_udf("double")
     def score(*columns: pd.Series) -> pd.Series:
@@ -115,8 +125,10 @@ def anomaly_scores(vecs: DataFrame, trees: int = TREES, sample: int = SAMPLE, se
         total = np.zeros(len(points))
         for root in f["roots"]:
             at = np.full(len(points), root)
-            for _ in range(levels):
+            while True:
                 feature = f["feature"][at]
+                if (feature < 0).all():
+                    break
                 value = points[rows, np.maximum(feature, 0)]
                 at = np.where(value <= f["cut"][at], f["left"][at], f["right"][at])
             total += f["depth"][at]

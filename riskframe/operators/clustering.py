@@ -3,28 +3,29 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans
+import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskframe.functions.layout import spread
-from riskframe.functions.numeric import np_round
+from riskframe.functions.numeric import md5_rank, np_round
 from riskframe.functions.quantiles import exact_quantiles
-from riskframe.operators.filters import at_least
+from riskframe.operators import lloyd
+from riskframe.operators.filters import enough
 from riskframe.schema import CLUSTER_FLAGS, CLUSTER_NUMBERS, CRIME, ID, LABEL, LETHAL_WEAPONS, PLACE, SHIFT, WEAPON
+from riskframe.session import checkpointed, ship_package
 
 SEED = 42
-MIN_SWEEP_ROWS = 4
 NOISE = -1
+#: Rows of the sample on which Euclidean silhouettes are measured, at most.
+SILHOUETTE_ROWS = 5_000
 
 # --- fixed values: wording of the cluster profiles --------------------------------
 CRITICAL = (
@@ -93,22 +94,22 @@ def vectors(df: DataFrame, scaler: Scaler, keep: list[str] | None = None) -> Dat
     return df.select(ID, *(keep or []), x.alias("x")).withColumn("features", array_to_vector("x"))
 
 
+def unsupervised_vectors(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Scaled features of scored and flagged rows; raises on data too small for an unsupervised analysis."""
+    return vectors(df, fit_scaler(enough(df, "unsupervised analysis")), keep)
+
+
 def squared_distance(x: Column, center: Column) -> Column:
     parts = F.zip_with(x, center, lambda a, b: (a - b) * (a - b))
     return F.aggregate(parts, F.lit(0.0), lambda acc, v: acc + v)
 
 
-def kmeans(vecs: DataFrame, k: int, seed: int = SEED, starts: int = 1):
+def kmeans(vecs: DataFrame, k: int, seed: int = SEED, starts: int = 1) -> lloyd.Fit:
     """Lloyd iterations until the squared moves of all centres sum to at most 1e-4.
 
-    Of several ``starts`` with different seeds the one with the least inertia is taken.
+    Of several ``starts`` the one with the least inertia is taken.
     """
-    tol = math.sqrt(1e-4 / k)  # MLlib compares the move of each single centre
-
-    def fit(seed):
-        return KMeans(k=k, seed=seed, maxIter=300, tol=tol, featuresCol="features", predictionCol="cluster").fit(vecs)
-
-    return min((fit(seed + i) for i in range(starts)), key=lambda model: model.summary.trainingCost)
+    return lloyd.kmeans_fits(vecs, [k], seed, starts)[0][0]
 
 
 def ordered_centers(model) -> list[int]:
@@ -120,20 +121,21 @@ def ordered_centers(model) -> list[int]:
 
 
 def kmeans_labels(vecs: DataFrame, k: int = 4, seed: int = SEED, starts: int = 1) -> DataFrame:
-    cached = spread(vecs).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = kmeans(cached, k, seed, starts)
-    finally:
-        cached.unpersist()
-    labels = F.array(*[F.lit(i) for i in ordered_centers(model)])
-    return model.transform(vecs).withColumn("cluster", F.element_at(labels, F.col("cluster") + 1))
+    """``vecs`` with ``cluster``; centres are numbered in lexicographic order."""
+    fit = kmeans(vecs, k, seed, starts)
+    order = np.argsort(ordered_centers(fit))
+    return lloyd.Fit(fit.centers[order]).transform(vecs)
 
 
 def davies_bouldin(labelled: DataFrame, centers: list) -> float:
     """Mean over clusters of the worst (spread + spread) / centre distance."""
     table = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
     gap = F.sqrt(squared_distance(F.col("x"), F.element_at(table, F.col("cluster") + 1)))
-    spreads = {r["cluster"]: r["s"] for r in labelled.groupBy("cluster").agg(F.avg(gap).alias("s")).collect()}
+    return _davies_bouldin({r["cluster"]: r["s"] for r in labelled.groupBy("cluster").agg(F.avg(gap).alias("s")).collect()}, centers)
+
+
+def _davies_bouldin(spreads: dict[int, float], centers: list) -> float:
+    """``spreads``: mean distance to the centre of every cluster that has rows."""
     used = sorted(spreads)
     if len(used) < 2:
         return 0.0
@@ -159,32 +161,78 @@ def silhouette(labelled: DataFrame) -> float:
     return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(labelled)
 
 
+def silhouette_sample(labelled: DataFrame, rows: int = SILHOUETTE_ROWS, seed: int = SEED) -> DataFrame:
+    """(id, cluster, s): Euclidean silhouettes of a seeded sample of at most ``rows`` rows, against that sample.
+
+    The sample is broadcast and every block of it summed against all of it, so no pair becomes a row.  A row alone in its
+    cluster has 0, and so has every row if the sample has one cluster.
+    """
+    rank = md5_rank(F.col(ID), seed)
+    sample = checkpointed(labelled.select(ID, "cluster", "x").orderBy(rank, ID).limit(rows))
+    held = sample.orderBy(ID).toPandas()
+    if not len(held):
+        return sample.select(ID, "cluster", F.lit(0.0).alias("s"))
+    kinds, code = np.unique(held["cluster"].to_numpy(), return_inverse=True)
+    shared = labelled.sparkSession.sparkContext.broadcast((np.stack(held["x"].to_numpy()), code, kinds))
+    id_type = dict(sample.dtypes)[ID]
+    ship_package(labelled.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        points, code, kinds = shared.value
+        sizes = np.bincount(code, minlength=len(kinds))
+        member = np.eye(len(kinds))[code]
+        for batch in batches:
+            if not len(batch):
+                continue
+            x, own = np.stack(batch["x"].to_numpy()), np.searchsorted(kinds, batch["cluster"].to_numpy())
+            sums = np.empty((len(x), len(kinds)))
+            for at in range(0, len(x), 128):
+                part = x[at : at + 128]
+                squares = np.zeros((len(part), len(points)))
+                for i in range(points.shape[1]):
+                    squares += (part[:, i, None] - points[None, :, i]) ** 2
+                sums[at : at + 128] = np.sqrt(squares) @ member
+            rows = np.arange(len(x))
+            inside = sums[rows, own] / np.maximum(sizes[own] - 1, 1)
+            mean = sums / sizes
+            mean[rows, own] = np.inf
+            outside = mean.min(axis=1)
+            worse = np.maximum(inside, outside)
+            scored = (sizes[own] > 1) & np.isfinite(outside) & (worse > 0)
+            s = np.where(scored, (outside - inside) / np.where(scored, worse, 1.0), 0.0)
+            yield pd.DataFrame({ID: batch[ID], "cluster": batch["cluster"], "s": s})
+
+    return spread(sample).mapInPandas(run, f"{ID} {id_type}, cluster int, s double")
+
+
+def silhouette_euclidean(labelled: DataFrame, rows: int = SILHOUETTE_ROWS, seed: int = SEED) -> float:
+    """Mean Euclidean silhouette of a seeded sample; 0 if there is only one cluster, or noise."""
+    ends = labelled.agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).first()
+    if ends["low"] == ends["high"] or ends["low"] == NOISE:
+        return 0.0
+    return float(silhouette_sample(labelled, rows, seed).agg(F.avg("s")).first()[0])
+
+
 def clustering_summary(labelled: DataFrame, pca: Components, method: str) -> DataFrame:
-    """One row: number of clusters, silhouette, variance kept by two components."""
+    """One row: number of clusters, silhouettes, variance kept by two components."""
     clusters = labelled.where(F.col("cluster") != NOISE).agg(F.count_distinct("cluster").alias("n")).first()["n"]
-    row = (method, clusters, float(silhouette(labelled)), float(sum(pca.ratios[:2])))
-    schema = "method string, n_clusters long, silhouette_sq_euclidean double, pca_variance_explained double"
+    row = (method, clusters, float(silhouette(labelled)), silhouette_euclidean(labelled), float(sum(pca.ratios[:2])))
+    schema = "method string, n_clusters long, silhouette_sq_euclidean double, silhouette_euclidean double, pca_variance_explained double"
     return labelled.sparkSession.createDataFrame([row], schema)
 
 
-def kmeans_sweep(vecs: DataFrame, max_clusters: int = 8, seed: int = SEED, parallelism: int = 4) -> DataFrame:
-    """Inertia, silhouette and Davies-Bouldin index for every k that the row count allows."""
-    at_least(vecs, MIN_SWEEP_ROWS, "the cluster sweep")
-    cached = spread(vecs).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def measure(k):
-        model = kmeans(cached, k, seed)
-        labelled = model.transform(cached)
-        index = davies_bouldin(labelled, model.clusterCenters())
-        return k, float(model.summary.trainingCost), silhouette(labelled), index
-
-    try:
-        n = cached.count()
-        ks = range(2, min(max_clusters + 1, max(3, n // 5)))
-        with ThreadPool(parallelism) as pool:  # independent Spark jobs
-            rows = pool.map(inheritable_thread_target(vecs.sparkSession)(measure), ks)
-    finally:
-        cached.unpersist()
+def kmeans_sweep(vecs: DataFrame, max_clusters: int = 8, seed: int = SEED, starts: int = 1) -> DataFrame:
+    """Inertia, silhouette and Davies-Bouldin index for every k that the row count allows.
+
+    All k are fitted in the same passes over the rows.
+    """
+    enough(vecs, "cluster sweep")
+    n = vecs.count()
+    ks = list(range(2, min(max_clusters + 1, max(3, n // 5))))
+    rows = []
+    for k, (fit, m) in zip(ks, lloyd.kmeans_fits(vecs, ks, seed, starts, measures=True)):
+        spreads = {i: m.spread[i] / m.n[i] for i in np.flatnonzero(m.n)}
+        rows.append((k, fit.inertia, float(m.silhouette), _davies_bouldin(spreads, fit.centers)))
     return vecs.sparkSession.createDataFrame(
         rows, "k int, inertia double, silhouette_sq_euclidean double, davies_bouldin double"
     )
@@ -224,12 +272,30 @@ class Components:
         return out
 
 
+def covariance(vecs: DataFrame, names: list[str]) -> DataFrame:
+    """(feature_a, feature_b, covariance) of all pairs of components of ``x``, in one pass of co-moments."""
+    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
+    x = F.col("x")
+    row = vecs.agg(*[F.covar_samp(x[i], x[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
+    found = {(i, j): row[f"c{i}_{j}"] for i, j in pairs}
+    rows = [(a, b, found[min(i, j), max(i, j)]) for i, a in enumerate(names) for j, b in enumerate(names)]
+    return vecs.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, covariance double")
+
+
 def fit_pca(vecs: DataFrame, names: list[str], components: int | None = None) -> Components:
-    model = PCA(k=components or len(names), inputCol="features", outputCol="pc").fit(vecs)
-    loadings = model.pc.toArray()
+    """Principal components: the eigenvectors of the covariance matrix, largest variance first."""
+    place = {n: i for i, n in enumerate(names)}
+    matrix = np.zeros((len(names), len(names)))
+    for r in covariance(vecs, names).collect():  # a row per pair of features
+        matrix[place[r["feature_a"]], place[r["feature_b"]]] = r["covariance"] or 0.0
+    values, loadings = np.linalg.eigh(matrix)
+    order = np.argsort(-values, kind="stable")
+    values, loadings = np.maximum(values[order], 0.0), loadings[:, order]
     strongest = np.abs(loadings).argmax(axis=0)
     signs = np.sign(loadings[strongest, range(loadings.shape[1])])
-    return Components(names, loadings * np.where(signs == 0, 1, signs), [float(v) for v in model.explainedVariance])
+    ratios = values / values.sum() if values.sum() else values
+    kept = components or len(names)
+    return Components(names, (loadings * np.where(signs == 0, 1, signs))[:, :kept], [float(v) for v in ratios[:kept]])
 
 
 def pca_coordinates(vecs: DataFrame, pca: Components) -> DataFrame:

@@ -25,7 +25,7 @@ COARSE_DIMENSIONS = 3
 
 
 def dbscan(vecs: DataFrame, eps: float = 0.5, min_points: int = 5) -> DataFrame:
-    """``vecs(id, x, ...)`` -> the same rows with ``cluster``; noise is -1.
+    """``vecs(id, x, ...)`` -> the same rows with ``cluster`` (noise is -1) and ``core`` (1 for core points).
 
     A point counts itself.  Clusters are numbered by their smallest core id; a border
     point goes to the lowest-numbered cluster among its core neighbours.
@@ -124,7 +124,9 @@ def dbscan(vecs: DataFrame, eps: float = 0.5, min_points: int = 5) -> DataFrame:
     full = lookup_join(core_cells, cell_number.withColumnRenamed("node", "c"), ["c"], "inner")
     by_cell = lookup_join(points, full, ["c"], "left", spread_by="p")
     by_point = by_cell.join(single.withColumnRenamed("number", "single"), "p", "left")
-    labelled = by_point.select("x", F.coalesce("number", "single", F.lit(NOISE)).alias("cluster"))
+    by_point = by_point.join(open_core.select("p", F.lit(1).alias("own_core")), "p", "left")
+    core = F.when(F.col("number").isNotNull(), 1).otherwise(F.coalesce("own_core", F.lit(0)))
+    labelled = by_point.select("x", F.coalesce("number", "single", F.lit(NOISE)).alias("cluster"), core.alias("core"))
     return lookup_join(vecs, checkpointed(labelled), ["x"], "left", spread_by=ID)
 
 

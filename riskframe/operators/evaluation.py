@@ -15,6 +15,7 @@ from riskframe.functions.lookup import lookup_join
 from riskframe.functions.numeric import count_of, np_round, safe_ratio
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.functions.running import running_totals, with_slice
+from riskframe.operators.filters import enough
 from riskframe.schema import ID, PLACE
 from riskframe.session import checkpointed
 
@@ -159,6 +160,11 @@ def performance_curve(pred: DataFrame, shares: list[float] = K_GRID) -> DataFram
     return out.select(np_round(F.col("k") * 100, 6).alias("k_pct"), "precision", "recall", "f1").orderBy("k_pct")
 
 
+def shown_curve(pred: DataFrame) -> DataFrame:
+    """The performance curve; raises on data too small for one."""
+    return performance_curve(enough(pred, "performance curve"))
+
+
 def operational_gain(pred: DataFrame, k: float = 0.2) -> DataFrame:
     """Cases handled first, high-risk cases caught among them, and the yield in percent."""
     out = at_top_shares(pred, [k])

@@ -15,6 +15,16 @@ class TooFewRows(ValueError):
     """The data are too small for the requested analysis."""
 
 
+# fixed values: fewest rows for each analysis
+FEWEST_ROWS = {
+    "model training": 50,
+    "model view": 101,
+    "performance curve": 51,
+    "unsupervised analysis": 50,
+    "cluster sweep": 4,
+}
+
+
 def at_least(df: DataFrame, rows: int, purpose: str) -> DataFrame:
     """Pass the frame through, or raise if it has fewer than ``rows`` rows."""
     if df.limit(rows).count() < rows:
@@ -22,6 +32,11 @@ def at_least(df: DataFrame, rows: int, purpose: str) -> DataFrame:
     return df
 
 
+def enough(df: DataFrame, purpose: str) -> DataFrame:
+    """Pass the frame through, or raise if it has fewer rows than this analysis needs (``FEWEST_ROWS``)."""
+    return at_least(df, FEWEST_ROWS[purpose], purpose)
+
+
 def in_dates(df: DataFrame, start: dt.date, end: dt.date, end_inclusive_midnight: bool = False) -> DataFrame:
     """Both days included; rows without a time are left out.
 

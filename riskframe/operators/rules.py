@@ -18,7 +18,8 @@ from riskframe.session import checkpointed
 
 # fixed values: item prefixes, in item order
 ITEM_PREFIXES = {PLACE: "Bairro_", CRIME: "Crime_", WEAPON: "Arma_", SHIFT: "Turno_", "dia_semana": "Dia_"}
-MIN_TRANSACTIONS = 10
+#: High-risk rows, and among them rows with an item, below which there are no rules.
+MIN_HIGH_RISK, MIN_TRANSACTIONS = 10, 5
 CRITICAL_LIFT = 2.0
 
 ITEMSET_SCHEMA = "items array<string>, n long, support double"
@@ -28,21 +29,30 @@ def item(column: str) -> Column:
     return F.concat(F.lit(ITEM_PREFIXES[column]), F.col(column).cast("string"))
 
 
+def _high_risk(df: DataFrame) -> DataFrame:
+    return df.where(F.col(LABEL) == 1) if LABEL in df.columns else df
+
+
 def transactions(df: DataFrame) -> DataFrame:
     """High-risk rows that have at least one item, with their item list."""
     columns = [c for c in ITEM_PREFIXES if c in df.columns]
-    rows = df.where(F.col(LABEL) == 1) if LABEL in df.columns else df
     items = F.array_compact(F.array(*[item(c) for c in columns]))
-    return rows.withColumn("items", items).where(F.size("items") > 0)
+    return _high_risk(df).withColumn("items", items).where(F.size("items") > 0)
 
 
 def frequent_itemsets(df: DataFrame, min_support: float = 0.05) -> DataFrame:
-    """All itemsets of at least ``min_support``; at most 31 / min_support rows."""
-    baskets = transactions(df)
+    """All itemsets of at least ``min_support``; at most 31 / min_support rows.
+
+    None if there are fewer than ``MIN_HIGH_RISK`` high-risk rows, or fewer than ``MIN_TRANSACTIONS`` with an item.
+    """
     columns = [c for c in ITEM_PREFIXES if c in df.columns]
-    combos = checkpointed(baskets.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")))  # the only pass over the rows
-    total = combos.agg(F.sum("n").alias("n")).first()["n"] or 0
-    if total < MIN_TRANSACTIONS:
+    if not columns:
+        return df.sparkSession.createDataFrame([], ITEMSET_SCHEMA)
+    combos = checkpointed(_high_risk(df).groupBy(*columns).agg(F.count(F.lit(1)).alias("n")))  # the only pass over the rows
+    some = F.coalesce(*columns).isNotNull()
+    counts = combos.agg(F.sum("n").alias("rows"), F.sum(F.when(some, F.col("n"))).alias("baskets")).first()
+    total = counts["baskets"] or 0
+    if (counts["rows"] or 0) < MIN_HIGH_RISK or total < MIN_TRANSACTIONS:
         return df.sparkSession.createDataFrame([], ITEMSET_SCHEMA)
     cells = combos.cube(*columns).agg(F.sum("n").alias("n"), *[F.grouping(c).alias(f"_g_{c}") for c in columns])
     used = [(F.col(f"_g_{c}") == 0, c) for c in columns]

@@ -18,13 +18,12 @@ from pyspark.sql.window import Window
 from riskframe.functions.layout import spread, tasks
 from riskframe.functions.numeric import as_number, hash_rank, np_round, safe_ratio
 from riskframe.operators import evaluation
-from riskframe.operators.filters import at_least
+from riskframe.operators.filters import enough
 from riskframe.operators.splits import class_weights, part, temporal_split
 from riskframe.schema import COMPACT_CATEGORIES, ID, IGNORED, LABEL, MODEL_CATEGORIES, MODEL_NUMBERS
 from riskframe.session import checkpointed, use_checkpoint_dir
 
 SEED = 42
-MIN_TRAINING_ROWS = 50
 #: Candidate cuts of a number: every distinct value of ages, hours and counts is one.
 MAX_BINS = 256
 FEATURES = "features"
@@ -166,12 +165,17 @@ def train_models(
 
 def train_forest(df: DataFrame, trees: int = 200, depth: int = 10, min_leaf: int = 5, **features) -> tuple[RiskModel, DataFrame]:
     """Forest on the earlier rows; returns the model and the split frame."""
-    at_least(df, MIN_TRAINING_ROWS, "training")
+    enough(df, "model training")
     split = temporal_split(df)
     makers = {"RandomForest": lambda n: forest(trees, depth, min_leaf)}
     return train_models(part(split, "train"), makers, **features)["RandomForest"], split
 
 
+def trained_view(df: DataFrame, **forest) -> tuple[RiskModel, DataFrame]:
+    """The forest of a view over filtered rows; raises if the filters leave too few."""
+    return train_forest(enough(df, "model view"), **forest)
+
+
 def as_predictions(model: RiskModel, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Narrow prediction rows, written once: evaluation passes do not score the rows again."""
     return checkpointed(evaluation.predictions(model.predict(spread(df)), "probability", keep=keep))

@@ -10,22 +10,27 @@ from pyspark.sql import functions as F
 from riskframe.operators.evaluation import predictions
 from riskframe.operators.prep import clean, fit_medians, with_flags
 from riskframe.operators.scoring import place_rates, with_risk
-from riskframe.schema import PLACE, SHIFT
+from riskframe.schema import CLUSTER_NUMBERS, FILLED_NUMBERS, MODEL_NUMBERS, PLACE, SHIFT
 from riskframe.session import checkpointed
 from riskframe.sources.fixture import incident_view
 
 
+#: Filled numbers that the risk score reads.
+SCORE_NUMBERS = ["quantidade_suspeitos", "idade_suspeito"]
+
+
 class IncidentData:
     """Lazy frames over one folder.
 
-    Row-level frames are plans and are not cached.  Kept for reuse are the five
-    medians, the narrow prediction rows, and fitted models (see ``memo``).
+    Row-level frames are plans and are not cached.  Kept for reuse are medians, each fitted when a query first
+    needs it, the narrow prediction rows, and fitted models (see ``memo``).
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
         self._memo: dict = {}
+        self.medians: dict[str, float | None] = {}
 
     def memo(self, key: str, build):
         if key not in self._memo:
@@ -36,26 +41,43 @@ class IncidentData:
     def raw(self) -> DataFrame:
         return incident_view(self.spark, self.sf_dir)
 
-    @cached_property
-    def medians(self) -> dict[str, float | None]:
-        return fit_medians(self.raw)
+    def filled(self, *columns: str) -> DataFrame:
+        """Cleaned rows in which missing values of these numbers are their medians; other numbers stay null.
+
+        The medians are those of the whole data set.  Only the ones not known yet are fitted, in shared passes.
+        """
+        fresh = [c for c in columns if c not in self.medians]
+        if fresh:
+            self.medians |= fit_medians(self.raw, fresh)
+        return clean(self.raw, {c: self.medians[c] for c in columns})
 
     @cached_property
     def clean(self) -> DataFrame:
-        return clean(self.raw, self.medians)
+        return self.filled(*FILLED_NUMBERS)
+
+    @cached_property
+    def modelled(self) -> DataFrame:
+        """Cleaned rows in which the numbers that models read are filled."""
+        return self.filled(*[c for c in FILLED_NUMBERS if c in {*MODEL_NUMBERS, *CLUSTER_NUMBERS}])
 
     @cached_property
     def plain(self) -> DataFrame:
         """Cleaned rows whose missing numbers stay null, for queries that use none: no median is fitted."""
-        return clean(self.raw, {})
+        return self.filled()
+
+    @cached_property
+    def place_rates(self) -> DataFrame:
+        return checkpointed(place_rates(self.plain))
 
     @cached_property
     def scored(self) -> DataFrame:
-        return with_risk(self.clean, rates=checkpointed(place_rates(self.plain)))
+        """Scored rows; of the filled numbers only those that the score reads are filled."""
+        return with_risk(self.filled(*SCORE_NUMBERS), rates=self.place_rates)
 
     @cached_property
     def flagged(self) -> DataFrame:
-        return with_flags(self.scored)
+        """Scored and flagged rows in which the numbers that models read are filled."""
+        return with_flags(with_risk(self.modelled, rates=self.place_rates))
 
     @cached_property
     def pred(self) -> DataFrame:

@@ -150,7 +150,7 @@ select k_pct, {_prf()} from m"""
     ),
 )
 def performance_curve(data):
-    return ev.performance_curve(data.pred)
+    return ev.shown_curve(data.pred)
 
 
 @query(

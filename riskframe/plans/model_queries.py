@@ -10,6 +10,7 @@ from riskframe.operators import aggregates, anomaly, clustering, splits
 from riskframe.operators import evaluation as ev
 from riskframe.operators import supervised as sv
 from riskframe.operators.dbscan import dbscan
+from riskframe.operators.filters import enough
 from riskframe.plans.oracle import LETHAL, on_clean, on_flags, on_scored, r
 from riskframe.plans.registry import query
 from riskframe.schema import (
@@ -27,11 +28,11 @@ ID = "id_ocorrencia"
 
 
 def fitted_forest(data):
-    return data.memo("forest", lambda: sv.train_forest(data.clean))
+    return data.memo("forest", lambda: sv.train_forest(data.modelled))
 
 
 def three_parts(data):
-    split = data.memo("split3", lambda: splits.temporal_split_3way(data.clean))
+    split = data.memo("split3", lambda: splits.temporal_split_3way(data.modelled))
     train, valid, test = (splits.part(split, name) for name in ("train", "valid", "test"))
     return train, valid, test
 
@@ -49,6 +50,8 @@ def scaler(data):
 
 
 def vectors(data, keep=None):
+    """Scaled features of all rows; small tables have no unsupervised view."""
+    data.memo("enough", lambda: enough(data.raw, "unsupervised analysis"))
     return clustering.vectors(data.flagged, scaler(data), keep)
 
 
@@ -75,10 +78,10 @@ _HOT = " + ".join(f"cast({c} in (select {c} from train) as integer)" for c in MO
 def preprocess(data):
     from pyspark.ml.functions import vector_to_array
 
-    train = splits.part(splits.temporal_split(data.clean), "train")
+    train = splits.part(splits.temporal_split(data.modelled), "train")
     prep = sv.Preprocessor(list(MODEL_NUMBERS), list(MODEL_CATEGORIES)).fit(train)
     x = vector_to_array("features")
-    ready = prep.transform(data.clean).withColumn("x", x)
+    ready = prep.transform(data.modelled).withColumn("x", x)
     n = len(MODEL_NUMBERS)
     hot = F.aggregate(F.slice("x", n + 1, len(prep.names) - n), F.lit(0.0), lambda acc, v: acc + v)
     return ready.select(
@@ -102,18 +105,18 @@ def train_logreg(data):
 @query("predict_risk")
 def predict_risk(data):
     model, _ = fitted_forest(data)
-    return six(model.predict(data.clean), "probability").select(ID, "bairro", "risco_alto", "probability", "prediction")
+    return six(model.predict(data.modelled), "probability").select(ID, "bairro", "risco_alto", "probability", "prediction")
 
 
 @query("prediction_summary")
 def prediction_summary(data):
     model, _ = fitted_forest(data)
-    return sv.prediction_summary(model.predict(data.clean))
+    return sv.prediction_summary(model.predict(data.modelled))
 
 
 @query("choose_model")
 def choose_model(data):
-    return chosen_model(data).table(data.clean)
+    return chosen_model(data).table(data.modelled)
 
 
 @query("chosen_model_metrics")
@@ -133,7 +136,7 @@ def chosen_f1_at_k_by_window(data):
 @query("feature_importance")
 def feature_importance(data):
     model, _ = fitted_forest(data)
-    return six(sv.feature_importance(model, data.clean, 12), "importance")
+    return six(sv.feature_importance(model, data.modelled, 12), "importance")
 
 
 @query("permutation_importance")
@@ -143,7 +146,7 @@ def permutation_importance(data):
 
 @query("model_summary")
 def model_summary(data):
-    return sv.model_summary(fitted_forest(data)[0], data.clean)
+    return sv.model_summary(fitted_forest(data)[0], data.modelled)
 
 
 @query("score_new_calls")
@@ -167,7 +170,7 @@ def report_lines_with_metrics(data):
 
     row = chosen_model_metrics(data).first().asDict()
     metrics = {k: row[k] for k in ("precision", "recall", "f1", "roc_auc")}
-    return report.report_lines(data.clean, REPORT_TIME, metrics)
+    return report.report_lines(data.modelled, REPORT_TIME, metrics)
 
 
 # --- clustering ------------------------------------------------------------------------
@@ -251,13 +254,58 @@ def dbscan_clusters(data):
     return dbscan_assigned(data).select(ID, "cluster")
 
 
+# --- the fixed inputs of these measures are the scaled features themselves -----------------
+
+_Z = (
+    _MATRIX
+    + ", z as (select id_ocorrencia, "
+    + ", ".join(
+        f"({c} - (select avg({c}) from matrix)) / coalesce(nullif((select stddev_pop({c}) from matrix), 0), 1e0) as z{i}"
+        for i, c in enumerate(_NAMES)
+    )
+    + " from matrix)\n"
+)
+_ZS = ", ".join(f"z{i}" for i in range(len(_NAMES)))
+_GAP = " + ".join(f"(a.z{i} - b.z{i}) * (a.z{i} - b.z{i})" for i in range(len(_NAMES)))
+#: The three flags are 0 or 1, and scaled they lie further apart than the reach: near rows agree in them.
+_SAME_FLAGS = " and ".join(f"a.z{_NAMES.index(c)} = b.z{_NAMES.index(c)}" for c in CLUSTER_FLAGS)
+
+
+@query(
+    "dbscan_core",
+    on_flags(
+        _Z
+        + f""", d as materialized (select {_ZS}, count(*) as w from z group by all),
+near as (select {', '.join(f'a.z{i}' for i in range(len(_NAMES)))}, sum(b.w) as n
+  from d a join d b on {_SAME_FLAGS} where {_GAP} <= 25e-2 group by all)
+select id_ocorrencia, cast(n >= 5 as integer) as core from z join near using ({_ZS})"""
+    ),
+)
+def dbscan_core(data):
+    return dbscan_assigned(data).select(ID, "core")
+
+
+@query(
+    "pca_covariance",
+    on_flags(
+        _Z
+        + "\nunion all\n".join(
+            f"select '{a}' as feature_a, '{b}' as feature_b, {r(f'covar_samp(z{i}, z{j})')} as covariance from z"
+            for i, a in enumerate(_NAMES) for j, b in enumerate(_NAMES)
+        )
+    ),
+)
+def pca_covariance(data):
+    return six(clustering.covariance(vectors(data), _NAMES), "covariance")
+
+
 @query("clustering_summary")
 def clustering_summary(data):
     rows = [
         clustering.clustering_summary(labelled, pca(data), method)
         for labelled, method in ((kmeans_assigned(data), "K-Means"), (dbscan_assigned(data), "DBSCAN"))
     ]
-    return six(rows[0].unionByName(rows[1]), "silhouette_sq_euclidean", "pca_variance_explained")
+    return six(rows[0].unionByName(rows[1]), "silhouette_sq_euclidean", "silhouette_euclidean", "pca_variance_explained")
 
 
 @query("pca_coordinates")
@@ -371,6 +419,25 @@ def silhouette_fixed(data):
     return six(data.spark.createDataFrame([(value,)], "silhouette_sq_euclidean double"), "silhouette_sq_euclidean")
 
 
+@query(
+    "silhouette_euclidean_sample",
+    on_scored(
+        _FIXED
+        + f""", sample as materialized (select * from assigned order by md5('{clustering.SEED}:' || id_ocorrencia), id_ocorrencia limit {clustering.SILHOUETTE_ROWS}),
+sizes as (select cluster, count(*) as n from sample group by cluster),
+d as (select a.id_ocorrencia, a.cluster = b.cluster as own, b.cluster, sum(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) as total
+  from sample a cross join sample b group by all),
+v as (select id_ocorrencia, max(n) filter (where own) as n, max(total / greatest(n - 1, 1)) filter (where own) as inner_mean,
+    min(total / n) filter (where not own) as outer_mean from d join sizes using (cluster) group by id_ocorrencia)
+select count(*) as n, {r('avg(case when n = 1 or greatest(outer_mean, inner_mean) = 0 then 0e0 else (outer_mean - inner_mean) / greatest(outer_mean, inner_mean) end)')}
+  as silhouette_euclidean from v"""
+    ),
+)
+def silhouette_euclidean_sample(data):
+    found = clustering.silhouette_sample(fixed_points(data))
+    return six(found.agg(F.count(F.lit(1)).alias("n"), F.avg("s").alias("silhouette_euclidean")), "silhouette_euclidean")
+
+
 @query(
     "davies_bouldin_fixed",
     on_scored(
@@ -444,6 +511,37 @@ def top_anomalies(data):
     return six(anomaly.top_anomalies(flagged_anomalies(data)), "anomaly_score").select(ID, "anomaly_score", *_KEEP)
 
 
+# Three fixed trees over the scaled features: (tree, node, feature, cut, left, right, depth).
+_TREES = [
+    (0, 0, 2, 0.1, 1, 2, 0.0), (0, 1, 5, -0.3, 3, 4, 1.0), (0, 2, 0, 0.4, 5, 6, 1.0), (0, 3, -1, 0.0, 3, 3, 5.25),
+    (0, 4, -1, 0.0, 4, 4, 4.5), (0, 5, -1, 0.0, 5, 5, 2.0), (0, 6, 3, 1.2, 7, 8, 2.0), (0, 7, -1, 0.0, 7, 7, 3.0), (0, 8, -1, 0.0, 8, 8, 3.75),
+    (1, 0, 6, 0.5, 1, 2, 0.0), (1, 1, -1, 0.0, 1, 1, 6.5), (1, 2, 4, -0.9, 3, 4, 1.0), (1, 3, -1, 0.0, 3, 3, 2.0), (1, 4, -1, 0.0, 4, 4, 4.0),
+    (2, 0, -1, 0.0, 0, 0, 3.5),
+]
+_PATH_NORM = 8.0
+
+
+@query(
+    "isolation_score_fixed",
+    "with recursive "
+    + on_flags(
+        _Z
+        + f""", nodes(tree, node, feature, cut, lower, upper, depth) as (values {', '.join(f"({t}, {n}, {f}, {c!r}e0, {a}, {b}, {d!r}e0)" for t, n, f, c, a, b, d in _TREES)}),
+rows as (select id_ocorrencia, [{_ZS}] as x from z),
+walk(id_ocorrencia, x, tree, node) as (
+  select id_ocorrencia, x, tree, 0 from rows cross join (select distinct tree from nodes)
+  union all
+  select w.id_ocorrencia, w.x, w.tree, case when w.x[n.feature + 1] <= n.cut then n.lower else n.upper end
+  from walk w join nodes n on w.tree = n.tree and w.node = n.node where n.feature >= 0)
+select id_ocorrencia, {r(f"pow(2e0, -avg(depth) / {_PATH_NORM!r}e0)")} as anomaly_score
+from walk join nodes using (tree, node) where feature < 0 group by id_ocorrencia"""
+    ).removeprefix("with "),
+)
+def isolation_score_fixed(data):
+    nodes = data.spark.createDataFrame(_TREES, anomaly.NODE_SCHEMA)
+    return six(anomaly.score_with(vectors(data).drop("features"), nodes, _PATH_NORM), "anomaly_score").select(ID, "anomaly_score")
+
+
 # A fixed flag (the top tenth of the risk score) lets SQL check the statistics.
 _ODD = """, odd as (select *, cast(risk_score > (select quantile_cont(risk_score, 9e-1) from scored) as integer) as is_anomaly from scored)
 """

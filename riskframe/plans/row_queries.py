@@ -11,7 +11,7 @@ from riskframe.functions.numeric import np_round
 from riskframe.functions.timeparts import shift_of_hour, time_parts
 from riskframe.operators import filters, geo, prep, scoring, splits
 from riskframe.operators.rules import transactions
-from riskframe.plans.data import time_text
+from riskframe.plans.data import SCORE_NUMBERS, time_text
 from riskframe.plans.oracle import (
     RAW,
     clean_cte,
@@ -259,7 +259,7 @@ def crime_risk(data):
 @query("suspect_risk", on_scored(f"select id_ocorrencia, {r('suspect_risk', 9)} as suspect_risk from scored"))
 def suspect_risk(data):
     value = risk.suspect_risk(F.col("quantidade_suspeitos"), F.col("idade_suspeito"))
-    return data.clean.select(ID, np_round(value, 9).alias("suspect_risk"))
+    return data.filled(*SCORE_NUMBERS).select(ID, np_round(value, 9).alias("suspect_risk"))
 
 
 @query("location_risk", on_scored("select id_ocorrencia, bairro, location_risk from scored"))
@@ -345,7 +345,7 @@ def high_risk_alerts(data):
     ),
 )
 def rule_baseline(data):
-    return scoring.rule_baseline(data.clean).select(ID, "risco_alto", "rule_prediction")
+    return scoring.rule_baseline(data.filled("quantidade_suspeitos")).select(ID, "risco_alto", "rule_prediction")
 
 
 @query(
@@ -361,7 +361,7 @@ from clean where risco_alto = 1 or id_ocorrencia in (select id_ocorrencia from l
     ),
 )
 def geo_points(data):
-    return geo.geo_points(data.clean).select(
+    return geo.geo_points(data.filled("latitude", "longitude")).select(
         ID,
         np_round(F.col("latitude"), 6).alias("latitude"),
         np_round(F.col("longitude"), 6).alias("longitude"),
@@ -372,7 +372,7 @@ def geo_points(data):
 
 @query("geo_center", on_clean(f"select {r('avg(latitude)')} as latitude, {r('avg(longitude)')} as longitude from clean"))
 def geo_center(data):
-    return geo.geo_center(data.clean)
+    return geo.geo_center(data.filled("latitude", "longitude"))
 
 
 # --- splits -------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.numeric import np_round
 from riskframe.operators import aggregates as agg
-from riskframe.operators import filters, patterns, report, rules
+from riskframe.operators import baskets, filters, patterns, report, rules
 from riskframe.plans.data import time_text
 from riskframe.plans.oracle import LETHAL, on_clean, on_scored, pct_text, r, ts_text
 from riskframe.plans.registry import query
@@ -129,7 +129,7 @@ def risk_by_shift(data):
     ),
 )
 def shift_metrics(data):
-    return agg.shift_metrics(data.clean)
+    return agg.shift_metrics(data.filled("quantidade_suspeitos", "quantidade_vitimas"))
 
 
 @query(
@@ -142,7 +142,7 @@ def shift_metrics(data):
     ),
 )
 def crime_risk_rank(data):
-    return agg.crime_risk_rank(data.clean)
+    return agg.crime_risk_rank(data.filled("quantidade_suspeitos"))
 
 
 def _top_sql(key, above=None):
@@ -190,7 +190,7 @@ _MEANS3 = (
 
 @query("bairro_summary", on_clean(f"select bairro, {CRT}, {_MEANS3} from clean group by bairro"))
 def bairro_summary(data):
-    return agg.place_summary(data.clean)
+    return agg.place_summary(data.filled("quantidade_suspeitos", "quantidade_vitimas"))
 
 
 @query(
@@ -328,7 +328,7 @@ where turno is not null and dia_semana is not null group by turno, dia_semana"""
 )
 def suspects_heatmap(data):
     """Any value over any two keys."""
-    found = agg.heatmap(data.clean, "dia_semana", "turno", "quantidade_suspeitos")
+    found = agg.heatmap(data.filled("quantidade_suspeitos"), "dia_semana", "turno", "quantidade_suspeitos")
     return found.withColumn("media", np_round(F.col("media"), 6))
 
 
@@ -406,7 +406,7 @@ _CORR = ["risco_alto", "quantidade_suspeitos", "quantidade_vitimas", "hora", "di
     ),
 )
 def risk_correlation(data):
-    return agg.correlation(data.clean, _CORR)
+    return agg.correlation(data.modelled, _CORR)
 
 
 @query(
@@ -522,24 +522,28 @@ def _itemset_cte(support: str = "5e-2") -> str:
         )
     union = "\nunion all ".join(parts)
     return (
-        ", high as (select * from clean where risco_alto = 1),\n"
-        f"sets as (select * from ({union}) where support >= {support})\n"
+        ", high as materialized (select * from clean where risco_alto = 1),\n"
+        f"sets as materialized (select * from ({union}) where support >= {support})\n"
     )
 
 
-def _match(side: str) -> str:
-    return " and ".join(f"(({side}.mask >> {i}) & 1 = 0 or {side}.c{i} = s.c{i})" for i in range(5))
+def _items(mask: str) -> str:
+    """Label of the items of a set ``s`` that a mask picks; nulls drop out."""
+    return "concat_ws('|', " + ", ".join(f"case when ({mask} >> {i}) & 1 = 1 then s.c{i} end" for i in range(5)) + ")"
 
 
+# sides are found by the equality of their labels
 _RULES = (
     _itemset_cte()
-    + f""", rules as (select a.itens as antecedents, c.itens as consequents, {r('s.support', 3)} as support,
+    + f""", splits as (select s.support, {_items('m')} as antecedents, {_items('(s.mask - m)')} as consequents
+  from sets s join (select unnest(range(1, 31)) as m) t on m & s.mask = m and m < s.mask),
+rules as (select antecedents, consequents, {r('s.support', 3)} as support,
   {r('s.support / a.support', 2)} as confidence, {r('s.support / a.support / c.support', 2)} as lift
-from sets s join sets a on (a.mask & s.mask) = a.mask and a.mask < s.mask and {_match('a')}
-join sets c on c.mask = s.mask - a.mask and {_match('c')}
+from splits s join sets a on a.itens = s.antecedents join sets c on c.itens = s.consequents
 where s.support / a.support >= 3e-1)
 """
 )
+_RULE_ORDER = " order by lift desc, confidence desc, support desc, replace(antecedents, '|', ', '), replace(consequents, '|', ', ')"
 
 
 @query("frequent_itemsets", on_clean(_itemset_cte() + f"select itens, n, {r('support')} as support from sets"))
@@ -549,13 +553,39 @@ def frequent_itemsets(data):
     )
 
 
-@query("association_rules", on_clean(_RULES + "select * from rules"))
+@query("association_rules", on_clean(_RULES + "select * from rules" + _RULE_ORDER))
 def association_rules(data):
     return rules.association_rules(data.plain, MIN_SUPPORT, MIN_CONFIDENCE).withColumns(
         {side: F.array_join(side, "|") for side in ("antecedents", "consequents")}
     )
 
 
+@query("basket_itemsets", on_clean(_itemset_cte() + f"select itens, n, {r('support')} as support from sets"))
+def basket_itemsets(data):
+    """The same itemsets, mined from the item lists by FP-trees."""
+    found = baskets.frequent_itemsets(rules.transactions(data.plain), "items", MIN_SUPPORT)
+    kinds = F.array(*[F.lit(p) for _, p in _ITEMS])
+    place = F.transform("items", lambda x: F.struct(F.array_position(kinds, F.regexp_extract(x, "^[A-Za-z]+_", 0)), x.alias("item")))
+    ordered = F.transform(F.array_sort(place), lambda p: p["item"])
+    return found.select(F.array_join(ordered, "|").alias("itens"), "n", np_round(F.col("support"), 6).alias("support"))
+
+
+@query(
+    "basket_rules",
+    on_clean(
+        _RULES
+        + """select list_aggregate(list_sort(string_split(antecedents, '|')), 'string_agg', '|') as antecedents,
+  list_aggregate(list_sort(string_split(consequents, '|')), 'string_agg', '|') as consequents, support, confidence, lift from rules"""
+    ),
+)
+def basket_rules(data):
+    """Rules with consequents of any size, grown level by level from the itemsets of the item lists."""
+    found = baskets.frequent_itemsets(rules.transactions(data.plain), "items", MIN_SUPPORT)
+    return baskets.association_rules(found, MIN_CONFIDENCE).withColumns(
+        {side: F.array_join(side, "|") for side in ("antecedents", "consequents")}
+    )
+
+
 @query(
     "top_rules",
     on_clean(

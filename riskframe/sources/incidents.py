@@ -37,12 +37,16 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_time_column(df: DataFrame) -> DataFrame:
-    """Use the first column whose name contains 'data' if the time column is missing."""
+    """Use the first column whose name contains 'data' if the time column is missing.
+
+    Text stays text, so that cleaning can read it in the format it finds (``prep.fit_time_format``).
+    """
     if TIME in df.columns:
         return df
     for name in df.columns:
         if "data" in name.lower():
-            return df.withColumn(TIME, F.col(name).try_cast("timestamp_ntz"))
+            text = dict(df.dtypes)[name] == "string"
+            return df.withColumn(TIME, F.col(name) if text else F.col(name).try_cast("timestamp_ntz"))
     return df
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskframe.functions import lookup, running
 from riskframe.functions.layout import spread
 from riskframe.functions.numeric import hash_rank
-from riskframe.operators import anomaly, clustering, evaluation, prep, scoring
+from riskframe.operators import anomaly, evaluation, lloyd, prep, scoring
 from riskframe.plans import catalog
 from riskframe.plans.data import IncidentData
 from riskframe.plans.registry import QUERIES
@@ -37,10 +37,17 @@ def test_plain_queries_fit_no_median(spark, name):
     assert name in catalog.queries()
     fresh = IncidentData(spark, SF_DIR)
     started = jobs_of(spark, f"plain-{name}", lambda: QUERIES[name](fresh))
-    assert "medians" not in vars(fresh)
+    assert not fresh.medians
     assert len(started) <= 3  # at most the footers of the three tables
 
 
+@pytest.mark.parametrize("name,fitted", [("risk_category", 2), ("bairro_summary", 2), ("crime_risk_rank", 1), ("geo_center", 2)])
+def test_queries_fit_the_medians_they_use(spark, name, fitted):
+    fresh = IncidentData(spark, SF_DIR)
+    QUERIES[name](fresh)
+    assert len(fresh.medians) == fitted
+
+
 @pytest.mark.parametrize("rows", [200, 5_000, 50_000])
 def test_one_sampling_law_at_every_size(spark, rows):
     vecs = spark.range(rows).select(F.col("id").alias("id_ocorrencia"), F.array(F.col("id").cast("double")).alias("x"))
@@ -116,8 +123,5 @@ def test_ids_stay_text_if_one_is_no_number(spark):
 
 def test_the_best_of_several_starts(spark):
     vecs = spark.range(300).select(F.col("id").alias("id_ocorrencia"), F.array((F.col("id") % 10).cast("double")).alias("x"))
-    from pyspark.ml.functions import array_to_vector
-
-    vecs = vecs.withColumn("features", array_to_vector("x"))
-    cost = [clustering.kmeans(vecs, 4, seed=1, starts=n).summary.trainingCost for n in (1, 5)]
+    cost = [lloyd.kmeans_fits(vecs, [4], 1, n, measures=True)[0][0].inertia for n in (1, 5)]
     assert cost[1] <= cost[0]
