@@ -5,7 +5,8 @@ aggregation buffer, which fails once a column (a timestamp, a probability) has
 about as many values as rows.  Here each pass counts rows in a bounded number of
 equal-width buckets and keeps only the buckets that hold a wanted rank, so no
 task and no driver ever sees more than a few thousand rows.  The first pass also sketches
-where the ranks lie, so the buckets of the second pass are fine there and mostly decide.
+where the ranks lie, so the buckets of the second pass are fine there and mostly decide.  Columns with few
+distinct values need no buckets: one pass counts the values.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ BUCKETS = 4096
 SKETCH_ERROR = 1e-4
 MARGIN = 3e-4
 DIRECT_ROWS = 20_000
+#: Columns with no more distinct values, about, are counted value by value.
+FEW_VALUES = 2_000
 
 
 def exact_quantiles(
@@ -34,6 +37,43 @@ def exact_quantiles(
     """Linear-interpolation quantiles, nulls left out; ``None`` for empty columns."""
     exprs = columns if isinstance(columns, dict) else {c: F.col(c) for c in columns}
     exprs = {name: expr.cast("double") for name, expr in exprs.items()}
+    found = _of_few_values(df, exprs, probs)
+    rest = {name: expr for name, expr in exprs.items() if name not in found}
+    if rest:
+        found |= _of_many_values(df, rest, probs, buckets, direct_rows)
+    return {name: found[name] for name in exprs}
+
+
+def _of_few_values(df: DataFrame, exprs: dict[str, Column], probs: list[float]) -> dict[str, list[float | None]]:
+    """Quantiles of the columns with few distinct values, such as ages and hours, from the counts of these values."""
+    names = list(exprs)
+    row = df.agg(*[F.approx_count_distinct(exprs[c]).alias(f"a{i}") for i, c in enumerate(names)]).first()
+    few = [c for i, c in enumerate(names) if row[i] <= FEW_VALUES]
+    if not few:
+        return {}
+    slots = F.array(*[F.struct(F.lit(i).alias("k"), exprs[c].alias("v")) for i, c in enumerate(few)])
+    values = df.select(F.explode(slots).alias("s")).select("s.k", "s.v").groupBy("k", "v").agg(F.count(F.lit(1)).alias("n"))
+    held: dict[int, list] = {i: [] for i in range(len(few))}
+    for k, v, n in values.where(F.col("v").isNotNull()).collect():
+        held[k].append((v, n))
+    return {c: [_of_counts(sorted(held[i]), p) for p in probs] for i, c in enumerate(few)}
+
+
+def _of_counts(values: list[tuple[float, int]], p: float) -> float | None:
+    """Quantile of values with counts, ascending."""
+    if not values:
+        return None
+    n = sum(count for _, count in values)
+    found, wanted, before = {}, _neighbours(p, n), 0
+    for value, count in values:
+        found.update({(0, r): value for r in wanted if before <= r < before + count})
+        before += count
+    return _interpolate(found, 0, p, n)
+
+
+def _of_many_values(
+    df: DataFrame, exprs: dict[str, Column], probs: list[float], buckets: int, direct_rows: int
+) -> dict[str, list[float | None]]:
     counts, stats = _bounds(df, exprs, probs)
     wanted = {
         i: {r for p in probs for r in _neighbours(p, n)} for i, n in enumerate(counts) if n

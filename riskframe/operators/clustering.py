@@ -70,16 +70,22 @@ def fit_scaler(df: DataFrame) -> Scaler:
     names = numbers + [c for c in CLUSTER_FLAGS if c in df.columns]
     if not names:
         raise ValueError("no numeric feature available")
-    medians = {c: v[0] for c, v in exact_quantiles(df, numbers, [0.5]).items() if v[0] is not None}
-    plain = Scaler(names, medians, {})
-    row = df.agg(
-        *[F.avg(plain.filled(c)).alias(f"m_{c}") for c in names],
-        *[F.stddev_pop(plain.filled(c)).alias(f"s_{c}") for c in names],
-    ).first()
-    moments = {c: (row[f"m_{c}"] or 0.0, row[f"s_{c}"] or 1.0) for c in names}
+    plain = Scaler(names, {}, {})
+    row = df.agg(*_moments(plain, names), *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"n_{c}") for c in numbers]).first()
+    gaps = [c for c in numbers if row[f"n_{c}"]]
+    moments = {c: (row[f"m_{c}"] or 0.0, row[f"s_{c}"] or 1.0) for c in names if c not in gaps}
+    medians = {c: v[0] for c, v in exact_quantiles(df, gaps, [0.5]).items() if v[0] is not None} if gaps else {}
+    if gaps:  # filling a gap moves the mean and the spread
+        row = df.agg(*_moments(Scaler(names, medians, {}), gaps)).first()
+        moments |= {c: (row[f"m_{c}"] or 0.0, row[f"s_{c}"] or 1.0) for c in gaps}
     return Scaler(names, medians, moments)
 
 
+def _moments(scaler: Scaler, names: list[str]) -> list[Column]:
+    means = [F.avg(scaler.filled(c)).alias(f"m_{c}") for c in names]
+    return means + [F.stddev_pop(scaler.filled(c)).alias(f"s_{c}") for c in names]
+
+
 def feature_table(df: DataFrame, scaler: Scaler) -> DataFrame:
     return df.select(ID, *[scaler.filled(c).alias(c) for c in scaler.names])
 

@@ -94,10 +94,28 @@ def plus_plus(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
 
 
 def first_centers(vecs: DataFrame, ks: list[int], seed: int, starts: int = 1, rows: int = START_ROWS) -> list[np.ndarray]:
-    """For each k in turn, ``starts`` sets of centres drawn from a bounded sample of the rows."""
+    """For each k in turn, ``starts`` sets of centres, drawn from a bounded sample of the rows and settled on it.
+
+    Centres that have settled on the sample need few passes over all rows.
+    """
     sample = hash_sample(vecs.select(ID, "x"), rows, seed).collect()
     x = np.array([r["x"] for r in sample], dtype=float)
-    return [plus_plus(x, k, np.random.default_rng([seed, k, start])) for k in ks for start in range(starts)]
+    return [settled(x, plus_plus(x, k, np.random.default_rng([seed, k, start]))) for k in ks for start in range(starts)]
+
+
+def settled(x: np.ndarray, centers: np.ndarray, tolerance: float = TOLERANCE, most: int = MAX_PASSES) -> np.ndarray:
+    """Centres after Lloyd iterations on a matrix in memory."""
+    norms = (x**2).sum(axis=1)
+    for _ in range(most):
+        label = (norms[:, None] - 2 * x @ centers.T + (centers**2).sum(axis=1)).argmin(axis=1)
+        n = np.bincount(label, minlength=len(centers))
+        sums = np.stack([np.bincount(label, c, len(centers)) for c in x.T], axis=1)
+        new = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centers)
+        shift = ((new - centers) ** 2).sum()
+        centers = new
+        if shift <= tolerance:
+            break
+    return centers
 
 
 def improved(packed: DataFrame, fits: dict[int, np.ndarray]) -> DataFrame:

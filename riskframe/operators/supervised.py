@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import chain
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from riskframe.functions.layout import spread, tasks
 from riskframe.functions.numeric import as_number, hash_rank, np_round, safe_ratio
-from riskframe.operators import evaluation
+from riskframe.operators import evaluation, model_tables
 from riskframe.operators.filters import enough
 from riskframe.operators.splits import class_weights, part, temporal_split
 from riskframe.schema import COMPACT_CATEGORIES, ID, IGNORED, LABEL, MODEL_CATEGORIES, MODEL_NUMBERS
@@ -322,17 +322,6 @@ def score_new_calls(model: RiskModel, calls: DataFrame) -> DataFrame:
     return scored.withColumn("decision", decision)
 
 
-class MacroF1(Evaluator):
-    """Mean F1 of both classes."""
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        pred = dataset.select(F.col(LABEL).cast("int").alias("y"), F.col("prediction").alias("score"))
-        return float(evaluation.eval_metrics(pred, 0.5).first()["f1_macro"])
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
 def grid_search(
     df: DataFrame,
     trees: tuple[int, ...] = (100, 200),
@@ -341,29 +330,48 @@ def grid_search(
     folds: int = 3,
     parallelism: int = 4,
 ) -> DataFrame:
-    """Cross-validated macro F1 of every forest in the grid; folds by seeded id hash."""
+    """Cross-validated macro F1 of every forest in the grid; folds by seeded id hash.
+
+    One forest is grown per minimum leaf and fold, with the most trees and the greatest depth.  Forests of
+    fewer trees are its first trees, and shallower ones stop at its inner nodes.
+    """
+    use_checkpoint_dir(df.sparkSession)
     preprocessor = Preprocessor(list(MODEL_NUMBERS), list(MODEL_CATEGORIES)).fit(df)
     fold = (hash_rank(F.col(ID), SEED) % folds).cast("int")
     ready = spread(preprocessor.transform(df).select(ID, FEATURES, LABEL, F.lit(1.0).alias(WEIGHT), fold.alias("fold")))
-    base = forest()
-    grid = (
-        ParamGridBuilder()
-        .addGrid(base.numTrees, list(trees))
-        .addGrid(base.maxDepth, list(depths))
-        .addGrid(base.minInstancesPerNode, list(min_leaf))
-        .build()
-    )
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)  # every forest of the grid reads it
-    search = CrossValidator(
-        estimator=base, estimatorParamMaps=grid, evaluator=MacroF1(), numFolds=folds, foldCol="fold", parallelism=parallelism
-    )
+
+    def measure(cell: tuple[int, int]) -> list[tuple[int, int, int, float]]:
+        leaf, held = cell
+        grown = forest(max(trees), max(depths), leaf).fit(ready.where(F.col("fold") != held))
+        nodes = model_tables.forest_nodes(df.sparkSession, grown)
+        counts = model_tables.smaller_forests(ready.where(F.col("fold") == held), nodes, list(trees), list(depths), LABEL)
+        held_out: dict[tuple[int, int], dict[tuple[int, int], int]] = {}
+        for r in counts.collect():  # four cells of each forest
+            held_out.setdefault((r["trees"], r["depth"]), {})[r["y"], r["prediction"]] = r["n"]
+        return [(t, d, leaf, _macro_f1(cells)) for (t, d), cells in held_out.items()]
+
     try:
-        fitted = search.fit(ready)
+        ready.count()
+        with ThreadPool(parallelism) as pool:  # independent Spark jobs
+            cells = [(leaf, k) for leaf in min_leaf for k in range(folds)]
+            found = pool.map(inheritable_thread_target(df.sparkSession)(measure), cells)
     finally:
         ready.unpersist()
-    best = max(fitted.avgMetrics)
-    rows = [
-        (p[base.numTrees], p[base.maxDepth], p[base.minInstancesPerNode], round(float(m), 6), int(m == best))
-        for p, m in zip(grid, fitted.avgMetrics)
-    ]
+    scores: dict[tuple[int, int, int], list[float]] = {}
+    for t, d, leaf, f1 in chain.from_iterable(found):
+        scores.setdefault((t, d, leaf), []).append(f1)
+    means = {key: sum(values) / len(values) for key, values in scores.items()}
+    best = max(means.values())
+    rows = [(t, d, leaf, round(means[t, d, leaf], 6), int(means[t, d, leaf] == best)) for t in trees for d in depths for leaf in min_leaf]
     return df_of(df, rows, "n_estimators int, max_depth int, min_leaf int, f1_macro double, best int")
+
+
+def _macro_f1(cells: dict[tuple[int, int], int]) -> float:
+    """Mean F1 of both classes from the counts by (label, prediction); 0 where it is undefined."""
+    out = []
+    for c in (0, 1):
+        hit = cells.get((c, c), 0)
+        wrong = cells.get((c, 1 - c), 0) + cells.get((1 - c, c), 0)
+        out.append(2 * hit / (2 * hit + wrong) if hit else 0.0)
+    return sum(out) / 2

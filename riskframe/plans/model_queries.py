@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions.numeric import np_round
 from riskframe.functions.quantiles import exact_quantiles
-from riskframe.operators import aggregates, anomaly, clustering, splits
+from riskframe.operators import aggregates, anomaly, clustering, model_tables, splits
 from riskframe.operators import evaluation as ev
 from riskframe.operators import supervised as sv
 from riskframe.operators.dbscan import dbscan
@@ -108,6 +108,39 @@ def predict_risk(data):
     return six(model.predict(data.modelled), "probability").select(ID, "bairro", "risco_alto", "probability", "prediction")
 
 
+# A fixed coefficient table over the scaled numbers and two categories.
+_WEIGHTS = {
+    "quantidade_vitimas": 0.4, "quantidade_suspeitos": -0.7, "idade_suspeito": 0.05, "hora": 0.3, "tipo_crime_Roubo": 1.1,
+    "tipo_crime_Furto": -0.9, "turno_Noite": 0.6, "turno_Tarde": -0.2, model_tables.INTERCEPT: -0.35,
+}
+_LINEAR_NUMBERS = ["quantidade_vitimas", "quantidade_suspeitos", "idade_suspeito", "hora"]
+
+
+def _weight_sql(name: str) -> str:
+    return f"({_WEIGHTS[name]!r}e0)"
+
+
+@query(
+    "linear_score_fixed",
+    on_clean(
+        ", m as (select "
+        + ", ".join(f"avg({c}) as a_{c}, stddev_pop({c}) as s_{c}" for c in _LINEAR_NUMBERS)
+        + " from clean), s as (select id_ocorrencia, "
+        + " + ".join(f"coalesce(({c} - a_{c}) / s_{c}, 0e0) * {_weight_sql(c)}" for c in _LINEAR_NUMBERS)
+        + f" + case tipo_crime when 'Roubo' then {_weight_sql('tipo_crime_Roubo')} when 'Furto' then {_weight_sql('tipo_crime_Furto')} else 0e0 end"
+        + f" + case turno when 'Noite' then {_weight_sql('turno_Noite')} when 'Tarde' then {_weight_sql('turno_Tarde')} else 0e0 end"
+        + f" + {_weight_sql(model_tables.INTERCEPT)} as margin from clean cross join m)\n"
+        + f"select id_ocorrencia, {r('1e0 / (1e0 + exp(-margin))')} as probability, cast(1e0 / (1e0 + exp(-margin)) >= 5e-1 as integer) as prediction from s"
+    ),
+)
+def linear_score_fixed(data):
+    rows = data.modelled
+    prep = sv.Preprocessor(list(_LINEAR_NUMBERS), []).fit(rows)
+    table = data.spark.createDataFrame(list(_WEIGHTS.items()), "feature string, weight double")
+    scored = model_tables.linear_scores(rows, table, {c: prep.scaled(c) for c in _LINEAR_NUMBERS}, ["tipo_crime", "turno"])
+    return six(scored, "probability")
+
+
 @query("prediction_summary")
 def prediction_summary(data):
     model, _ = fitted_forest(data)

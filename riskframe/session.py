@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -70,6 +71,12 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+def shared_path(spark: SparkSession, purpose: str) -> str:
+    """A new path in the checkpoint folder, which all executors share."""
+    use_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{purpose}-{uuid.uuid4().hex}"
+
+
 def checkpointed(df):
     """Cut the lineage of a frame that an iteration reads again and again."""
     use_checkpoint_dir(df.sparkSession)
