@@ -28,10 +28,14 @@ def brute_dbscan(ids, x, eps, min_points):
     return labels
 
 
-def check_dbscan(spark, ids, x, eps, min_points):
+def check_dbscan(spark, ids, x, eps, min_points, leaf_points=None):
     df = spark.createDataFrame([(int(i), [float(v) for v in p]) for i, p in zip(ids, x)], "id_ocorrencia long, x array<double>")
-    got = {r[0]: r[1] for r in dbscan(df, eps, min_points).select("id_ocorrencia", "cluster").collect()}
+    found = dbscan(df, eps, min_points, leaf_points).select("id_ocorrencia", "cluster", "core").collect()
+    got = {r[0]: r[1] for r in found}
     assert [got[i] for i in ids] == list(brute_dbscan(ids, x, eps, min_points))
+    near = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1) <= eps * eps
+    core = {r[0]: r[2] for r in found}
+    assert [core[i] for i in ids] == (near.sum(1) >= min_points).astype(int).tolist()
 
 
 @pytest.mark.parametrize("case", ["blobs", "dense", "copies"])
@@ -47,6 +51,18 @@ def test_dbscan_equals_brute_force(spark, case):
     check_dbscan(spark, rng.permutation(len(x)), x, eps, 5)
 
 
+@pytest.mark.parametrize("case", ["plane", "sheets"])
+def test_dbscan_down_the_box_trees(spark, case):
+    """Leaves of few points: nearly every undecided pair walks down the trees."""
+    rng = np.random.default_rng(11)
+    if case == "plane":
+        x, eps = np.vstack([rng.uniform(0, 2, (220, 2)), rng.uniform(4, 9, (40, 2))]), 0.6
+    else:  # two full sheets of cells that touch at a few points alone
+        x = np.vstack([np.c_[rng.uniform(0, 1, 130), rng.uniform(0, 0.2, 130)], np.c_[rng.uniform(0, 1, 130), rng.uniform(0.75, 0.95, 130)]])
+        eps = 0.57
+    check_dbscan(spark, rng.permutation(len(x)), x, eps, 5, leaf_points=3)
+
+
 def test_dbscan_with_shuffled_joins(spark, monkeypatch):
     """No broadcast, and every key counts as hot."""
     from riskframe.functions import lookup
