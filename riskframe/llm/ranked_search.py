@@ -4,9 +4,9 @@ A document is an impact vector over the terms of the items: ``weight * ((1e9 * t
 each term, and an item is the set of its terms, so a score is an inner product.  Vectors are ordered by length and
 cut into buckets.  A bucket whose longest vector cannot reach the item's current k-th score (Cauchy-Schwarz) ends
 the search, as all later ones are shorter.  Inside a bucket the item's heaviest terms are the focus coordinates:
-their lists give an exact part of the score, and the rest is at most the length of what is left of the vector
-times the square root of the number of terms left.  Only vectors that can still reach the k-th score are scored again,
-in integers.
+their lists give an exact part of the score, and the rest is at most the length of the vector's light part, which
+holds all terms as light as those left, times the square root of their number.  Only vectors that can still reach the k-th
+score are scored again, in integers.
 
 The documents are read twice: once for their term counts, which are stored, and once, from these, for the search.
 Items are searched in groups of a bounded number of terms, whose vocabulary is broadcast; each group takes passes of its own.
@@ -39,8 +39,10 @@ GROUP_TERMS, GROUP_ITEMS = 1 << 19, 1 << 14
 BLOCK_BYTES = 1 << 20
 #: Documents in the first bucket; each further one has twice as many.
 BUCKET = 256
-#: Share of an item's terms, the heaviest, that are focus coordinates.
-FOCUS = 0.5
+#: Share of an item's terms, the heaviest, that are focus coordinates, at least.
+FOCUS = 0.9
+#: Shares of all entries, lightest terms first, up to which the length of a vector's light part is kept.
+LIGHT = (0.02, 0.05, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5)
 #: Above all rounding errors of lengths.
 SLACK = 1 + 1e-9
 
@@ -197,14 +199,21 @@ class Best:
 class NormBuckets:
     """Impact vectors in order of length, with one list for each coordinate."""
 
-    def __init__(self, ids: np.ndarray, nulls: np.ndarray, owner: np.ndarray, term: np.ndarray, impact: np.ndarray, bucket: int = BUCKET):
+    def __init__(
+        self, ids: np.ndarray, nulls: np.ndarray, owner: np.ndarray, term: np.ndarray, impact: np.ndarray, weights: np.ndarray, bucket: int = BUCKET
+    ):
         squares = np.bincount(owner, impact.astype(float) ** 2, len(ids))
         order = np.argsort(-squares, kind="stable")
         place = np.empty(len(ids), dtype=np.int64)
         place[order] = np.arange(len(ids))
-        self.ids, self.nulls, self.squares = ids[order], nulls[order], squares[order]
-        self.norms = np.sqrt(self.squares) * SLACK
+        self.ids, self.nulls = ids[order], nulls[order]
+        self.norms = np.sqrt(squares[order]) * SLACK
         rank = place[owner]
+        weight = weights[term]
+        self.limits = np.quantile(weight, LIGHT, method="lower") if len(weight) else np.zeros(len(LIGHT))
+        self.light = [
+            np.sqrt(np.bincount(rank[weight <= w], impact[weight <= w].astype(float) ** 2, len(ids))) * SLACK for w in self.limits
+        ]
         by_row = np.lexsort((term, rank))
         self.row_terms, self.row_impacts = term[by_row], impact[by_row]
         self.row_starts = np.searchsorted(rank[by_row], np.arange(len(ids) + 1))
@@ -227,24 +236,28 @@ class NormBuckets:
         terms, at = terms[there], at[there]  # the others are zero in all vectors here
         if not len(terms):
             return
-        heavy = np.argsort(-weights[terms], kind="stable")
-        leading = heavy[: math.ceil(len(terms) * focus)]
         wanted = np.zeros(len(weights), dtype=bool)
         wanted[terms] = True
-        reach, left = math.sqrt(len(terms)), math.sqrt(len(terms) - len(leading))
+        # the lightest terms are left out of the focus, as far as a limit takes few enough of them
+        level, left = -1, np.zeros(len(terms), dtype=bool)
+        for k, limit in enumerate(self.limits):
+            under = weights[terms] <= limit
+            if under.sum() <= (1 - focus) * len(terms):
+                level, left = k, under
+        leading, over = at[~left], math.sqrt(left.sum())
+        reach = math.sqrt(len(terms))
         for low, high in zip(self.edges[:-1], self.edges[1:]):
             if reach * self.norms[low] < best.least:
                 return
             self.seen += high - low
-            part, squares = np.zeros(high - low), np.zeros(high - low)
-            for k in at[leading]:
-                docs = self.list_docs[self.list_starts[k] : self.list_starts[k + 1]]
-                a, b = np.searchsorted(docs, (low, high))
-                value = self.list_impacts[self.list_starts[k] + a : self.list_starts[k] + b].astype(float)
-                part[docs[a:b] - low] += value
-                squares[docs[a:b] - low] += value**2
-            rest = np.sqrt(np.maximum(self.squares[low:high] * SLACK - squares, 0.0))
-            candidates = low + np.flatnonzero((part + left * rest) * SLACK >= best.least)
+            bound = np.zeros(high - low)
+            for k in leading:
+                start, stop = self.list_starts[k], self.list_starts[k + 1]
+                a, b = start + np.searchsorted(self.list_docs[start:stop], (low, high))
+                bound[self.list_docs[a:b] - low] += self.list_impacts[a:b]
+            if level >= 0:
+                bound += over * self.light[level][low:high]
+            candidates = low + np.flatnonzero(bound * SLACK >= best.least)
             if len(candidates):
                 self.scored += len(candidates)
                 best.add(self._exact(candidates, wanted), self.ids[candidates], self.nulls[candidates])
@@ -275,7 +288,7 @@ def _searched(found: DataFrame, group: ItemGroup, weights: np.ndarray, documents
             impact = impacts(weights[term], np.concatenate(batch["tfs"].to_numpy()), batch["n"].to_numpy()[owner], documents, length)
             nulls = batch["doc_id"].isna().to_numpy()
             ids = batch["doc_id"].astype("Int64").fillna(0).to_numpy(dtype=np.int64)
-            buckets = NormBuckets(ids, nulls, owner, term, impact)
+            buckets = NormBuckets(ids, nulls, owner, term, impact, weights)
             for own, so_far in zip(terms, best):
                 buckets.search(own, weights, so_far)
         task = TaskContext.get().partitionId()

@@ -89,7 +89,7 @@ def test_buckets_prune_and_stay_exact():
     term = np.concatenate([rng.choice(size, 20, replace=False) for _ in range(n)])
     weights = rng.integers(1, 9000, size)
     impact = weights[term] * rng.integers(1, 10 ** rng.integers(2, 6, n)[owner] + 1)
-    buckets = rs.NormBuckets(np.arange(n), np.zeros(n, dtype=bool), owner, term, impact, bucket=64)
+    buckets = rs.NormBuckets(np.arange(n), np.zeros(n, dtype=bool), owner, term, impact, weights, bucket=64)
     assert (np.diff(buckets.norms) <= 0).all()
     dense = np.zeros((n, size), dtype=np.int64)
     dense[owner, term] = impact
