@@ -41,7 +41,7 @@ def fit_medians(df: DataFrame, columns: list[str] = FILLED_NUMBERS) -> dict[str,
     return {c: values[0] for c, values in exact_quantiles(df, present, [0.5]).items()}
 
 
-def _time_reading(column: Column, pattern: str | None) -> Column:
+def time_reading(column: Column, pattern: str | None) -> Column:
     if pattern is None:
         return column.try_cast("timestamp_ntz")
     text = column.cast("string")
@@ -57,7 +57,7 @@ def fit_time_format(df: DataFrame) -> str | None:
     if dict(df.dtypes).get(TIME) != "string":
         return None
     kinds = [None, *TIME_PATTERNS]
-    counts = df.agg(*[F.count(_time_reading(F.col(TIME), k)).alias(f"n{i}") for i, k in enumerate(kinds)]).first()
+    counts = df.agg(*[F.count(time_reading(F.col(TIME), k)).alias(f"n{i}") for i, k in enumerate(kinds)]).first()
     return kinds[max(range(len(kinds)), key=lambda i: (counts[i], -i))]
 
 
@@ -76,7 +76,7 @@ def clean(
     """
     out = {}
     if TIME in df.columns:
-        time = _time_reading(F.col(TIME), time_format)
+        time = time_reading(F.col(TIME), time_format)
         out[TIME] = time
         out.update(time_parts(time, missing_shift))
     for name in FILLED_TEXT:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.operators.prep import fit_time_format, time_reading
 from riskframe.schema import ID, MISSING_TOKENS, REQUIRED, TIME
 
 
@@ -39,14 +40,14 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def with_time_column(df: DataFrame) -> DataFrame:
     """Use the first column whose name contains 'data' if the time column is missing.
 
-    Text stays text, so that cleaning can read it in the format it finds (``prep.fit_time_format``).
+    Text is read in the format that fits most of its values, which takes one pass over the column.
     """
     if TIME in df.columns:
         return df
     for name in df.columns:
         if "data" in name.lower():
-            text = dict(df.dtypes)[name] == "string"
-            return df.withColumn(TIME, F.col(name) if text else F.col(name).try_cast("timestamp_ntz"))
+            named = df.withColumn(TIME, F.col(name))
+            return named.withColumn(TIME, time_reading(F.col(TIME), fit_time_format(named)))
     return df
 
 
