@@ -388,7 +388,7 @@ _CUT = """, cut as (select quantile_cont(epoch_us(data_ocorrencia), [6e-1, 7e-1,
     ),
 )
 def temporal_split(data):
-    return splits.temporal_split(data.plain).select(ID, "parte")
+    return splits.temporal_split(data.kept_plain).select(ID, "parte")
 
 
 _THREE = (
@@ -400,7 +400,7 @@ _THREE = (
 
 
 def three_way(data):
-    return splits.temporal_split_3way(data.plain)
+    return splits.temporal_split_3way(data.kept_plain)
 
 
 @query("temporal_split_3way", on_clean(_THREE + "\nselect id_ocorrencia, parte from split"))

@@ -12,6 +12,7 @@ from riskframe.operators import anomaly, evaluation, lloyd, prep, scoring
 from riskframe.plans import catalog
 from riskframe.plans.data import IncidentData
 from riskframe.plans.registry import QUERIES
+from riskframe.sources.fixture import incident_view
 from riskframe.sources.incidents import read_csv, with_typed_id
 
 
@@ -125,3 +126,17 @@ def test_the_best_of_several_starts(spark):
     vecs = spark.range(300).select(F.col("id").alias("id_ocorrencia"), F.array((F.col("id") % 10).cast("double")).alias("x"))
     cost = [lloyd.kmeans_fits(vecs, [4], 1, n, measures=True)[0][0].inertia for n in (1, 5)]
     assert cost[1] <= cost[0]
+
+
+def test_repeated_passes_read_the_view_that_was_joined_once(spark, data):
+    """No pass joins again, so the customers do not go through the driver once for each."""
+    three = QUERIES["temporal_split"](data), data.flagged.select("quantidade_vitimas"), data.modelled
+    for df in three:
+        assert "c_nationkey" not in df._jdf.queryExecution().analyzed().toString()
+
+
+def test_many_customers_are_not_broadcast(spark, data, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 40)  # of 150
+    view = incident_view(spark, SF_DIR, counted=True)
+    assert "strategy=merge" in view._jdf.queryExecution().optimizedPlan().toString()
+    assert view.exceptAll(data.raw).count() == 0 and data.raw.exceptAll(view).count() == 0
