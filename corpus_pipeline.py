@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskframe.llm import decontam, near_copies, packing, stream_dedup, toxicity_gru
+from riskframe.llm import decontam, near_copies, packing, simhash_gph, stream_dedup, toxicity_gru
 from riskframe.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -29,7 +29,11 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.keep_one(docs)
+    """One of each component of op4's fingerprint links, then one of each component of similar shingle sets.
+
+    Most edited copies lie further apart than op4's radius; the sets find those.
+    """
+    return near_copies.keep_one(written(simhash_gph.keep_one(docs), "fingerprint-dedup"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -65,3 +65,17 @@ def test_awkward_documents(spark):
     left = [plain_set(t) for t in {(r[0], text_of(r)): text_of(r) for r in kept.collect()}.values()]
     assert len(left) == len(want)
     assert near_copies.keep_one(no_documents(spark)).count() == 0
+
+
+def test_stage_drops_copies_near_in_bits(spark):
+    """Op4's links hold in the stage, also where the shingle sets share less than 0.8."""
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    body = " ".join(words)
+    near = next(
+        t for n in range(1, 200) for t in [edited(words, rng.sample(range(200), 5 + n % 4))]
+        if (simhash_gph.fingerprint(t) ^ simhash_gph.fingerprint(body)).bit_count() <= simhash_gph.RADIUS
+        and plain_components([body, t]) == [0, 1]
+    )
+    df = spark.createDataFrame([(1, body), (2, near)], "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.near_dedup(spark, df, "").collect()] == [1]
