@@ -5,6 +5,10 @@ gated recurrences read a window of words in both directions, attention pools the
 into one logit.  All overlapping windows of a text are scored; the text has the score of its
 worst window.
 
+A bounded sample gives the weights to start from.  Then all windows of all labelled documents
+outside the held-out fold are scored, the gradients of those the network is not sure of are summed over the tasks
+in several rounds, and the threshold comes from the highest logits of all these documents.
+
 Cases: null and empty texts are one window without words; words of any length count with all
 their n-grams; repeated rows have equal scores; ids with several label rows are toxic if any
 row says so; an empty table gives an empty result, and without labelled rows of both kinds
@@ -13,15 +17,20 @@ every score is 0; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import fold_of, workers_ready
+from riskframe.functions.lookup import lookup_join
+from riskframe.functions.quantiles import exact_quantiles
+from riskframe.llm.common import fold_of, workers_ready, written
 
 WINDOW = 64
 STRIDE = 56
@@ -35,10 +44,20 @@ EPOCHS, MOST_EPOCHS, FULL_WINDOWS = 4, 8, 8_000
 BATCH = 128
 THRESHOLD = 0.3
 FOLDS, HELD_OUT_FOLD = 4, 2
-#: Labelled documents of each kind that the model is fitted on, and windows of one of them, at most.
+#: Labelled documents of each kind that give the first weights, and windows of one of them, at most.
 TOXIC_SAMPLE = 1200
 CLEAN_SAMPLE = 2800
 WINDOWS_PER_DOCUMENT = 12
+#: Rounds over the windows of all labelled documents at most, the least gain of a further one, their rates, and the error
+#: below which a window's gradient counts as nought.
+ROUNDS, LEAST_GAIN, ROUND_RATE, ROUND_ROW_RATE = 12, 0.02, 0.005, 0.08
+LEAST_ERROR = 0.02
+#: Quantiles of the highest logits of clean and of toxic texts; the score between them is the threshold.
+CLEAN_SHARE, TOXIC_SHARE = 0.995, 0.02
+#: Labelled ids that are broadcast at most; more are joined by a shuffle.
+BROADCAST_LABELS = 1 << 18
+#: Pieces in which gradients are summed.
+SLICES = 32
 #: Words whose inputs a Python worker remembers at most.
 WORDS_REMEMBERED = 150_000
 
@@ -195,8 +214,8 @@ class _Trainer:
     """Adam for dense weights, Adagrad for the rows of the embedding tables."""
 
     def __init__(self, network: Network, rate: float = 0.01, row_rate: float = 0.08):
-        self.p, self.rate, self.row_rate, self.step = network.p, rate, row_rate, 0
-        self.m = {k: np.zeros_like(v) for k, v in network.p.items()}
+        self.network, self.p, self.rate, self.row_rate, self.step = network, network.p, rate, row_rate, 0
+        self.m = {k: np.zeros_like(v) for k, v in network.p.items() if k not in ("word", "gram")}
         self.s = {k: np.zeros_like(v) for k, v in network.p.items()}
 
     def apply(self, gradients: dict) -> None:
@@ -226,16 +245,16 @@ def _slots(words: list[str], at_once: int = 1 << 14) -> tuple[np.ndarray, np.nda
 
 
 def _all_inputs(network: Network, word: np.ndarray, slot: np.ndarray, begins: np.ndarray, at_once: int = 1 << 14) -> np.ndarray:
-    parts = []
+    out = np.empty((2, len(word), 3 * HIDDEN), dtype=np.float32)
     for a in range(0, len(word), at_once):
         b = min(a + at_once, len(word))
-        parts.append(network._inputs(word[a:b], slot[begins[a] : begins[b]], begins[a : b + 1] - begins[a])[0])
-    return np.concatenate(parts, axis=1)
+        out[:, a:b] = network._inputs(word[a:b], slot[begins[a] : begins[b]], begins[a : b + 1] - begins[a])[0]
+    return out
 
 
 def _cut(highest: np.ndarray, toxic: np.ndarray) -> float:
     """Logit between the worst windows of nearly all clean and of nearly all toxic texts; the score there is the threshold."""
-    return float((np.quantile(highest[toxic == 0], 0.995) + np.quantile(highest[toxic == 1], 0.02)) / 2)
+    return float((np.quantile(highest[toxic == 0], CLEAN_SHARE) + np.quantile(highest[toxic == 1], TOXIC_SHARE)) / 2)
 
 
 def training_windows(text: str, seed: int = 7, most: int = WINDOWS_PER_DOCUMENT) -> list[str]:
@@ -254,7 +273,14 @@ def fit(texts: list[str], toxic: list[int], epochs: int | None = None, seed: int
 
 
 def fit_windows(windows: list[list[str]], toxic: list[int], epochs: int | None = None, seed: int = 7) -> Network:
-    """A network fitted to the labels of texts, each given by some of its windows.
+    """A network fitted to the labels of texts, each given by some of its windows, and its threshold."""
+    trainer, highest = start(windows, toxic, epochs, seed)
+    trainer.p["c"] -= np.float32(_cut(highest, np.array(toxic)) - np.log(THRESHOLD / (1 - THRESHOLD)))
+    return trainer.network
+
+
+def start(windows: Iterable[list[str]], toxic: list[int], epochs: int | None = None, seed: int = 7) -> tuple[_Trainer, np.ndarray]:
+    """A trainer with the network fitted to the labels of texts, each given by some of its windows, and the texts' highest logits.
 
     Which windows of a toxic text are toxic is not known.  The first epoch takes those of texts of
     two windows at most; later ones take the windows that score as toxic, and the highest of
@@ -263,49 +289,52 @@ def fit_windows(windows: list[list[str]], toxic: list[int], epochs: int | None =
     rng = np.random.default_rng(seed)
     network = Network(seed)
     index: dict[str, int] = {"": 0}
-    rows, owners = [], []
+    ids, sizes, owners = array("i"), array("i"), array("i")
     for k, own in enumerate(windows):
         for window in own:
-            rows.append([index.setdefault(w, len(index)) for w in window.split()] or [0])
+            row = [index.setdefault(w, len(index)) for w in window.split()] or [0]
+            ids.extend(row)
+            sizes.append(len(row))
             owners.append(k)
+    owner, size = np.array(owners), np.array(sizes)
     if epochs is None:
-        epochs = int(np.clip(round(EPOCHS * FULL_WINDOWS / max(len(rows), 1)), EPOCHS, MOST_EPOCHS))
-    texts = windows
+        epochs = int(np.clip(round(EPOCHS * FULL_WINDOWS / max(len(size), 1)), EPOCHS, MOST_EPOCHS))
     word, slot, begins = _slots(list(index))
     del index
-    owner = np.array(owners)
     label = np.array(toxic, dtype=np.float32)[owner]
-    at = np.zeros((len(rows), WINDOW), dtype=np.int32)
-    mask = np.zeros((len(rows), WINDOW), dtype=np.float32)
-    for k, row in enumerate(rows):
-        at[k, : len(row)], mask[k, : len(row)] = row, 1
-    del rows
+    at = np.zeros((len(size), WINDOW), dtype=np.int32)
+    at[np.arange(WINDOW) < size[:, None]] = ids
+    del ids
+
+    def filled(part) -> np.ndarray:
+        return (np.arange(WINDOW) < size[part][:, None]).astype(np.float32)
+
     chosen = (label == 0) | (np.bincount(owner)[owner] <= 2)
     trainer = _Trainer(network)
     logits = np.zeros(len(at), dtype=np.float32)
     for _ in range(epochs):
         order = rng.permutation(np.nonzero(chosen)[0])
         balance = np.where(label[order] > 0, 0.5 / max(label[order].mean(), 1e-6), 0.5 / max(1 - label[order].mean(), 1e-6))
-        for start in range(0, len(order), BATCH):
-            part = order[start : start + BATCH]
+        for begin in range(0, len(order), BATCH):
+            part = order[begin : begin + BATCH]
             used, local = np.unique(at[part], return_inverse=True)
             sizes = begins[used + 1] - begins[used]
             spans = np.repeat(begins[used] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
             edge = np.concatenate([[0], np.cumsum(sizes)])
             g, logits[part] = network.gradients(
-                word[used], slot[spans], edge, local.reshape(len(part), -1), mask[part], label[part],
-                np.sqrt(balance[start : start + BATCH]).astype(np.float32),
+                word[used], slot[spans], edge, local.reshape(len(part), -1), filled(part), label[part],
+                np.sqrt(balance[begin : begin + BATCH]).astype(np.float32),
             )
             trainer.apply(g)
         gates = _all_inputs(network, word, slot, begins)
-        for start in range(0, len(at), 4096):
-            part = slice(start, start + 4096)
-            logits[part] = network.run(gates, at[part], mask[part])
-        highest = np.full(len(texts), -np.inf)
+        for first in range(0, len(at), 1024):
+            part = slice(first, first + 1024)
+            logits[part] = network.run(gates, at[part], filled(part))
+        del gates
+        highest = np.full(len(toxic), -np.inf)
         np.maximum.at(highest, owner, logits)
         chosen = (label == 0) | (logits > 0) | (logits >= highest[owner])
-    network.p["c"] -= np.float32(_cut(highest, np.array(toxic)) - np.log(THRESHOLD / (1 - THRESHOLD)))
-    return network
+    return trainer, highest
 
 
 class Scorer:
@@ -320,7 +349,17 @@ class Scorer:
         self._gates = self.network.inputs([""])
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        out = np.zeros(len(texts))
+        return _sigmoid(self.logits(texts))
+
+    def logits(self, texts: list[str]) -> np.ndarray:
+        """The logit of the worst window of each text."""
+        out = np.full(len(texts), -np.inf)
+        for group, owner, _, logit in self.windows(texts):
+            np.maximum.at(out, np.array([k for k, _ in group])[owner], logit)
+        return out
+
+    def windows(self, texts: list[str]) -> Iterator[tuple[list[tuple[int, list[str]]], np.ndarray, np.ndarray, np.ndarray]]:
+        """Of groups of texts, (number, words) of each, and of all their windows the place in the group, the first word and the logit."""
         group: list[tuple[int, list[str]]] = []
         count = 0
         for k, text in enumerate(texts):
@@ -328,13 +367,12 @@ class Scorer:
             group.append((k, words))
             count += len(words)
             if count >= 1 << 18:
-                self._score(group, out)
+                yield group, *self._windows(group)
                 group, count = [], 0
         if group:
-            self._score(group, out)
-        return out
+            yield group, *self._windows(group)
 
-    def _score(self, group: list[tuple[int, list[str]]], out: np.ndarray) -> None:
+    def _windows(self, group: list[tuple[int, list[str]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         if len(self._index) > self.remembered:
             self._clear()
         index, known = self._index, len(self._index)
@@ -343,30 +381,107 @@ class Scorer:
             fresh = list(index)[known:]
             made = [self.network.inputs(fresh[i : i + 8192]) for i in range(0, len(fresh), 8192)]
             self._gates = np.concatenate([self._gates, *made], axis=1)
-        for (k, _), row in zip(group, ids):
-            out[k] = -np.inf
         starts = [_windows(len(row)) for row in ids]
-        owner = np.repeat([k for k, _ in group], [len(s) for s in starts])
+        owner = np.repeat(np.arange(len(group)), [len(s) for s in starts])
         base = np.cumsum([0, *(len(row) for row in ids[:-1])])
-        first = np.concatenate([s + b for s, b in zip(starts, base)])
-        size = np.concatenate([np.minimum(len(row) - s, WINDOW) for row, s in zip(ids, starts)])
+        starts = np.concatenate(starts)
+        first = starts + base[owner]
+        size = np.minimum(np.array([len(row) for row in ids])[owner] - starts, WINDOW)
         flat = np.concatenate([*ids, np.zeros(WINDOW, dtype=np.int64)])
         order = np.argsort(size, kind="stable")
+        logit = np.empty(len(order))
         for begin in range(0, len(order), self.at_once):
             part = order[begin : begin + self.at_once]
             length = int(size[part].max())
             at = flat[first[part][:, None] + np.arange(length)]
             mask = (np.arange(length) < size[part][:, None]).astype(np.float32)
-            np.maximum.at(out, owner[part], _sigmoid(self.network.run(self._gates, at, mask).astype(float)))
+            logit[part] = self.network.run(self._gates, at, mask)
+        return owner, starts, logit
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_SAMPLE, clean_sample: int = CLEAN_SAMPLE) -> DataFrame:
-    """(text, toxic) of a bounded sample of labelled documents outside the held-out fold, the same on every run.
+def unsure_windows(scorer: Scorer, texts: list[str], toxic: np.ndarray) -> tuple[list[str], list[int]]:
+    """Windows of whole texts that the network is not sure of, and their labels.
 
-    The ids of the sample (``toxic_sample + clean_sample`` at most) are broadcast.
+    A clean text is clean in all of its windows; of a toxic one those that score as toxic and the highest are.
     """
+    windows, labels = [], []
+    for group, owner, first, logit in scorer.windows(texts):
+        highest = np.full(len(group), -np.inf)
+        np.maximum.at(highest, owner, logit)
+        label = toxic[[k for k, _ in group]][owner]
+        counts = (label == 0) | (logit > 0) | (logit >= highest[owner])
+        for i in np.flatnonzero(counts & (np.abs(_sigmoid(logit) - label) > LEAST_ERROR)).tolist():
+            windows.append(" ".join(group[owner[i]][1][first[i] : first[i] + WINDOW]))
+            labels.append(int(label[i]))
+    return windows, labels
+
+
+class GradientSum:
+    """Sum over windows of the gradients of the weighted loss, and of the loss."""
+
+    def __init__(self, network: Network, weights: tuple[float, float]):
+        self.network, self.weights, self.loss = network, np.array(weights, dtype=np.float32), 0.0
+        self.g = {k: np.zeros(v.shape) for k, v in network.p.items()}
+
+    def add(self, windows: list[str], toxic: np.ndarray, at_once: int = 512) -> None:
+        for i in range(0, len(windows), at_once):
+            self._add([w.split() for w in windows[i : i + at_once]], toxic[i : i + at_once].astype(np.float32))
+
+    def _add(self, rows: list[list[str]], label: np.ndarray) -> None:
+        index: dict[str, int] = {"": 0}
+        at = np.zeros((len(rows), WINDOW), dtype=np.int32)
+        mask = np.zeros((len(rows), WINDOW), dtype=np.float32)
+        for k, row in enumerate(rows):
+            at[k, : len(row)] = [index.setdefault(w, len(index)) for w in row]
+            mask[k, : max(len(row), 1)] = 1
+        weight = self.weights[label.astype(int)]
+        found, logit = self.network.gradients(*_slots(list(index)), at, mask, label, weight * len(rows))
+        self.loss += float((weight * (np.logaddexp(0, logit) - label * logit)).sum())
+        for k, g in found.items():
+            if isinstance(g, tuple):
+                np.add.at(self.g[k], g[0], g[1])
+            else:
+                self.g[k] += g
+
+    def pieces(self) -> Iterator[tuple[int, bytes]]:
+        whole = np.concatenate([[self.loss], *(self.g[k].ravel() for k in sorted(self.g))])
+        for k, piece in enumerate(np.array_split(whole, SLICES)):
+            yield k, piece.tobytes()
+
+
+def gradients_of(network: Network, pieces: dict[int, bytes]) -> tuple[dict, float]:
+    """What ``Trainer.apply`` takes, and the loss, from all summed pieces."""
+    whole = np.concatenate([np.frombuffer(pieces[k]) for k in range(SLICES)])
+    found, at = {}, 1
+    for k in sorted(network.p):
+        shape, size = network.p[k].shape, network.p[k].size
+        g = whole[at : at + size].reshape(shape)
+        at += size
+        if k in ("word", "gram"):
+            rows = np.flatnonzero(g.any(axis=1))
+            found[k] = (rows, g[rows].astype(np.float32))
+        else:
+            found[k] = g
+    return found, float(whole[0])
+
+
+def known_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the labelled documents outside the held-out fold, a row an id."""
     learn = fold_of(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD
-    known = labels.where(F.col("toxic").isNotNull() & learn).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return labels.where(F.col("toxic").isNotNull() & learn).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+
+
+def learning_rows(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """(text, toxic) of every row of ``docs`` that has a known label."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return lookup_join(rows, known, ["doc_id"], "inner", spread_by="text", max_rows=BROADCAST_LABELS).select("text", "toxic")
+
+
+def training_rows(docs: DataFrame, known: DataFrame, toxic_sample: int = TOXIC_SAMPLE, clean_sample: int = CLEAN_SAMPLE) -> DataFrame:
+    """(doc_id, text, toxic) of a bounded sample of the documents with known labels, the same on every run.
+
+    The ids of the sample (``toxic_sample + clean_sample`` at most) are broadcast.
+    """
     first = F.xxhash64("doc_id")
     chosen = known.where("toxic = 1").orderBy(first).limit(toxic_sample).unionByName(
         known.where("toxic = 0").orderBy(first).limit(clean_sample)
@@ -376,41 +491,130 @@ def training_rows(docs: DataFrame, labels: DataFrame, toxic_sample: int = TOXIC_
     return found.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
 
 
-def trained(docs: DataFrame, labels: DataFrame, **bounds: int) -> Network | None:
-    """Windows are chosen where the texts are, so the driver gets a bounded number of words however long these are."""
+def started(docs: DataFrame, known: DataFrame, **bounds: int) -> _Trainer | None:
+    """A trainer fitted to the bounded sample.  Windows are chosen where the texts are, so the driver gets a bounded number of words."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            windows = [training_windows(t) for t in batch["text"]]
+            windows = ["\n".join(training_windows(t)) for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "toxic": batch["toxic"].astype("int32"), "windows": windows})
 
-    rows = workers_ready(training_rows(docs, labels, **bounds))
+    rows = workers_ready(training_rows(docs, known, **bounds))
     id_type = dict(rows.dtypes)["doc_id"]
-    found = rows.mapInPandas(run, f"doc_id {id_type}, toxic int, windows array<string>").collect()
-    found.sort(key=lambda r: r["doc_id"])
-    toxic = [r["toxic"] for r in found]
-    return fit_windows([r["windows"] for r in found], toxic) if 0 < sum(toxic) < len(toxic) else None
+    found = rows.mapInPandas(choose, f"doc_id {id_type}, toxic int, windows string").collect()
+    found.sort(key=lambda r: r["doc_id"], reverse=True)
+    toxic = [r["toxic"] for r in reversed(found)]
+    # each row is dropped as soon as its words are numbered
+    return start((found.pop()["windows"].split("\n") for _ in toxic), toxic)[0] if 0 < sum(toxic) < len(toxic) else None
 
 
-def score_column(spark, network: Network | None) -> Column:
-    """Score of the column ``text`` (null: empty)."""
-    if network is None:
-        return F.lit(0.0)
-    shared = spark.sparkContext.broadcast(network)
+def unsure(rows: DataFrame, network: Network) -> DataFrame:
+    """(window, toxic) of all windows of ``rows(text, toxic)`` that the network is not sure of."""
+    shared = rows.sparkSession.sparkContext.broadcast(network)
 
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
-        for texts in batches:
-            yield pd.Series(scorer.scores(texts.tolist()))
+        for batch in batches:
+            windows, toxic = unsure_windows(scorer, batch["text"].tolist(), batch["toxic"].to_numpy())
+            yield pd.DataFrame({"window": windows, "toxic": np.array(toxic, dtype=np.int32)})
+
+    return workers_ready(rows).mapInPandas(run, "window string, toxic int")
+
 
-    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(score, "double")(F.coalesce(F.col("text"), F.lit("")))
+def summed_gradients(windows: DataFrame, network: Network, weights: tuple[float, float]) -> tuple[dict, float]:
+    """Gradients and loss summed over all of ``windows(window, toxic)``, piece by piece in the tasks."""
+    shared = windows.sparkSession.sparkContext.broadcast(network)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = GradientSum(shared.value, weights)
+        for batch in batches:
+            total.add(batch["window"].tolist(), batch["toxic"].to_numpy())
+        yield pd.DataFrame(list(total.pieces()), columns=["k", "piece"])
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(b) for b in group["piece"])
+        return pd.DataFrame({"k": group["k"].iloc[:1], "piece": [total.tobytes()]})
+
+    pieces = workers_ready(windows).mapInPandas(run, "k int, piece binary").groupBy("k").applyInPandas(add, "k int, piece binary")
+    found = gradients_of(network, {r["k"]: r["piece"] for r in pieces.collect()})  # the size of the network
+    shared.destroy()
+    return found
+
+
+def trained(docs: DataFrame, known: DataFrame, rounds: int = ROUNDS, **bounds: int) -> Network | None:
+    """The network after ``rounds`` over all documents with known labels; the one with the least loss on what the first was not sure of."""
+    trainer = started(docs, known, **bounds)
+    if trainer is None:
+        return None
+    windows = written(unsure(learning_rows(docs, known), trainer.network), "unsure-windows")
+    sizes = {r["toxic"]: r["count"] for r in windows.groupBy("toxic").count().collect()}
+    if not sizes:
+        return trainer.network
+    n = sum(sizes.values())
+    weights = tuple((0.5 * n / sizes[k]) ** 0.5 / n if k in sizes else 0.0 for k in (0, 1))
+    trainer.rate, trainer.row_rate = ROUND_RATE, ROUND_ROW_RATE
+    best, least, held = b"", np.inf, {}
+    for _ in range(rounds):
+        gradients, loss = summed_gradients(windows, trainer.network, weights)
+        if loss < least:
+            gain = 1 - loss / least
+            best, least, held = pickle.dumps(trainer), loss, gradients
+            if gain < LEAST_GAIN:
+                break
+        else:  # back, and on with smaller steps
+            rate, row_rate = trainer.rate / 2, trainer.row_rate / 2
+            trainer = pickle.loads(best)
+            trainer.rate, trainer.row_rate = rate, row_rate
+            best = pickle.dumps(trainer)
+        trainer.apply(held)
+    return pickle.loads(best).network
+
+
+@dataclass
+class Judge:
+    """The network and the logit at which a text counts as toxic."""
+
+    network: Network | None
+    known: DataFrame
+
+    def logit(self, spark) -> Column:
+        """Highest logit of the column ``text`` (null: empty)."""
+        if self.network is None:
+            return F.lit(None).cast("double")
+        shared = spark.sparkContext.broadcast(self.network)
+
+        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            scorer = Scorer(shared.value)
+            for texts in batches:
+                yield pd.Series(scorer.logits(texts.tolist()))
+
+        run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+        return F.pandas_udf(run, "double")(F.coalesce(F.col("text"), F.lit("")))
+
+    def score(self, judged: DataFrame) -> Column:
+        """Score of the column ``_logit`` of ``judged``; the threshold is that of all its rows with known labels."""
+        if self.network is None:
+            return F.lit(0.0)
+        rows = lookup_join(judged.select("doc_id", "_logit"), self.known, ["doc_id"], "inner", spread_by="_logit", max_rows=BROADCAST_LABELS)
+        highest = written(rows.select("toxic", "_logit"), "known-logits")
+        ends = [
+            exact_quantiles(highest.where(F.col("toxic") == kind), ["_logit"], [share])["_logit"][0]
+            for kind, share in ((0, CLEAN_SHARE), (1, TOXIC_SHARE))
+        ]
+        cut = sum(ends) / 2 - float(np.log(THRESHOLD / (1 - THRESHOLD))) if None not in ends else 0.0
+        return 1 / (1 + F.exp(F.lit(cut) - F.col("_logit")))
+
+
+def judge(docs: DataFrame, labels: DataFrame, **bounds: int) -> Judge:
+    known = written(known_labels(labels), "known-labels")
+    return Judge(trained(docs, known, **bounds), known)
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
-    column = score_column(docs.sparkSession, trained(docs, labels))
-    scored = workers_ready(docs).select("doc_id", column.alias("score"))
+    by = judge(docs, labels)
+    judged = written(workers_ready(docs).select("doc_id", by.logit(docs.sparkSession).alias("_logit")), "toxicity")
+    scored = judged.select("doc_id", by.score(judged).alias("score"))
     return scored.select(
         "doc_id",
         (fold_of(F.col("doc_id"), FOLDS) == HELD_OUT_FOLD).alias("held_out"),
@@ -421,5 +625,6 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents that score at or above the threshold, all columns as they were."""
-    column = score_column(docs.sparkSession, trained(docs, labels))
-    return workers_ready(docs).where(column < THRESHOLD)
+    by = judge(docs, labels)
+    judged = written(workers_ready(docs).withColumn("_logit", by.logit(docs.sparkSession)), "toxicity")
+    return judged.where(by.score(judged) < THRESHOLD).drop("_logit")
