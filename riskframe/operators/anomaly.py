@@ -15,7 +15,7 @@ from riskframe.functions.numeric import hash_rank, safe_ratio
 from riskframe.functions.quantiles import exact_quantiles
 from riskframe.operators.patterns import frequent_groups
 from riskframe.schema import CRIME, ID, LABEL, PLACE
-from riskframe.session import checkpointed, ship_package
+from riskframe.session import checkpointed, ship_package, stored
 
 TREES = 100
 SAMPLE = 256
@@ -146,8 +146,9 @@ def flag_anomalies(scored: DataFrame, contamination: float = 0.1) -> DataFrame:
 
 
 def detect_anomalies(vecs: DataFrame, contamination: float = 0.1, **forest) -> DataFrame:
-    """Scores are checkpointed, so that the quantile passes do not score the rows again."""
-    scored = checkpointed(anomaly_scores(spread(vecs.drop("features")), **forest))
+    """Vectors are written once, as sampling and scoring read them; so are scores, and later passes read only their columns."""
+    rows = stored(spread(vecs.drop("features")), "vectors")
+    scored = stored(anomaly_scores(rows, **forest), "anomaly-scores")
     return flag_anomalies(scored, contamination)
 
 
