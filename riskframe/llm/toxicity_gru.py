@@ -516,7 +516,8 @@ def unsure(rows: DataFrame, network: Network) -> DataFrame:
         scorer = Scorer(shared.value)
         for batch in batches:
             windows, toxic = unsure_windows(scorer, batch["text"].tolist(), batch["toxic"].to_numpy())
-            yield pd.DataFrame({"window": windows, "toxic": np.array(toxic, dtype=np.int32)})
+            # stated types: pandas takes a column without values, as in a batch it is sure of, for numbers
+            yield pd.DataFrame({"window": np.array(windows, dtype=object), "toxic": np.array(toxic, dtype=np.int32)})
 
     return workers_ready(rows).mapInPandas(run, "window string, toxic int")
 

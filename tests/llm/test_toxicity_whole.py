@@ -53,3 +53,12 @@ def test_summed_gradients_do_not_depend_on_the_parts(spark):
     got, other = toxicity_gru.summed_gradients(frame, network, (0.1, 0.2))
     assert abs(loss - other) < 1e-4 * abs(loss)
     assert abs(want["o"] - got["o"]).max() < 1e-4 and (want["word"][0] == got["word"][0]).all()
+
+
+def test_a_task_without_unsure_windows(spark):
+    network = toxicity_gru.Network(5)
+    network.p["c"] -= 50
+    rows = spark.createDataFrame([("alpha beta", 0), ("gamma", 0), ("delta", 1)], "text string, toxic int").repartition(3, "text")
+    found = toxicity_gru.unsure(rows, network).collect()
+    assert [tuple(r) for r in found] == [("delta", 1)]
+    assert toxicity_gru.unsure(rows.where("toxic = 0"), network).count() == 0
