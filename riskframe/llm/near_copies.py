@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.lookup import spread_join
-from riskframe.llm.common import texts, workers_ready, written
+from riskframe.llm.common import texts, workers_ready, written, written_by_small_batches
 from riskframe.llm.membership import mark_likely
 from riskframe.llm.simhash_gph import _forest, _mixed, first_of_each, shingle_hashes
 from riskframe.operators.components import connected_components
@@ -87,7 +87,7 @@ def shingled(docs: DataFrame) -> DataFrame:
 
     rows = texts(docs).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
     out = "doc_id long, text_hash long, node long, size long, bands array<long>"
-    return written(workers_ready(rows).mapInPandas(run, out), "shingled")
+    return written_by_small_batches(workers_ready(rows).mapInPandas(run, out), "shingled")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     rows = texts(docs).select(F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("row"), "text")
     likely = mark_likely(rows, F.col("row"), wanted.select("row")).where("_likely").select("row", "text")
     found = likely.dropDuplicates(["row"]).join(wanted, "row").select("node", "text")
-    return written(workers_ready(found).mapInPandas(run, "node long, shingles binary"), "shingle-sets")
+    return written_by_small_batches(workers_ready(found).mapInPandas(run, "node long, shingles binary"), "shingle-sets")
 
 
 def links(rows: DataFrame) -> DataFrame:
@@ -222,11 +222,11 @@ def labelled(docs: DataFrame, rows: DataFrame, full: int = FULL) -> DataFrame:
     wanted = written(members.select("node").distinct().join(nodes, "node").select("row", "node"), "wanted")
     sets = shingle_sets(docs, wanted)
     cells = members.select(F.xxhash64("key", _part(F.col("parts"))).alias("cell"), "node")
-    edges = written(links(cells.join(sets, "node")).distinct(), "links")
+    edges = written_by_small_batches(links(cells.join(sets, "node")).distinct(), "links")
     crowded = members.where("parts > 1")
     if crowded.limit(1).count():
         cells = cross_cells(crowded, edges, full)
-        edges = edges.unionByName(written(links(cells.join(sets, "node")).distinct(), "cross-links"))
+        edges = edges.unionByName(written_by_small_batches(links(cells.join(sets, "node")).distinct(), "cross-links"))
     ends = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
     return nodes.select("node").join(connected_components(ends, edges), "node", "left").select(
         "node", F.coalesce("component", "node").alias("root")

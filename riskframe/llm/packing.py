@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import texts, workers_ready, written
+from riskframe.llm.common import texts, workers_ready, written_by_small_batches
 
 WINDOW = 2048
 END_ID = 1
@@ -184,4 +184,4 @@ def pack(found: DataFrame, window: int = WINDOW, per_group: int = PIECES_PER_GRO
 
 def packed_documents(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, added: bool = False) -> DataFrame:
     """One row per piece: its place in its document and its place in its sequence."""
-    return pack(written(pieces(docs, window, end_id, added), "pieces"), window)
+    return pack(written_by_small_batches(pieces(docs, window, end_id, added), "pieces"), window)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.lookup import spread_join
-from riskframe.llm.common import texts, workers_ready, written
+from riskframe.llm.common import texts, workers_ready, written, written_by_small_batches
 from riskframe.llm.membership import without
 from riskframe.operators.components import connected_components
 
@@ -83,7 +83,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             )
 
     rows = texts(docs).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_hash"))
-    return written(workers_ready(rows).mapInPandas(run, "doc_id long, fp long, text_hash long"), "fingerprints")
+    return written_by_small_batches(workers_ready(rows).mapInPandas(run, "doc_id long, fp long, text_hash long"), "fingerprints")
 
 
 def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:

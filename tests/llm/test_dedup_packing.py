@@ -166,3 +166,28 @@ def test_sharded_rows(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     want = sorted((str(r[0]), len(text_of(r).encode()) + 8, zlib.crc32(text_of(r).encode())) for r in rows())
     assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in got) == want
+
+
+def test_long_texts_reach_python_in_small_batches(spark, monkeypatch):
+    """Each step that sends whole texts to Python is written under the small bound, which holds for mapInPandas."""
+    import pandas as pd
+    from riskframe.llm import common, near_copies, simhash_gph
+
+    def lengths(batches):
+        for batch in batches:
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 200_000).alias("text")).coalesce(1)
+    sizes = [r["n"] for r in common.written_by_small_batches(docs.mapInPandas(lengths, "n long"), "lengths").collect()]
+    assert sum(sizes) == 40 and max(sizes) <= 6
+
+    seen = []
+    bound = lambda df, purpose: seen.append((purpose, spark.conf.get(common._BATCH_SETTING, None))) or df
+    monkeypatch.setattr(common, "written", bound)
+    few = docs.limit(1)
+    packing.packed_documents(few)
+    near_copies.shingled(few)
+    near_copies.shingle_sets(few, spark.createDataFrame([], "row long, node long"))
+    simhash_gph.fingerprints(few)
+    assert [p for p, _ in seen] == ["pieces", "shingled", "shingle-sets", "fingerprints"]
+    assert {int(size) for _, size in seen} == {common.BATCH_BYTES}
