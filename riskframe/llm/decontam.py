@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.common import shared_folder, workers_ready, written
+from riskframe.llm.common import shared_folder, small_batches, workers_ready, written, written_by_small_batches
 
 K1 = 1.2
 B = 0.75
@@ -299,14 +299,17 @@ def contaminations(docs: DataFrame, items: DataFrame, share: float = SHARE, over
     docs.sparkSession.createDataFrame([], schema).write.parquet(path)
     for column in hits_columns(docs, items, share, overlap, index_words):
         found = docs.select("doc_id", F.explode(column).alias("hit")).select("doc_id", "hit.*")
-        found.write.mode("append").parquet(path)
+        with small_batches(docs.sparkSession):
+            found.write.mode("append").parquet(path)
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
 def clean(docs: DataFrame, items: DataFrame, share: float = SHARE, overlap: float = OVERLAP, index_words: int = INDEX_WORDS) -> DataFrame:
-    """``docs`` without the rows in which an item was found, all columns as they were."""
-    columns, before = docs.columns, None
+    """``docs`` without the rows in which an item was found, all columns as they were.
+
+    Each index takes one pass, whose texts go to Python in small batches and whose rows are written.
+    """
+    columns = docs.columns
     for column in hits_columns(docs, items, share, overlap, index_words):
-        docs = docs if before is None else written(before, "uncontaminated")
-        before = docs.where(F.size(column) == 0).select(*columns)
-    return docs if before is None else before
+        docs = written_by_small_batches(docs.where(F.size(column) == 0).select(*columns), "uncontaminated")
+    return docs

@@ -167,3 +167,18 @@ def test_no_items_and_no_documents(spark):
     assert decontam.clean(planted(spark), none).count() == 9
     some = spark.createDataFrame(ITEMS, "item_id long, text string")
     assert decontam.contaminations(no_documents(spark), some).count() == 0
+
+
+def test_cleaned_rows_are_written_by_small_batches(spark, monkeypatch):
+    """The pass that sends whole texts to Python runs inside, under its own batch size, and not where the result is written."""
+    from riskframe.llm import common
+
+    sizes = []
+    write = common.written
+    monkeypatch.setattr(common, "written", lambda df, purpose: (sizes.append(int(spark.conf.get(common._BATCH_SETTING))), write(df, purpose))[1])
+    docs = spark.createDataFrame([(1, "what is the tallest hill of all the north land? it is old rock hill"), (2, "nothing to see"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "what is the tallest hill of all the north land? it is old rock hill")], "item_id long, text string")
+    kept = decontam.clean(docs, items)
+    assert common.BATCH_BYTES in sizes
+    assert "ArrowEvalPython" not in kept._jdf.queryExecution().toString()
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 3]
